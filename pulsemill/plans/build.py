@@ -35,7 +35,7 @@ def refresh_daily_table(
         fact = marts.repo_activity_daily(issues, repositories, as_of)
         publish_table(daily_rows(fact), path, [DAILY_DAY])
         return
-    days = incremental.changed_days(issues, since)
+    days = incremental.changed_days(issues, incremental.with_overlap(since))
     delta = daily_rows(incremental.daily_delta(issues, repositories, days, as_of))
     (
         delta.hint("rebalance", F.col(DAILY_DAY))
@@ -55,7 +55,7 @@ def refresh_comment_table(
     if mark is None:
         publish_table(marts.comment_fact(comments, lifecycle), path, [COMMENT_DAY])
         return
-    delta = incremental.comment_delta(comments, lifecycle, mark)
+    delta = incremental.comment_delta(comments, lifecycle, incremental.with_overlap(mark))
     merge_partitions(spark, path, delta, ["comment_key"], COMMENT_DAY)
 
 

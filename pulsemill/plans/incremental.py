@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +13,10 @@ from pulsemill.operators.upsert import replace_where_matched, upsert
 from pulsemill.plans.marts import COMMENT_PARENT, comment_fact, repo_activity_daily
 
 
+# How far before the stored mark a refresh looks again, as late rows carry older times.
+OVERLAP_DAYS = 7
+
+
 def high_water_mark(table: DataFrame, column: str) -> datetime | None:
     """Largest stored value, None for an empty table.
 
@@ -22,6 +26,10 @@ def high_water_mark(table: DataFrame, column: str) -> datetime | None:
     return table.agg(F.max(column)).first()[0]
 
 
+def with_overlap(mark: datetime | None, days: int = OVERLAP_DAYS) -> datetime | None:
+    return None if mark is None else mark - timedelta(days=days)
+
+
 def after_day(df: DataFrame, column: str, mark: datetime | None) -> DataFrame:
     """Rows of days later than the mark's day; all rows without a mark."""
     if mark is None:
@@ -83,7 +91,7 @@ def refresh_daily(
     since = None if full_refresh else high_water_mark(target, "dbt_updated_at")
     if since is None:
         return repo_activity_daily(issues, repositories, as_of)
-    days = changed_days(issues, since)
+    days = changed_days(issues, with_overlap(since))
     return replace_where_matched(
         target, daily_delta(issues, repositories, days, as_of), days, ["activity_date"]
     )
@@ -112,8 +120,9 @@ def refresh_comments(
     full_refresh: bool = False,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Upsert the comments newer than the stored ones."""
+    """Upsert the comments newer than the stored ones, looking back a few days."""
     mark = None if full_refresh else high_water_mark(target, "comment_date")
     if mark is None:
         return comment_fact(comments, lifecycle, hot_rows)
-    return upsert(target, comment_delta(comments, lifecycle, mark, hot_rows), ["comment_key"])
+    delta = comment_delta(comments, lifecycle, with_overlap(mark), hot_rows)
+    return upsert(target, delta, ["comment_key"])

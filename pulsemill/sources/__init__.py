@@ -4,6 +4,7 @@ from pulsemill.sources.raw import (
     dated_glob,
     documents_from_text,
     malformed_files,
+    read_landing,
     read_raw_arrays,
     read_raw_dates,
     read_raw_lines,
@@ -30,6 +31,7 @@ __all__ = [
     "publish_version",
     "publish_view",
     "raw_documents",
+    "read_landing",
     "read_latest_version",
     "read_raw_arrays",
     "read_raw_dates",

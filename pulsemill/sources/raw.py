@@ -71,6 +71,28 @@ def read_raw_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+def read_landing(
+    spark: SparkSession, root: str, entity: str, first: date | None = None, last: date | None = None
+) -> DataFrame:
+    """RAW rows of one entity from what ``write_landing`` wrote, with the path's date and repository.
+
+    Entity and dates are partition filters: other folders are not read.
+    """
+    landed = spark.read.text(root).where(F.col("entity") == entity)
+    if first is not None:
+        landed = landed.where(F.col("load_date") >= F.lit(first))
+    if last is not None:
+        landed = landed.where(F.col("load_date") <= F.lit(last))
+    return landed.select(
+        F.try_parse_json("value").alias("raw_data"),
+        F.col("_metadata.file_modification_time").alias("loaded_at"),
+        F.col("_metadata.file_path").alias("source_file"),
+        F.xxhash64("value").alias("tie_breaker"),
+        F.col("repo_key").alias("path_repository"),
+        F.col("load_date").alias("path_date"),
+    )
+
+
 def dated_glob(root: str, entity: str, first: date, last: date) -> str:
     """One glob for ``entity/YYYY/MM/DD`` from ``first`` to ``last``, both included.
 
