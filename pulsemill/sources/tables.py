@@ -30,34 +30,25 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def merge_partitions(
-    spark: SparkSession,
-    path: str,
-    delta: DataFrame,
-    keys: list[str],
-    partition: str,
-    key_fixes_partition: bool = True,
+    spark: SparkSession, path: str, delta: DataFrame, keys: list[str], partition: str
 ) -> None:
     """Keyed upsert into a partitioned table that rewrites only the touched partitions.
 
-    The table is pruned to the partitions the delta falls into, a list as long as the
-    delta has distinct partition values (days or months, not rows). Where a key may
-    move between partitions, those that hold its old row are looked up as well, from
-    the key columns alone. The merged rows are written to the checkpoint folder before
-    the table is touched, so nothing is read from a partition while it is replaced.
+    A key must always fall into the same partition, as the day of a comment or of a
+    daily fact does. The table is pruned to the partitions of the delta, a list as long
+    as the delta has distinct partition values (days or months, not rows). The merged
+    rows are written to the checkpoint folder before the table is touched, so nothing
+    is read from a partition while it is replaced.
     """
     target = read_table(spark, path)
     delta = cut_lineage(delta.select(*target.columns))
-    touched = delta.select(partition)
-    if not key_fixes_partition:
-        holders = target.select(*keys, partition).join(delta.select(*keys), keys, "left_semi")
-        touched = touched.union(holders.select(partition))
-    values = [row[0] for row in touched.distinct().collect()]
+    values = [row[0] for row in delta.select(partition).distinct().collect()]
     if not values:
         return
-    pruned = target.where(F.col(partition).isin([v for v in values if v is not None]))
+    touched = F.col(partition).isin([v for v in values if v is not None])
     if None in values:
-        pruned = pruned.unionByName(target.where(F.col(partition).isNull()))
-    merged = cut_lineage(upsert(pruned, delta, keys))
+        touched = touched | F.col(partition).isNull()
+    merged = cut_lineage(upsert(target.where(touched), delta, keys))
     (
         merged.hint("rebalance", F.col(partition))
         .write.mode("overwrite")

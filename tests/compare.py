@@ -17,6 +17,18 @@ def oracle_connection(folder: str):
     return con
 
 
+# Spark type of a result column and the DuckDB type it must match.
+SAME_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "double": "DOUBLE",
+    "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
+}
+
+
 def canonical(value):
     if isinstance(value, float):
         return round(value, 9)
@@ -36,6 +48,10 @@ def compare(spark, con, name, query, sql, folder):
     took = time.time() - started
     if sql is None:
         return None, len(got), took
+    types = {row[0]: row[1] for row in con.execute(f"DESCRIBE {sql}").fetchall()}
+    unlike = [(c, kind, types.get(c)) for c, kind in df.dtypes if SAME_TYPES.get(kind) != types.get(c)]
+    if unlike:
+        return f"types {unlike}", len(got), took
     result = con.execute(sql)
     names = [d[0] for d in result.description]
     want = result.fetchall()
