@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pulsemill.bindings.roles import Tables, binder
 from pulsemill.plans import staging
+from pulsemill.session import spread
 
 BOUND: dict = {}
 bind = binder(BOUND)
@@ -43,7 +44,7 @@ def item_tie() -> Column:
 
 
 def order_loads(t: Tables) -> DataFrame:
-    return t.lineitem.join(t.orders, F.col("o_orderkey") == F.col("l_orderkey"))
+    return spread(t.lineitem).join(t.orders, F.col("o_orderkey") == F.col("l_orderkey"))
 
 
 def raw_issues(t: Tables) -> DataFrame:
@@ -156,7 +157,7 @@ def raw_repositories(t: Tables) -> DataFrame:
         (F.col("o_orderstatus") != "O").alias("has_issues"),
         F.lit("main").alias("default_branch"),
     ]
-    rows = t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey")).withColumn(
+    rows = spread(t.orders).join(t.customer, F.col("c_custkey") == F.col("o_custkey")).withColumn(
         "l_returnflag", F.when(F.col("o_orderstatus") == "O", "R").otherwise("N")
     )
     return as_raw(rows, fields, "o_orderdate", F.col("o_orderpriority"), F.col("o_orderkey"))

@@ -189,7 +189,7 @@ def enabled_repos(t: Tables):
     """,
 )
 def stream_raw_ingest(t: Tables):
-    """Array files streamed in several batches into the latest event per user."""
+    """Array files streamed in batches into the latest event per user."""
     files = array_files(t, scratch_folder(t.spark, "arrays"))
     table = scratch_folder(t.spark, "state")
     query = latest_state(
@@ -200,7 +200,7 @@ def stream_raw_ingest(t: Tables):
         typed_events,
         ["user_id"],
         lambda: [F.col("ts").desc_nulls_last(), F.col("event_id").desc_nulls_last()],
-        files_per_batch=max(1, t.spark.sparkContext.defaultParallelism // 2),
+        files_per_batch=4 * t.spark.sparkContext.defaultParallelism,
     )
     query.awaitTermination()
     return read_latest_version(t.spark, table).drop("source_file")

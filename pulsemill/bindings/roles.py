@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemill.session import configure
+from pulsemill.session import configure, spread
 
 AS_OF = "2002-01-01 00:00:00"
 EVENTS_AS_OF = "2024-02-01 00:00:00"
@@ -163,7 +163,7 @@ def known_repositories(t: Tables) -> DataFrame:
 def comments(t: Tables) -> DataFrame:
     """Line items in the shape of staged comments on their order."""
     key = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-    return t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    return spread(t.lineitem).join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         key.alias("comment_id"),
         F.col("o_orderkey").alias("issue_number"),
         customer_name("o_custkey").alias("repository_full_name"),

@@ -9,7 +9,7 @@ from pulsemill.functions.temporal import (
     years_between,
 )
 from pulsemill.functions.text import capture, coalesce_null, full_name_from_file_safe, surrogate_key
-from pulsemill.functions.variants import array_length, field, is_present, subdocument
+from pulsemill.functions.variants import array_length, field, is_present, member, subdocument, typed_document
 
 __all__ = [
     "array_length",
@@ -26,9 +26,11 @@ __all__ = [
     "is_present",
     "labelled",
     "ladder",
+    "member",
     "months_between_boundaries",
     "subdocument",
     "surrogate_key",
+    "typed_document",
     "whole_months_between",
     "years_between",
 ]

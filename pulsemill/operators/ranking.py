@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pulsemill.session import cut_lineage
 
 # A group above this many rows is never sorted by one task.
-HOT_ROWS = 5_000_000
+HOT_ROWS = 1_000_000
 
 # Up to this rank Spark drops surplus rows before the exchange
 # (the default of spark.sql.optimizer.windowGroupLimitThreshold).

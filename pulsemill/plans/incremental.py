@@ -11,6 +11,7 @@ from pulsemill.functions.temporal import AsOf, as_of_timestamp
 from pulsemill.operators.ranking import HOT_ROWS
 from pulsemill.operators.upsert import replace_where_matched, upsert
 from pulsemill.plans.marts import COMMENT_PARENT, comment_fact, repo_activity_daily
+from pulsemill.session import cut_lineage
 
 
 # How far before the stored mark a refresh looks again, as late rows carry older times.
@@ -56,7 +57,7 @@ def append_daily(
 
 def changed_days(issues: DataFrame, since: datetime | None) -> DataFrame:
     """Creation days of issues that were created or updated after ``since``."""
-    day = F.date_trunc("day", F.col("created_at")).cast("timestamp_ntz").alias("activity_date")
+    day = F.to_date("created_at").cast("timestamp_ntz").alias("activity_date")
     if since is not None:
         mark = as_of_timestamp(since)
         issues = issues.where((F.col("updated_at") > mark) | (F.col("created_at") > mark))
@@ -71,7 +72,7 @@ def daily_delta(
     ``days`` holds distinct calendar days, a few ten thousand in a century, so it is
     broadcast and the issues are not moved before they are aggregated.
     """
-    on_day = F.date_trunc("day", issues["created_at"]).cast("timestamp_ntz") == days["activity_date"]
+    on_day = F.to_date(issues["created_at"]).cast("timestamp_ntz") == days["activity_date"]
     affected = issues.join(F.broadcast(days), on_day, "left_semi")
     return repo_activity_daily(affected, repositories, as_of)
 
@@ -92,9 +93,8 @@ def refresh_daily(
     if since is None:
         return repo_activity_daily(issues, repositories, as_of)
     days = changed_days(issues, with_overlap(since))
-    return replace_where_matched(
-        target, daily_delta(issues, repositories, days, as_of), days, ["activity_date"]
-    )
+    delta = daily_delta(issues, repositories, days, as_of)
+    return replace_where_matched(target, delta, F.broadcast(days), ["activity_date"])
 
 
 def comment_delta(
@@ -106,9 +106,11 @@ def comment_delta(
     """The comment fact for every issue that got a comment after ``mark``.
 
     A touched issue is numbered from its full history, so its sequence goes on
-    instead of starting again.
+    instead of starting again. The list of touched issues is written out first: joined
+    straight from its grouping, the other side could not be split where one issue
+    holds very many comments.
     """
-    touched = after_instant(comments, "created_at", mark).select(*COMMENT_PARENT).distinct()
+    touched = cut_lineage(after_instant(comments, "created_at", mark).select(*COMMENT_PARENT).distinct())
     affected = comments.join(touched, COMMENT_PARENT, "left_semi")
     return comment_fact(affected, lifecycle, hot_rows)
 

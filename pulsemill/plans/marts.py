@@ -102,7 +102,7 @@ def repo_activity_daily(issues: DataFrame, repositories: DataFrame, as_of: AsOf)
     """
     issue = issues.select(
         "issue_id",
-        F.date_trunc("day", F.col("created_at")).cast("timestamp_ntz").alias("activity_date"),
+        F.to_date("created_at").cast("timestamp_ntz").alias("activity_date"),
         F.col("closed_at").isNotNull().alias("is_closed"),
         "is_pull_request",
         "comment_count",

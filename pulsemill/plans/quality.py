@@ -73,11 +73,12 @@ def relationships(
 ) -> DataFrame:
     """Counts child rows whose key is not in the parent.
 
-    Child keys are counted before the join, so a parent with very many children is
-    one row by then.
+    Both sides are reduced to one row per key before the join, so neither a parent with
+    very many children nor one that is repeated gathers in one task.
     """
     keys = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    orphans = keys.join(parent, keys[column] == parent[parent_column], "left_anti")
+    parents = parent.select(F.col(parent_column).alias("_parent")).distinct()
+    orphans = keys.join(parents, F.col(column) == F.col("_parent"), "left_anti")
     return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_failing")).select(
         *result("relationships", model, column, F.col("_failing"))
     )

@@ -6,7 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsemill.functions.text import capture
-from pulsemill.functions.variants import array_length, field, is_present, subdocument
+from pulsemill.functions.variants import (
+    array_length,
+    is_present,
+    member,
+    subdocument,
+    typed_document,
+)
 from pulsemill.operators.dedup import latest_by_key
 
 # Patterns that find the repository and the issue number in an API URL.
@@ -105,61 +111,85 @@ def newest_load_first() -> list[Column]:
     ]
 
 
-def document_fields(fields: list[tuple[str, str, str]]) -> list[Column]:
-    return [field(F.col("raw_data"), f"$.{path}", kind).alias(name) for name, path, kind in fields]
+def typed(
+    raw: DataFrame, fields: list[tuple[str, str, str]], helpers: list[tuple[str, str]], keep_document: bool
+) -> DataFrame:
+    """RAW rows with the document as a struct ``doc`` and its plain fields as columns."""
+    wanted = [(path, kind) for _, path, kind in fields] + helpers
+    kept = lineage(keep_document)
+    return raw.select(typed_document(F.col("raw_data"), wanted).alias("doc"), *kept).select(
+        *[member("doc", path).alias(name) for name, path, _ in fields], *kept, "doc"
+    )
 
 
 def lineage(keep_document: bool) -> list[str]:
     return ["source_file", "loaded_at", "tie_breaker"] + (["raw_data"] if keep_document else [])
 
 
+# Parts of a document that are read on the way to a column.
+ISSUE_HELPERS = [
+    ("assignees", "variant"),
+    ("labels", "variant"),
+    ("pull_request", "variant"),
+    ("source_repository", "string"),
+    ("repository_url", "string"),
+]
+REPOSITORY_HELPERS = [("topics", "variant")]
+# Thumb reactions are keyed by a word in some documents and by a sign in others.
+COMMENT_HELPERS = [
+    ("reactions.plus1", "bigint"),
+    ("reactions.+1", "bigint"),
+    ("reactions.minus1", "bigint"),
+    ("reactions.-1", "bigint"),
+]
+
+
 def type_issues(raw: DataFrame, keep_document: bool = False) -> DataFrame:
     """Every load of every issue as a typed row."""
-    doc = F.col("raw_data")
-    from_url = capture(field(doc, "$.repository_url", "string"), REPOSITORY_IN_URL)
-    return raw.select(
-        *document_fields(ISSUE_FIELDS),
-        subdocument(doc, "$.assignees").alias("assignees_json"),
-        array_length(doc, "$.assignees").alias("assignee_count"),
-        subdocument(doc, "$.labels").alias("labels_json"),
-        array_length(doc, "$.labels").alias("label_count"),
-        is_present(doc, "$.pull_request").alias("is_pull_request"),
-        F.coalesce(field(doc, "$.source_repository", "string"), from_url).alias("repository"),
-        *lineage(keep_document),
-    ).withColumn("body_length", F.length("body"))
+    labels, assignees = member("doc", "labels"), member("doc", "assignees")
+    from_url = capture(member("doc", "repository_url"), REPOSITORY_IN_URL)
+    return (
+        typed(raw, ISSUE_FIELDS, ISSUE_HELPERS, keep_document)
+        .withColumns(
+            {
+                "assignees_json": subdocument(assignees, "$"),
+                "assignee_count": array_length(assignees, "$"),
+                "labels_json": subdocument(labels, "$"),
+                "label_count": array_length(labels, "$"),
+                "is_pull_request": is_present(member("doc", "pull_request"), "$"),
+                "repository": F.coalesce(member("doc", "source_repository"), from_url),
+                "body_length": F.length("body"),
+            }
+        )
+        .drop("doc")
+    )
 
 
 def type_repositories(raw: DataFrame, keep_document: bool = False) -> DataFrame:
-    doc = F.col("raw_data")
-    return raw.select(
-        *document_fields(REPOSITORY_FIELDS),
-        subdocument(doc, "$.topics").alias("topics_json"),
-        array_length(doc, "$.topics").alias("topics_count"),
-        *lineage(keep_document),
+    topics = member("doc", "topics")
+    return (
+        typed(raw, REPOSITORY_FIELDS, REPOSITORY_HELPERS, keep_document)
+        .withColumns({"topics_json": subdocument(topics, "$"), "topics_count": array_length(topics, "$")})
+        .drop("doc")
     )
 
 
 def type_comments(raw: DataFrame, keep_document: bool = False) -> DataFrame:
-    doc = F.col("raw_data")
-    return raw.select(
-        *document_fields(COMMENT_FIELDS),
-        either_spelling(doc, "plus1", "+1").alias("thumbs_up_count"),
-        either_spelling(doc, "minus1", "-1").alias("thumbs_down_count"),
-        *lineage(keep_document),
-    ).withColumns(
-        {
-            "body_length": F.length("body"),
-            "issue_number": capture(F.col("issue_url"), ISSUE_NUMBER_IN_URL).try_cast("bigint"),
-            "repository_full_name": capture(F.col("issue_url"), REPOSITORY_IN_ISSUE_URL),
-        }
-    )
-
-
-def either_spelling(document: Column, word: str, sign: str) -> Column:
-    """Thumb reactions are keyed by a word in some documents and by a sign in others."""
-    return F.coalesce(
-        field(document, f"$.reactions.{word}", "bigint"),
-        field(document, f"$.reactions['{sign}']", "bigint"),
+    def thumbs(word: str, sign: str) -> Column:
+        return F.coalesce(member("doc", f"reactions.{word}"), member("doc", f"reactions.{sign}"))
+
+    return (
+        typed(raw, COMMENT_FIELDS, COMMENT_HELPERS, keep_document)
+        .withColumns(
+            {
+                "thumbs_up_count": thumbs("plus1", "+1"),
+                "thumbs_down_count": thumbs("minus1", "-1"),
+                "body_length": F.length("body"),
+                "issue_number": capture(F.col("issue_url"), ISSUE_NUMBER_IN_URL).try_cast("bigint"),
+                "repository_full_name": capture(F.col("issue_url"), REPOSITORY_IN_ISSUE_URL),
+            }
+        )
+        .drop("doc")
     )
 
 
