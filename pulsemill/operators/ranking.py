@@ -27,7 +27,7 @@ def hot_groups(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> Data
     """Groups above ``hot_rows`` with their size: at most ``rows / hot_rows`` of them.
 
     Counted exactly; the count reads only the key columns and is combined before
-    the exchange. The result is written to the checkpoint folder once.
+    the exchange. The result is written to the shared folder once.
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     return cut_lineage(sizes.where(F.col("_rows") > hot_rows))
@@ -46,7 +46,7 @@ def sequence_in_slices(
     """Row numbers for groups that do not fit one task.
 
     The rows are range-partitioned by (keys, order), so each partition is one
-    contiguous slice of the sorted data, and written to the checkpoint folder, which
+    contiguous slice of the sorted data, and written to the shared folder, which
     fixes the slice a row belongs to even if executors are lost. A row's number is
     its number inside the slice plus the rows of its group in earlier slices. Only a
     group carried over from an earlier slice has such an offset, one per slice at

@@ -7,6 +7,8 @@ repositories are one distributed job; there is no loop over chunks.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,12 +19,17 @@ from pulsemill.functions.temporal import (
     whole_months_between,
 )
 from pulsemill.operators.upsert import upsert
-from pulsemill.plans.extraction import children_of, without_pull_requests
-from pulsemill.plans.quality import combine, null_percentage, require_passed
+from pulsemill.plans.extraction import without_pull_requests
+from pulsemill.plans.quality import MAX_NULL_PERCENTAGE
 from pulsemill.session import cut_lineage
 from pulsemill.sources.landing import raw_documents, write_landing
 
 LEDGER_KEY = ["run_id", "repository", "chunk_id"]
+CHUNK = ["repository", "chunk_id"]
+
+# Columns a loaded row must have.
+REQUIRED_ISSUE_COLUMNS = ["issue_id", "issue_number", "title", "state", "created_at"]
+REQUIRED_COMMENT_COLUMNS = ["comment_id", "issue_url", "created_at", "body"]
 
 # Fixed value: consecutive failures after which a repository is given up.
 MAX_CONSECUTIVE_FAILURES = 10
@@ -100,7 +107,7 @@ def with_chunk(issues: DataFrame, periods: DataFrame) -> DataFrame:
 def pending_chunks(chunks: DataFrame, ledger: DataFrame) -> DataFrame:
     """Planned chunks that no run has completed."""
     done = ledger.where("status = 'completed'").select("repository", "chunk_id")
-    return chunks.join(done, ["repository", "chunk_id"], "left_anti")
+    return chunks.join(done, CHUNK, "left_anti")
 
 
 def chunk_load_counts(
@@ -120,30 +127,92 @@ def chunk_load_counts(
         .agg(F.count(F.lit(1)).alias("issues"), F.sum(F.coalesce(busy, F.lit(0))).alias("comments"))
     )
     none = F.lit(0).cast("bigint")
-    return chunks.join(loaded, ["repository", "chunk_id"], "left").withColumns(
+    return chunks.join(loaded, CHUNK, "left").withColumns(
         {"issues": F.coalesce("issues", none), "comments": F.coalesce("comments", none)}
     )
 
 
-def completed_entries(counts: DataFrame, run_id: str, as_of: AsOf) -> DataFrame:
-    """Ledger rows for loaded chunks."""
-    return counts.select(
+def ledger_entries(chunks: DataFrame, run_id: str, as_of: AsOf) -> DataFrame:
+    """Chunks with ``status``, counts and ``error`` in the shape of the ledger."""
+    return chunks.select(
         F.lit(run_id).alias("run_id"),
         "repository",
         "chunk_id",
-        F.lit("completed").alias("status"),
+        "status",
         "issues",
         "comments",
-        F.lit(None).cast("string").alias("error"),
+        "error",
         as_of_timestamp(as_of).alias("recorded_at"),
     )
 
 
+def completed_entries(counts: DataFrame, run_id: str, as_of: AsOf) -> DataFrame:
+    """Ledger rows for loaded chunks."""
+    done = counts.withColumns({"status": F.lit("completed"), "error": F.lit(None).cast("string")})
+    return ledger_entries(done, run_id, as_of)
+
+
+def failed_entries(chunks: DataFrame, run_id: str, as_of: AsOf) -> DataFrame:
+    """Ledger rows for chunks that failed with ``error``."""
+    nothing = F.lit(0).cast("bigint")
+    failed = chunks.withColumns({"status": F.lit("failed"), "issues": nothing, "comments": nothing})
+    return ledger_entries(failed, run_id, as_of)
+
+
 def update_ledger(ledger: DataFrame, entries: DataFrame) -> DataFrame:
     """Record chunks; a chunk tried again in the same run replaces its entry."""
     return upsert(ledger, entries, LEDGER_KEY)
 
 
+def missing_share(rows: DataFrame, required: list[str], name: str) -> DataFrame:
+    """Percentage of required values missing per chunk."""
+    lacking = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("bigint") for c in required])
+    share = F.sum(lacking) * 100.0 / (F.count(F.lit(1)) * len(required))
+    return rows.groupBy(*CHUNK).agg(share.alias(name))
+
+
+def judge_chunks(
+    todo: DataFrame,
+    issues: DataFrame,
+    comments: DataFrame,
+    limit: float = MAX_NULL_PERCENTAGE,
+    strict: bool = False,
+    max_failures: int = MAX_CONSECUTIVE_FAILURES,
+) -> DataFrame:
+    """Planned chunks with the share of missing values and what becomes of each.
+
+    ``status`` is failed for a chunk above the limit (only if ``strict``), completed for
+    any other, and NULL for those after the point where a repository is given up.
+    """
+    judged = (
+        todo.join(missing_share(issues, REQUIRED_ISSUE_COLUMNS, "issues_missing"), CHUNK, "left")
+        .join(missing_share(comments, REQUIRED_COMMENT_COLUMNS, "comments_missing"), CHUNK, "left")
+        .withColumns(
+            {
+                "issues_missing": F.coalesce("issues_missing", F.lit(0.0)),
+                "comments_missing": F.coalesce("comments_missing", F.lit(0.0)),
+            }
+        )
+    )
+    worst = F.greatest("issues_missing", "comments_missing")
+    failed = (worst > limit) & F.lit(strict)
+    judged = judged.withColumns(
+        {
+            "status": F.when(failed, "failed").otherwise("completed"),
+            "error": F.when(failed, F.concat(F.round(worst, 1).cast("string"), F.lit("% of required values missing"))),
+        }
+    )
+    stops = failure_streaks(judged.withColumn("run_id", F.lit("")), max_failures).select(
+        "repository", "stopped_at"
+    )
+    reached = F.col("stopped_at").isNull() | (F.col("chunk_id") <= F.col("stopped_at"))
+    return (
+        judged.join(stops, "repository")
+        .withColumn("status", F.when(reached, F.col("status")))
+        .drop("stopped_at")
+    )
+
+
 def load_pending(
     issues: DataFrame,
     comments: DataFrame,
@@ -154,42 +223,37 @@ def load_pending(
     as_of: AsOf,
     strict: bool = False,
     dry_run: bool = False,
+    max_failures: int = MAX_CONSECUTIVE_FAILURES,
 ) -> tuple[DataFrame, DataFrame]:
-    """Load every pending chunk; gives (new ledger entries, check results).
+    """Load every pending chunk; gives (new ledger entries, judged chunks).
 
     ``issues`` and ``comments`` are staged with their documents kept, so each id comes
     once. Issues without pull requests and the comments of issues that have some are
-    checked and written to the landing area, dated by the end of their chunk. With
-    ``strict`` a failed check stops the load before anything is written; with
-    ``dry_run`` nothing is written and no chunk is recorded.
+    checked per chunk and written to the landing area, dated by the end of their chunk.
+    With ``strict`` a chunk that fails the check is recorded as failed and not written,
+    and a repository is given up after ``max_failures`` such chunks in a row. With
+    ``dry_run`` nothing is written and nothing recorded.
     """
     todo = cut_lineage(pending_chunks(month_chunks(periods), ledger))
-    chunk = ["repository", "chunk_id"]
     parent = ["repository", "issue_number"]
-    chunked = with_chunk(without_pull_requests(issues), periods)
-    loaded = cut_lineage(chunked.join(todo.select(*chunk, "chunk_end"), chunk))
-    remarks = children_of(
-        comments.drop("repository").withColumnRenamed("repository_full_name", "repository"), loaded, parent
+    loaded = cut_lineage(
+        with_chunk(without_pull_requests(issues), periods).join(todo.select(*CHUNK, "chunk_end"), CHUNK)
     )
-    checks = cut_lineage(
-        combine(
-            [
-                null_percentage(
-                    loaded, "issues", ["issue_id", "issue_number", "title", "state", "created_at"], strict=strict
-                ),
-                null_percentage(remarks, "comments", ["comment_id", "issue_url", "created_at", "body"], strict=strict),
-            ]
-        )
-    )
-    if strict:
-        require_passed(checks)
+    busy = loaded.where(F.col("comment_count") > 0).select(*parent, "chunk_id", "chunk_end")
+    remarks = comments.drop("repository").withColumnRenamed("repository_full_name", "repository").join(busy, parent)
+    judged = cut_lineage(judge_chunks(todo, loaded, remarks, strict=strict, max_failures=max_failures))
     if dry_run:
-        return ledger.limit(0), checks
-    dated = remarks.join(loaded.select(*parent, "chunk_end"), parent)
-    for entity, rows in (("issues", loaded), ("comments", dated)):
+        return ledger.limit(0), judged
+
+    good = judged.where("status = 'completed'")
+    for entity, rows in (("issues", loaded), ("comments", remarks)):
+        kept = rows.join(good.select(*CHUNK), CHUNK, "left_semi")
         day = F.to_date("chunk_end")
-        write_landing(raw_documents(rows, entity, F.col("repository"), day, as_of), root, entity)
-    return completed_entries(chunk_load_counts(todo, loaded, remarks), run_id, as_of), checks
+        write_landing(raw_documents(kept, entity, F.col("repository"), day, as_of), root, entity)
+    counts = chunk_load_counts(good.select(*todo.columns), loaded, remarks)
+    bad = judged.where("status = 'failed'")
+    entries = completed_entries(counts, run_id, as_of).unionByName(failed_entries(bad, run_id, as_of))
+    return entries, judged
 
 
 def failure_streaks(ledger: DataFrame, max_failures: int = MAX_CONSECUTIVE_FAILURES) -> DataFrame:
@@ -217,7 +281,7 @@ def repository_status(
         F.bool_or(F.col("status") == "completed").alias("_done")
     )
     progress = (
-        chunks.join(tried, ["repository", "chunk_id"], "left")
+        chunks.join(tried, CHUNK, "left")
         .groupBy("repository")
         .agg(
             F.count(F.lit(1)).alias("planned_chunks"),

@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 from pulsemill.functions.temporal import AsOf, as_of_date
 from pulsemill.operators.ranking import HOT_ROWS, top_n_within
+from pulsemill.sources.landing import raw_documents, write_landing
+
+# Defaults of the daily extract.
+LOOKBACK_DAYS = 7
+MAX_ISSUES_PER_REPOSITORY = 500
 
 
 def updated_within(df: DataFrame, as_of: AsOf, days: int, column: str = "updated_at") -> DataFrame:
@@ -41,6 +46,40 @@ def issue_pr_split(issues: DataFrame, by: list[str] | None = None) -> DataFrame:
     )
 
 
+def land_daily_extract(
+    issues: DataFrame,
+    comments: DataFrame,
+    repositories: DataFrame,
+    enabled: DataFrame,
+    root: str,
+    day: str,
+    lookback_days: int = LOOKBACK_DAYS,
+    cap: int = MAX_ISSUES_PER_REPOSITORY,
+) -> None:
+    """Land what one day's extract keeps of the enabled repositories.
+
+    The frames are staged with their documents kept; ``enabled`` has ``full_name``.
+    Issues (pull requests included) are the most recently updated within the lookback,
+    capped per repository; comments are those updated within the lookback. Landing a
+    day again replaces it.
+    """
+
+    def of_enabled(rows: DataFrame, name: str) -> DataFrame:
+        names = enabled.select(F.col("full_name").alias(name))
+        return rows.join(names, name, "left_semi")
+
+    kept_issues = newest_per_repository(
+        updated_within(of_enabled(issues, "repository"), day, lookback_days), cap
+    )
+    kept_comments = updated_within(of_enabled(comments, "repository_full_name"), day, lookback_days)
+    for entity, rows, name in (
+        ("issues", kept_issues, "repository"),
+        ("comments", kept_comments, "repository_full_name"),
+        ("repositories", of_enabled(repositories, "full_name"), "full_name"),
+    ):
+        write_landing(raw_documents(rows, entity, F.col(name), F.lit(day), day), root, entity)
+
+
 def children_of(children: DataFrame, parents: DataFrame, keys: list[str]) -> DataFrame:
     """Comments of the given issues; issues that say they have none are skipped."""
     busy = parents.where(F.col("comment_count") > 0).select(*keys)

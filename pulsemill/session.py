@@ -85,6 +85,11 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def cut_lineage(df):
-    """Write ``df`` to the shared checkpoint folder and read on from there."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` once as a table below the shared folder and read on from there.
+
+    Later stages neither recompute it nor depend on the executors that made it, and
+    joins see its real size. Give columns a type: an untyped NULL cannot be written.
+    """
+    path = scratch_folder(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -37,7 +37,7 @@ def merge_partitions(
     A key must always fall into the same partition, as the day of a comment or of a
     daily fact does. The table is pruned to the partitions of the delta, a list as long
     as the delta has distinct partition values (days or months, not rows). The merged
-    rows are written to the checkpoint folder before the table is touched, so nothing
+    rows are written to the shared folder before the table is touched, so nothing
     is read from a partition while it is replaced.
     """
     target = read_table(spark, path)

@@ -132,7 +132,7 @@ def test_load_and_resume(spark, tmp_path, history, periods):
     counts = {(r["repository"], r["chunk_id"]): (r["issues"], r["comments"]) for r in entries.collect()}
     assert counts["o/a_b", "2024-01"] == (1, 2) and counts["o/a_b", "2024-02"] == (2, 1)
     assert counts["o/a_b", "2024-03"] == (0, 0) and counts["o/c", "2024-03"] == (0, 0)
-    assert {r["status"] for r in checks.collect()} == {"pass"}
+    assert {r["status"] for r in checks.collect()} == {"completed"}
 
     done = backfill.update_ledger(ledger, entries)
     again, _ = backfill.load_pending(issues, comments, periods, done, str(root), "r2", NOW)
@@ -140,11 +140,35 @@ def test_load_and_resume(spark, tmp_path, history, periods):
     assert landed(spark, root, "issues") == [1, 2, 4]
 
 
-def test_strict_check_stops_before_writing(spark, tmp_path, raw, history, periods):
-    bare = raw(*[(json.dumps({"id": i, "created_at": "2024-03-05T00:00:00Z", "repository_url": "x/repos/o/c"}), "2024-01-01", "f", i) for i in (1, 2)])
+def bare(raw, *created):
+    """Issues that have neither title nor state."""
+    docs = [{"id": i, "created_at": at, "repository_url": "x/repos/o/a_b"} for i, at in enumerate(created)]
+    return staging.stage_issues(raw(*[(json.dumps(d), "2024-01-01", "f", n) for n, d in enumerate(docs)]), True)
+
+
+def test_strict_check_fails_the_chunk_only(spark, tmp_path, raw, history, periods):
+    issues, comments = history
+    poor = bare(raw, "2024-02-03T00:00:00Z", "2024-02-04T00:00:00Z").withColumn("issue_id", F.col("issue_id") + 100)
+    ledger = spark.createDataFrame([], LEDGER)
     root = tmp_path / "landing"
-    with pytest.raises(ValueError, match="null_percentage"):
-        backfill.load_pending(
-            staging.stage_issues(bare, True), history[1], periods, spark.createDataFrame([], LEDGER), str(root), "r", NOW, strict=True
-        )
-    assert not root.exists()
+    entries, judged = backfill.load_pending(
+        issues.unionByName(poor), comments, periods, ledger, str(root), "r", NOW, strict=True
+    )
+    got = {(r["repository"], r["chunk_id"]): (r["status"], r["issues"], r["error"]) for r in entries.collect()}
+    assert got["o/a_b", "2024-01"] == ("failed", 0, "40.0% of required values missing")
+    assert got["o/a_b", "2024-02"] == ("completed", 2, None)
+    assert landed(spark, root, "issues") == [2, 4] and landed(spark, root, "comments") == [14]
+    # The failed chunk is still to do; without the strict check it is loaded.
+    done = backfill.update_ledger(ledger, entries)
+    again, _ = backfill.load_pending(issues.unionByName(poor), comments, periods, done, str(root), "r2", NOW)
+    assert [(r["chunk_id"], r["issues"]) for r in again.collect()] == [("2024-01", 3)]
+
+
+def test_repository_is_given_up_after_failures_in_a_row(spark, tmp_path, raw, history, periods):
+    poor = bare(raw, "2024-02-03T00:00:00Z", "2024-03-04T00:00:00Z", "2024-04-04T00:00:00Z")
+    entries, judged = backfill.load_pending(
+        poor, history[1], periods, spark.createDataFrame([], LEDGER), str(tmp_path / "l"), "r", NOW, strict=True, max_failures=2
+    )
+    mine = {r["chunk_id"]: r["status"] for r in entries.where("repository = 'o/a_b'").collect()}
+    assert mine == {"2024-01": "failed", "2024-02": "failed"}
+    assert judged.where("repository = 'o/a_b' and status is null").count() == 1
