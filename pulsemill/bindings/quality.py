@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from pulsemill.bindings import roles
 from pulsemill.bindings.models import accepted_lifecycle, lifecycle
 from pulsemill.bindings.roles import AS_OF, ISSUES_SQL, REPOSITORIES_SQL, Tables, binder

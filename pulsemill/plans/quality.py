@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsemill.functions.temporal import AsOf, as_of_timestamp
+from pulsemill.functions.variants import subdocument
 
 # Limits of the declared checks.
 FRESH_WARN_HOURS = 24
@@ -136,6 +137,15 @@ def null_percentage(
     )
 
 
+def required_of_documents(raw: DataFrame, required: list[str]) -> DataFrame:
+    """One column per required field of RAW documents, NULL where a document lacks it.
+
+    Feed it to ``null_percentage`` or ``rows_missing_fields``.
+    """
+    parts = [subdocument(F.col("raw_data"), f"$.{name}").alias(name) for name in required]
+    return raw.select("source_file", *parts)
+
+
 def rows_missing_fields(df: DataFrame, required: list[str]) -> DataFrame:
     """Rows that lack a required field, with the names of the fields they lack."""
     names = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]))

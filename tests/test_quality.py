@@ -68,6 +68,18 @@ def test_rows_missing_fields(spark):
     assert got == {1: "a,b", 2: "b"}
 
 
+def test_required_fields_of_documents(raw):
+    frame = raw(
+        ('{"id":1,"name":"r","full_name":"o/r","created_at":"2024-01-01T00:00:00Z"}', "2024-01-01", "a", 0),
+        ('{"id":2,"name":null,"full_name":"o/s"}', "2024-01-01", "b", 0),
+    )
+    fields = quality.required_of_documents(frame, quality.REQUIRED_REPOSITORY)
+    row = first(quality.null_percentage(fields, "repositories", quality.REQUIRED_REPOSITORY))
+    assert (row["failing_rows"], row["measured"], row["status"]) == (2, 25.0, "warn")
+    lacking = quality.rows_missing_fields(fields, quality.REQUIRED_REPOSITORY)
+    assert [(r["source_file"], r["missing_fields"]) for r in lacking.collect()] == [("b", "name,created_at")]
+
+
 def test_thin_months_report_empty_ones(spark):
     df = spark.createDataFrame([("2024-01-05",), ("2024-01-06",), ("2024-03-01",)], "d string")
     got = quality.thin_months(df.select(F.to_timestamp_ntz("d").alias("at")), "m", "at", 2).collect()
