@@ -15,6 +15,9 @@ from pulsemill.functions.text import capture
 
 RAW_COLUMNS = ["raw_data", "loaded_at", "source_file", "tie_breaker"]
 
+# Types are given, or a repository named by digits alone would be read as a number.
+LANDED = "value string, entity string, load_date date, repo_key string"
+
 # Fixed value: {entity}/YYYY/MM/DD/{owner}_{repo}_{suffix}_{YYYY-MM-DD}.json
 DATED_PATH = r"([^/]+)/\d{4}/\d{2}/\d{2}/(.+)_[a-z]+_(\d{4}-\d{2}-\d{2})\.json$"
 
@@ -78,7 +81,7 @@ def read_landing(
 
     Entity and dates are partition filters: other folders are not read.
     """
-    landed = spark.read.text(root).where(F.col("entity") == entity)
+    landed = spark.read.schema(LANDED).text(root).where(F.col("entity") == entity)
     if first is not None:
         landed = landed.where(F.col("load_date") >= F.lit(first))
     if last is not None:

@@ -94,6 +94,15 @@ def test_landing_is_idempotent(spark, tmp_path):
     assert doc["source_file"] == "issues/2024/01/02/o_c_issues_2024-01-02.json"
 
 
+def test_repository_named_by_digits(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    frame = spark.createDataFrame([(1, "007", "2024-01-01")], "id long, repo string, day string")
+    enriched = enrich(frame, "issues", F.col("repo"), F.col("day"), "2024-01-03 00:00:00")
+    write_landing(row_documents(enriched), root, "issues")
+    row = read_landing(spark, root, "issues").first()
+    assert (row["path_repository"], row["path_date"]) == ("007", date(2024, 1, 1))
+
+
 def test_metadata_is_added_to_raw_documents(spark, raw):
     frame = raw(
         ('{"id":1,"t":"x,}"}', "2024-01-01", "f", 0),
