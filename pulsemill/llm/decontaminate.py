@@ -20,6 +20,11 @@ CONTAINMENT = 0.8
 BROADCAST_ROWS = 200_000
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def words_of(text: Column) -> Column:
     """Lower-cased runs of letters, digits and marks."""
     split = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}\p{M}]+")
@@ -28,14 +33,22 @@ def words_of(text: Column) -> Column:
 
 def shingle_texts(words: Column, n: int = SHINGLE) -> Column:
     """Distinct shingles; fewer than ``n`` words are one shingle, no words none."""
-    places = F.sequence(F.lit(0), F.size(words) - n)
+    return bound(words, lambda w: shingle_texts_of(w, n))
+
+
+def shingle_texts_of(words: Column, n: int) -> Column:
+    places = F.sequence(F.lit(0), F.greatest(F.size(words) - n, F.lit(0)))
     many = F.array_distinct(F.transform(places, lambda i: F.concat_ws(" ", F.slice(words, i + 1, n))))
     return F.when(F.size(words) >= n, many).when(F.size(words) > 0, F.array(F.concat_ws(" ", words))).otherwise(F.array().cast("array<string>"))
 
 
 def shingle_hashes(words: Column, n: int = SHINGLE) -> Column:
     """Hashes of all shingles, in order, with repetitions; as ``shingle_texts`` counts them."""
-    places = F.sequence(F.lit(0), F.size(words) - n)
+    return bound(words, lambda w: shingle_hashes_of(w, n))
+
+
+def shingle_hashes_of(words: Column, n: int) -> Column:
+    places = F.sequence(F.lit(0), F.greatest(F.size(words) - n, F.lit(0)))
     many = F.transform(places, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(n)]))
     few = F.array(F.xxhash64(*[F.get(words, F.lit(k)) for k in range(n)]))
     return F.when(F.size(words) >= n, many).when(F.size(words) > 0, few).otherwise(F.array().cast("array<bigint>"))

@@ -72,9 +72,12 @@ FROM judged LEFT JOIN hosts USING (host)"""
 
 
 def op4_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Preference rows of all pairs of conversations that share their first turn."""
+    """Preference rows of all pairs: conversations that share their first turn, and every
+    conversation against itself with a stale last reply."""
     turns = read(spark, sf_dir, "conversations")
-    return preferences.preference_turns(turns, preferences.pairs_by_opening(turns))
+    met = preferences.turns_of_pairs(turns, preferences.pairs_by_opening(turns))
+    stale = preferences.stale_replies(turns)
+    return preferences.preference_turns(met[0].unionByName(stale[0]), met[1].unionByName(stale[1]))
 
 
 OP4_SQL = """
@@ -85,8 +88,17 @@ first_turn AS (
   SELECT conv_id, role, text FROM clean QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) = 1),
 led AS (SELECT conv_id AS rejected, min(conv_id) OVER (PARTITION BY role, text) AS chosen FROM first_turn),
 pairs AS (SELECT chosen, rejected FROM led WHERE chosen <> rejected),
-left_turns AS (SELECT p.*, c.turn, c.role, c.text FROM pairs p JOIN clean c ON c.conv_id = p.chosen),
-right_turns AS (SELECT p.*, c.turn, c.role, c.text FROM pairs p JOIN clean c ON c.conv_id = p.rejected),
+replies AS (
+  SELECT *, lead(turn) OVER w AS later, lag(text) OVER w AS stale
+  FROM (SELECT conv_id, turn, max(text) AS text FROM clean WHERE role = 'assistant' GROUP BY ALL) WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+ending AS (SELECT conv_id, turn AS last_turn, text, stale FROM replies WHERE later IS NULL AND stale IS NOT NULL),
+history AS (SELECT c.conv_id AS chosen, c.conv_id AS rejected, c.turn, c.role, c.text FROM clean c JOIN ending USING (conv_id) WHERE c.turn < last_turn),
+left_turns AS (
+  SELECT p.*, c.turn, c.role, c.text FROM pairs p JOIN clean c ON c.conv_id = p.chosen
+  UNION ALL FROM history UNION ALL SELECT conv_id, conv_id, last_turn, 'assistant', text FROM ending),
+right_turns AS (
+  SELECT p.*, c.turn, c.role, c.text FROM pairs p JOIN clean c ON c.conv_id = p.rejected
+  UNION ALL FROM history UNION ALL SELECT conv_id, conv_id, last_turn, 'assistant', stale FROM ending),
 uneven AS (
   (SELECT * FROM left_turns EXCEPT SELECT * FROM right_turns) UNION ALL (SELECT * FROM right_turns EXCEPT SELECT * FROM left_turns)),
 ends AS (SELECT chosen, rejected, min(turn) AS parts_at FROM uneven GROUP BY ALL),
@@ -107,8 +119,8 @@ def op6_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP6_SQL = r"""
-WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}\p{M}]+'), w -> w <> '') AS w FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
-b AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}\p{M}]+'), w -> w <> '') AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}\p{M}]+'), lambda x: x <> '') AS w FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+b AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}\p{M}]+'), lambda x: x <> '') AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
 ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:least(i + 4, len(w))], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(1, len(w))) + 1)) AS i FROM d)),
 bs AS (SELECT DISTINCT item_id, array_to_string(w[i:least(i + 4, len(w))], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 4, least(1, len(w))) + 1)) AS i FROM b)),
 sizes AS (SELECT item_id, count(*) AS n FROM bs GROUP BY item_id)

@@ -16,6 +16,15 @@ OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 TRAINED_ROLE = "assistant"
 
 
+def clean_turns(turns: DataFrame) -> DataFrame:
+    """Distinct (conv_id, turn, role, text) with an id and a turn number; null roles and texts are empty."""
+    return (
+        turns.where("conv_id IS NOT NULL AND turn IS NOT NULL")
+        .select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+        .distinct()
+    )
+
+
 def pairs_by_opening(turns: DataFrame) -> DataFrame:
     """(chosen, rejected): within conversations with the same first turn, the one with
     the smallest id against each other one. Linear in the number of conversations.
@@ -23,46 +32,79 @@ def pairs_by_opening(turns: DataFrame) -> DataFrame:
     The first turn is the row with the smallest turn number (ties: role, then text).
     """
     first = (
-        turns.where("conv_id IS NOT NULL AND turn IS NOT NULL")
+        clean_turns(turns)
         .groupBy("conv_id")
-        .agg(F.min(F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))).alias("f"))
+        .agg(F.min(F.struct("turn", "role", "text")).alias("f"))
         .select("conv_id", F.sha2(F.concat_ws("\x1f", "f.role", "f.text"), 256).alias("opening"))
     )
     leaders = first.groupBy("opening").agg(F.min("conv_id").alias("chosen"))
     return first.join(leaders, "opening").where("conv_id <> chosen").select("chosen", F.col("conv_id").alias("rejected"))
 
 
-def preference_turns(turns: DataFrame, pairs: DataFrame, trained_role: str = TRAINED_ROLE) -> DataFrame:
+def turns_of_pairs(turns: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The turns of both sides of pairs of conversations, for ``preference_turns``."""
+    clean = clean_turns(turns)
+
+    def side(name: str) -> DataFrame:
+        return clean.join(pairs.withColumn("conv_id", F.col(name)), "conv_id").select("chosen", "rejected", "turn", "role", "text")
+
+    return side("chosen"), side("rejected")
+
+
+def stale_replies(turns: DataFrame, trained_role: str = TRAINED_ROLE) -> tuple[DataFrame, DataFrame]:
+    """Both sides of one pair for each conversation with two replies or more.
+
+    Chosen is the conversation up to its last reply; in the rejected one that reply is
+    the one before it once more. ``rejected`` is the same id as ``chosen``. Of several
+    replies with one turn number the last in order of their texts counts.
+    """
+    clean = clean_turns(turns)
+    replies = clean.where(F.col("role") == trained_role).groupBy("conv_id", "turn").agg(F.max("text").alias("text"))
+    last = replies.groupBy("conv_id").agg(F.max(F.struct("turn", "text")).alias("last"))
+    before = (
+        replies.join(last, "conv_id")
+        .where(F.col("turn") < F.col("last.turn"))
+        .groupBy("conv_id", "last")
+        .agg(F.max(F.struct("turn", "text")).alias("before"))
+    )
+    kept = clean.join(before, "conv_id").where((F.col("turn") < F.col("last.turn")))
+    history = kept.select(F.col("conv_id").alias("chosen"), F.col("conv_id").alias("rejected"), "turn", "role", "text")
+
+    def ending(text: str) -> DataFrame:
+        return before.select(F.col("conv_id").alias("chosen"), F.col("conv_id").alias("rejected"), F.col("last.turn").alias("turn"), F.lit(trained_role).alias("role"), F.col(text).alias("text"))
+
+    return history.unionByName(ending("last.text")), history.unionByName(ending("before.text"))
+
+
+def preference_turns(chosen: DataFrame, rejected: DataFrame, trained_role: str = TRAINED_ROLE) -> DataFrame:
     """Rows (chosen, rejected, part, turn, role, rendered, mask_start, mask_end) of all pairs.
 
-    ``turns``: (conv_id, turn, role, text); ``pairs``: (chosen, rejected), two different
-    ids. ``part`` is ``prompt`` for the turns of the common prefix (once, from the
-    chosen one), ``chosen`` or ``rejected`` for the turns after it. ``rendered`` is the
-    turn in chat markup. The mask is the span of characters of ``rendered`` to train on
-    (start from 0, end exclusive): the text and the end mark of turns of
-    ``trained_role`` in a completion, empty (0, 0) elsewhere.
+    Both inputs: (chosen, rejected, turn, role, text), the first two naming the pair.
+    ``part`` is ``prompt`` for the turns of the longest common prefix (once), ``chosen``
+    or ``rejected`` for the turns after it. ``rendered`` is the turn in chat markup. The
+    mask is the span of characters of ``rendered`` to train on (start from 0, end
+    exclusive): the text and the end mark of turns of ``trained_role`` in a completion,
+    empty (0, 0) elsewhere.
 
     Turn numbers are compared, with the same (role, text) on both sides; a turn that
     only one side has ends the prefix. Equal conversations have a prompt only. Null
-    roles and texts count as empty; rows without an id or turn number and exact
-    repetitions of a row are left out; several rows with one turn number are one turn
-    and are all rendered. Extra columns are ignored. Ids that are not in ``turns`` have
-    no rows. Order of a part: turn, role, rendered.
+    roles and texts count as empty; rows without a turn number and exact repetitions of
+    a row are left out; several rows with one turn number are one turn and are all
+    rendered. Extra columns are ignored. Empty inputs give no rows. Order of a part:
+    turn, role, rendered.
     """
-    clean = (
-        turns.where("conv_id IS NOT NULL AND turn IS NOT NULL")
-        .select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-        .distinct()
-    )
-    sided = clean.join(
-        pairs.select("chosen", "rejected", F.explode(F.array(F.struct(F.lit(True).alias("c"), F.col("chosen").alias("id")), F.struct(F.lit(False).alias("c"), F.col("rejected").alias("id")))).alias("side")).select(
-            "chosen", "rejected", F.col("side.c").alias("is_chosen"), F.col("side.id").alias("conv_id")
-        ),
-        "conv_id",
-    )
-    # One row for each turn of a pair: sides that have it (1 chosen, 2 rejected, 3 both).
-    met = sided.groupBy("chosen", "rejected", "turn", "role", "text").agg(
-        F.sum(F.when(F.col("is_chosen"), 1).otherwise(2)).alias("sides")
+
+    def side(df: DataFrame, bit: int) -> DataFrame:
+        return df.where("turn IS NOT NULL").select(
+            "chosen", "rejected", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), F.lit(bit).alias("bit")
+        )
+
+    # One row for each turn of a pair; sides: 1 chosen, 2 rejected, 3 both.
+    met = (
+        side(chosen, 1)
+        .unionByName(side(rejected, 2))
+        .groupBy("chosen", "rejected", "turn", "role", "text")
+        .agg(F.bit_or("bit").alias("sides"))
     )
     parted = met.where("sides <> 3").groupBy("chosen", "rejected").agg(F.min("turn").alias("parts_at"))
     opened = F.concat(F.lit(OPEN), F.col("role"), F.lit("\n"))
