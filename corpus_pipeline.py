@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsemill.llm import secrets
+from pulsemill.llm import secret_scan
 from pulsemill.session import cut_lineage
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secrets.redact_secrets(docs)
+    return secret_scan.redact_secrets(docs)
 
 
 STAGES = [("secret scans", mask_secrets)]

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemill.llm import secrets
+from pulsemill.llm import factorisation, kmeans_tree, packing, secret_scan
 from pulsemill.llm.native_queries import read
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts and digest of the base kinds, spans of all kinds."""
-    found = secrets.find_secrets(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    base = [r.kind for r in secrets.BASE_RULES]
+    found = secret_scan.find_secrets(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = [r.kind for r in secret_scan.BASE_RULES]
 
     def count(kind: str):
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -29,7 +29,37 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in sequences of 2048 tokens."""
+    packed = packing.pack_documents(read(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary())
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document; labels of the held-out fold are never used."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    machine = factorisation.train(docs, read(spark, sf_dir, "labels"))
+    scored = factorisation.score(docs, machine)
+    return scored.select(
+        "doc_id", factorisation.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest found for every 50th vector."""
+    return kmeans_tree.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 QUERIES = {
+    "op3_packing": op3_packing,
+    "op8_quality": op8_quality,
+    "op9_neighbours": op9_neighbours,
     "op5_secrets": op5_secrets,
 }
 SQL: dict[str, str] = {}
