@@ -23,9 +23,11 @@ WORD_BUCKETS = 2048
 BINS = 10
 RANK = 8
 #: Most labelled rows that a model is fitted on; the ones with the smallest hash of their id.
-SAMPLE_ROWS = 12_000
+SAMPLE_ROWS = 8_000
 EPOCHS = 8
-BATCH = 256
+BATCH = 128
+#: Small samples are gone through more often, for so many steps at least.
+LEAST_STEPS = 600
 RATE = 0.02
 DECAY = 1e-5
 
@@ -155,31 +157,32 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, float]], *, rank: int = RANK, e
     Without rows the machine scores one half everywhere.
     """
     random = np.random.default_rng(seed)
-    linear, factors = np.zeros(FEATURES), random.normal(0, 0.05, (FEATURES, rank))
-    y = np.array([t for _, _, t in rows], float)
+    linear, factors = np.zeros(FEATURES, np.float32), random.normal(0, 0.05, (FEATURES, rank)).astype(np.float32)
+    y = np.array([t for _, _, t in rows], np.float32)
     share = min(max(y.mean(), 0.01), 0.99) if len(y) else 0.5
     bias = float(np.log(share / (1 - share)))
-    state = [np.zeros((2, *p.shape)) for p in (linear, factors, np.zeros(1))]
+    state = [np.zeros((2, *p.shape), np.float32) for p in (linear, factors)]
     step = 0
-    for epoch in range(epochs):
+    epochs = max(epochs, -(-LEAST_STEPS * BATCH // max(1, len(rows))))
+    for epoch in range(epochs if len(rows) else 0):
         order = random.permutation(len(rows))
         for at in range(0, len(rows), BATCH):
             picked = order[at : at + BATCH]
-            x = np.zeros((len(picked), FEATURES))
+            x = np.zeros((len(picked), FEATURES), np.float32)
             for i, r in enumerate(picked):
                 x[i, rows[r][0]] = rows[r][1]
             total = x @ factors
-            z = bias + x @ linear + 0.5 * ((total**2).sum(1) - (x**2 @ factors**2).sum(1))
+            z = bias + x @ linear + 0.5 * ((total**2).sum(1) - ((x * x) @ (factors * factors)).sum(1))
             error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y[picked]) / len(picked)
             weighted = x * error[:, None]
             by_factors = weighted.T @ total - factors * (x * weighted).sum(0)[:, None] + DECAY * factors
             by_linear = weighted.sum(0) + DECAY * linear
             step += 1
-            rate = RATE * (1 - epoch / epochs)
+            rate = np.float32(RATE * (1 - epoch / epochs))
             for p, g, s in zip((linear, factors), (by_linear, by_factors), state):
                 s[0] += 0.1 * (g - s[0])
                 s[1] += 0.01 * (g * g - s[1])
-                p -= rate * (s[0] / (1 - 0.9**step)) / (np.sqrt(s[1] / (1 - 0.99**step)) + 1e-8)
+                p -= rate * (s[0] / np.float32(1 - 0.9**step)) / (np.sqrt(s[1] / np.float32(1 - 0.99**step)) + np.float32(1e-8))
             bias -= rate * error.sum()
     return Machine(float(bias), linear, factors)
 

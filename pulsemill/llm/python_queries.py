@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemill.llm import factorisation, kmeans_tree, packing, secret_scan
+from pulsemill.llm import factorisation, jaccard_join, kmeans_tree, packing, secret_scan
 from pulsemill.llm.native_queries import read
 
 
@@ -41,6 +41,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op7_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document by links of 3-word shingles with a Jaccard similarity of 0.9."""
+    found = jaccard_join.similar_texts(read(spark, sf_dir, "documents"), jaccard_join.Likeness(3, 90, 100))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quality score for every document; labels of the held-out fold are never used."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
@@ -58,6 +64,7 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_packing": op3_packing,
+    "op7_similar": op7_similar,
     "op8_quality": op8_quality,
     "op9_neighbours": op9_neighbours,
     "op5_secrets": op5_secrets,
