@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemill.llm import factorisation, jaccard_join, kmeans_tree, packing, secret_scan
+from pulsemill.llm import factorisation, jaccard_join, kmeans_tree, packing, secret_scan, suffix_dedup
 from pulsemill.llm.native_queries import read
 
 
@@ -29,6 +29,12 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without 50-byte strings of earlier ones."""
+    found = suffix_dedup.dedup_spans(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def vocabulary() -> str:
     import public_tokenizers
 
@@ -63,6 +69,7 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_packing": op3_packing,
     "op7_similar": op7_similar,
     "op8_quality": op8_quality,
