@@ -116,4 +116,4 @@ def contained_items(
 def drop_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """``docs`` without the rows that contain an item; all columns stay, rows without an id too."""
     found = contained_items(docs, items, doc_id=doc_id, **options).select(doc_id).distinct()
-    return docs.join(found, doc_id, "left_anti").select(docs.columns)
+    return docs.join(found, doc_id, "left_anti").select([f"`{c}`" for c in docs.columns])

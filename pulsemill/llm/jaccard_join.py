@@ -286,4 +286,4 @@ def keep_one(docs: DataFrame, like: Likeness = Likeness(), *, doc_id: str = "doc
     """
     found = similar_texts(docs, like, doc_id=doc_id, text=text)
     gone = found.where((F.col("n_shingles") > 0) & (F.col("component_id") < F.col(doc_id))).select(doc_id).distinct()
-    return docs.join(gone, doc_id, "left_anti").select(docs.columns)
+    return docs.join(gone, doc_id, "left_anti").select([f"`{c}`" for c in docs.columns])
