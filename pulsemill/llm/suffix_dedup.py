@@ -232,7 +232,8 @@ def matched(picked: np.ndarray, start: np.ndarray, size: np.ndarray, ids: np.nda
         fresh = np.zeros(len(joined), bool)
         fresh[begin] = True
         order = suffix_array(joined)
-        common = common_prefixes(joined, order, fresh, width + RUN)
+        # Far enough to tell at every place of a segment, windows or not: those between link them.
+        common = common_prefixes(joined, order, fresh, 2 * width + RUN)
         linked = common[order] >= width
         linked[0] = False
         runs = np.flatnonzero(~linked)
