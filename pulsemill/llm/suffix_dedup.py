@@ -30,8 +30,10 @@ WIDTH = 50
 GRAM = 16
 #: Windows of a segment at most.
 RUN = 64
-BUNDLE_BYTES = 8 << 20
-SHARD_BYTES = 4 << 20
+BUNDLE_BYTES = 2 << 20
+SHARD_BYTES = 2 << 20
+#: Shards for each shuffle partition, so that one is a small part of a task's memory.
+SHARDS_PER_PARTITION = 2
 NO_ID = np.iinfo(np.int64).max
 LEVEL = 6
 
@@ -105,6 +107,7 @@ class Segments:
             reach *= 2
         if span > reach:
             least = np.minimum(least[: len(least) - (span - reach)], least[span - reach :])
+        del words, grams
         # Windows that lie within one text.
         starts = np.arange(n - width + 1)
         doc = np.repeat(np.arange(len(sizes)), sizes)
@@ -125,6 +128,7 @@ class Segments:
             first = each
         self.start, self.windows, self.doc = starts[first], length, doc[first]
         tag = least[first]
+        del starts, doc, least, new, inside
         # Equal segments of the bundle, by a hash of their bytes.
         total = np.zeros(n + 1, np.uint64)
         up = powers(n)
@@ -305,14 +309,15 @@ def dedup_spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     an empty one. Ids are integers.
     """
     spark = docs.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = SHARDS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     kept = cut_lineage(bundles(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for bundle, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for shard, packet in Segments(data.as_py(), width, shards).packets():
-                    yield pa.RecordBatch.from_arrays([pa.array([shard]), pa.array([bundle]), pa.array([packet], pa.binary())], names=["shard", "bundle", "packet"])
+                packets = list(Segments(data.as_py(), width, shards).packets())
+                columns = [pa.array([s for s, _ in packets], pa.int64()), pa.array([bundle] * len(packets), pa.int64()), pa.array([p for _, p in packets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["shard", "bundle", "packet"])
 
     def reply(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
