@@ -9,68 +9,149 @@ from pulsemill.bindings import roles
 from pulsemill.bindings.models import (
     DAILY_SQL,
     FACTS_WITH,
-    accepted_lifecycle,
     countable,
     issue_metrics,
     known_metrics,
 )
 from pulsemill.bindings.roles import AS_OF, Tables, binder
-from pulsemill.plans import incremental, marts, metrics
+from pulsemill.plans import build, incremental, marts, metrics
 from pulsemill.session import scratch_folder
-from pulsemill.sources import publish_table
+from pulsemill.sources import publish_table, read_table
 
 BOUND: dict = {}
 bind = binder(BOUND)
 
 EARLIER = "2000-01-01 00:00:00"
+FIRST_LOAD, SECOND_LOAD = "2001-01-01 00:00:00", "2001-02-01 00:00:00"
+NOT_COMPARED = ("dbt_updated_at", incremental.SEEN, build.DAILY_MONTH, build.COMMENT_MONTH)
 
 
-def as_seen_earlier(t: Tables) -> DataFrame:
-    """The issues as they were at the earlier time: later ones absent, later closings open."""
-    issues = roles.issues(t).where(F.col("created_at") < F.lit(EARLIER).cast("timestamp_ntz"))
-    changed = F.col("updated_at") >= F.lit(EARLIER).cast("timestamp_ntz")
-    earlier = issues.withColumns(
+def loaded(df: DataFrame, late) -> DataFrame:
+    """``df`` with the load that brought each row: the second one where ``late``."""
+    at = F.when(late, F.lit(SECOND_LOAD)).otherwise(F.lit(FIRST_LOAD))
+    return df.withColumn("loaded_at", at.cast("timestamp_ntz"))
+
+
+def first_load(df: DataFrame) -> DataFrame:
+    return df.where(F.col("loaded_at") == F.lit(FIRST_LOAD).cast("timestamp_ntz"))
+
+
+def before(column: str):
+    return F.col(column) < F.lit(EARLIER).cast("timestamp_ntz")
+
+
+def as_seen_earlier(issues: DataFrame) -> DataFrame:
+    """The issues of the first load, with later changes undone."""
+    undone = F.col("loaded_at") == F.lit(SECOND_LOAD).cast("timestamp_ntz")
+    return issues.where(before("created_at")).withColumns(
         {
-            "closed_at": F.when(~changed, F.col("closed_at")),
-            "comment_count": F.when(changed, 0).otherwise(F.col("comment_count")),
+            "closed_at": F.when(~undone, F.col("closed_at")),
+            "comment_count": F.when(undone, 0).otherwise(F.col("comment_count")),
+            "loaded_at": F.lit(FIRST_LOAD).cast("timestamp_ntz"),
         }
     )
-    return metrics.issue_metrics(earlier, EARLIER)
 
 
-def stored_daily(t: Tables, issues: DataFrame) -> DataFrame:
-    fact = marts.repo_activity_daily(issues, known_metrics(t), EARLIER)
-    return publish_table(fact, scratch_folder(t.spark, "daily"))
+def daily_twice(t: Tables, first_issues, issues, first_repositories=None, repositories=None) -> DataFrame:
+    """The partitioned daily fact after a build from the first load and a refresh."""
+    repositories = loaded(known_metrics(t), F.lit(False)) if repositories is None else repositories
+    path = scratch_folder(t.spark, "daily")
+    build.refresh_daily_table(t.spark, path, first_issues, repositories if first_repositories is None else first_repositories, AS_OF, False)
+    build.refresh_daily_table(t.spark, path, issues, repositories, AS_OF, False)
+    return read_table(t.spark, path).drop(*NOT_COMPARED)
 
 
 @bind("incremental_daily", DAILY_SQL)
 def incremental_daily(t: Tables):
     """Days after the last stored one are added by key."""
     issues = issue_metrics(t)
-    before = issues.where(F.col("created_at") < F.lit(EARLIER).cast("timestamp_ntz"))
-    target = stored_daily(t, before)
+    fact = marts.repo_activity_daily(issues.where(before("created_at")), known_metrics(t), EARLIER)
+    target = publish_table(fact, scratch_folder(t.spark, "daily"))
     return incremental.append_daily(issues, known_metrics(t), target, AS_OF).drop("dbt_updated_at")
 
 
+def changed_issues(t: Tables) -> DataFrame:
+    return loaded(roles.issues(t), ~before("created_at") | ~before("updated_at"))
+
+
 @bind("incremental_daily_late_changes", DAILY_SQL)
 def incremental_daily_late_changes(t: Tables):
     """Days whose issues changed since the stored refresh are recomputed."""
-    target = stored_daily(t, as_seen_earlier(t))
-    return incremental.refresh_daily(issue_metrics(t), known_metrics(t), target, AS_OF).drop("dbt_updated_at")
+    issues = changed_issues(t)
+    return daily_twice(t, metrics.issue_metrics(as_seen_earlier(issues), EARLIER), metrics.issue_metrics(issues, AS_OF))
 
 
 @bind("incremental_full_refresh", DAILY_SQL)
 def incremental_full_refresh(t: Tables):
     """The stored table is ignored and everything rebuilt."""
-    target = stored_daily(t, as_seen_earlier(t))
-    fact = incremental.refresh_daily(issue_metrics(t), known_metrics(t), target, AS_OF, full_refresh=True)
-    return fact.drop("dbt_updated_at")
+    issues, parents = changed_issues(t), loaded(known_metrics(t), F.lit(False))
+    early = incremental.refresh_daily(metrics.issue_metrics(as_seen_earlier(issues), EARLIER), parents, None, EARLIER, full_refresh=True)
+    target = publish_table(early, scratch_folder(t.spark, "daily"))
+    fact = incremental.refresh_daily(metrics.issue_metrics(issues, AS_OF), parents, target, AS_OF, full_refresh=True)
+    return fact.drop(*NOT_COMPARED)
+
+
+@bind("incremental_backfilled_history", DAILY_SQL)
+def incremental_backfilled_history(t: Tables):
+    """Issues of the years before arrive after the later ones were built."""
+    issues = metrics.issue_metrics(loaded(roles.issues(t), before("created_at")), AS_OF)
+    return daily_twice(t, first_load(issues), issues)
+
+
+@bind("incremental_repository_change", DAILY_SQL)
+def incremental_repository_change(t: Tables):
+    """A third of the repositories becomes known later, another third has new figures and a new name."""
+    third = F.col("repository_id") % 3
+    parents = loaded(known_metrics(t), third != 0)
+    issues = loaded(issue_metrics(t), F.lit(False))
+    earlier = parents.where(third != 1).withColumns(
+        {
+            "stars_count": F.when(third == 2, F.lit(150)).otherwise(F.col("stars_count")),
+            "repository_name": F.when(third == 2, "formerly").otherwise(F.col("repository_name")),
+            "loaded_at": F.lit(FIRST_LOAD).cast("timestamp_ntz"),
+        }
+    )
+    return daily_twice(t, issues, issues, earlier, parents)
+
+
+def parents_of(t: Tables, issues: DataFrame) -> DataFrame:
+    accepted = marts.issue_lifecycle(issues, known_metrics(t), AS_OF)
+    return accepted.where("status_label <> 'Unknown'")
+
+
+def comments_twice(t: Tables, first_comments, comments, first_issues, issues) -> DataFrame:
+    path = scratch_folder(t.spark, "comments")
+    for some_comments, some_issues in ((first_comments, first_issues), (comments, issues)):
+        build.refresh_comment_table(t.spark, path, some_comments, parents_of(t, some_issues), some_issues, False)
+    stored = read_table(t.spark, path).drop(*NOT_COMPARED)
+    return countable(stored)
+
+
+COMMENTS_REBUILT = f"{FACTS_WITH} SELECT * FROM comment_fact"
 
 
-@bind("incremental_comments", f"{FACTS_WITH} SELECT * FROM comment_fact")
+@bind("incremental_comments", COMMENTS_REBUILT)
 def incremental_comments(t: Tables):
     """Comments after the stored ones; touched issues are numbered anew."""
-    comments, parents = roles.comments(t), accepted_lifecycle(t)
-    before = comments.where(F.col("created_at") < F.lit(EARLIER).cast("timestamp_ntz"))
-    target = publish_table(marts.comment_fact(before, parents), scratch_folder(t.spark, "comments"))
-    return countable(incremental.refresh_comments(comments, parents, target))
+    comments, issues = loaded(roles.comments(t), ~before("created_at")), loaded(issue_metrics(t), F.lit(False))
+    parents = parents_of(t, issues)
+    fact = incremental.with_mark(marts.comment_fact(first_load(comments), parents), FIRST_LOAD)
+    target = publish_table(fact, scratch_folder(t.spark, "comments"))
+    return countable(incremental.refresh_comments(comments, parents, issues, target).drop(incremental.SEEN))
+
+
+@bind("incremental_comment_edit", COMMENTS_REBUILT)
+def incremental_comment_edit(t: Tables):
+    """First comments of all issues are edited long after they were written."""
+    edited = F.col("body").endswith(" 1")
+    comments, issues = loaded(roles.comments(t), edited), loaded(issue_metrics(t), F.lit(False))
+    earlier = comments.withColumns({"body": F.when(edited, "before").otherwise(F.col("body")), "loaded_at": F.lit(FIRST_LOAD).cast("timestamp_ntz")})
+    return comments_twice(t, earlier, comments, issues, issues)
+
+
+@bind("incremental_late_parent", COMMENTS_REBUILT)
+def incremental_late_parent(t: Tables):
+    """Every second issue arrives after its comments."""
+    comments = loaded(roles.comments(t), F.lit(False))
+    issues = loaded(issue_metrics(t), F.col("issue_number") % 2 == 0)
+    return comments_twice(t, comments, comments, first_load(issues), issues)

@@ -9,9 +9,8 @@ from pulsemill.functions.temporal import AsOf, as_of_date
 from pulsemill.operators.ranking import HOT_ROWS, top_n_within
 from pulsemill.sources.landing import raw_documents, write_landing
 
-# Defaults of the daily extract.
+# Fixed value: default of the daily extract.
 LOOKBACK_DAYS = 7
-MAX_ISSUES_PER_REPOSITORY = 500
 
 
 def updated_within(df: DataFrame, as_of: AsOf, days: int, column: str = "updated_at") -> DataFrame:
@@ -54,13 +53,13 @@ def land_daily_extract(
     root: str,
     day: str,
     lookback_days: int = LOOKBACK_DAYS,
-    cap: int = MAX_ISSUES_PER_REPOSITORY,
+    cap: int | None = None,
 ) -> None:
     """Land what one day's extract keeps of the enabled repositories.
 
     The frames are staged with their documents kept; ``enabled`` has ``full_name``.
-    Issues (pull requests included) are the most recently updated within the lookback,
-    capped per repository; comments are those updated within the lookback. Landing a
+    Issues (pull requests included) are those updated within the lookback, all of them
+    unless ``cap`` asks for the newest of each repository only; comments are those updated within the lookback. Landing a
     day again replaces it.
     """
 
@@ -68,9 +67,9 @@ def land_daily_extract(
         names = enabled.select(F.col("full_name").alias(name))
         return rows.join(names, name, "left_semi")
 
-    kept_issues = newest_per_repository(
-        updated_within(of_enabled(issues, "repository"), day, lookback_days), cap
-    )
+    kept_issues = updated_within(of_enabled(issues, "repository"), day, lookback_days)
+    if cap is not None:
+        kept_issues = newest_per_repository(kept_issues, cap)
     kept_comments = updated_within(of_enabled(comments, "repository_full_name"), day, lookback_days)
     for entity, rows, name in (
         ("issues", kept_issues, "repository"),

@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsemill.functions.temporal import AsOf, as_of_timestamp
-from pulsemill.operators.ranking import HOT_ROWS
 from pulsemill.operators.upsert import replace_where_matched, upsert
 from pulsemill.plans.marts import COMMENT_PARENT, comment_fact, repo_activity_daily
 from pulsemill.session import cut_lineage
 
 
-# How far before the stored mark a refresh looks again, as late rows carry older times.
-OVERLAP_DAYS = 7
+# Column of every fact: newest load its refresh had seen when the row was written.
+SEEN = "source_loaded_at"
 
 
 def high_water_mark(table: DataFrame, column: str) -> datetime | None:
@@ -27,10 +26,6 @@ def high_water_mark(table: DataFrame, column: str) -> datetime | None:
     return table.agg(F.max(column)).first()[0]
 
 
-def with_overlap(mark: datetime | None, days: int = OVERLAP_DAYS) -> datetime | None:
-    return None if mark is None else mark - timedelta(days=days)
-
-
 def after_day(df: DataFrame, column: str, mark: datetime | None) -> DataFrame:
     """Rows of days later than the mark's day; all rows without a mark."""
     if mark is None:
@@ -55,26 +50,48 @@ def append_daily(
     return upsert(target, repo_activity_daily(fresh, repositories, as_of), ["fct_key"])
 
 
-def changed_days(issues: DataFrame, since: datetime | None) -> DataFrame:
-    """Creation days of issues that were created or updated after ``since``."""
-    day = F.to_date("created_at").cast("timestamp_ntz").alias("activity_date")
-    if since is not None:
-        mark = as_of_timestamp(since)
-        issues = issues.where((F.col("updated_at") > mark) | (F.col("created_at") > mark))
-    return issues.select(day).distinct()
+def newest_load(*frames: DataFrame) -> str | None:
+    """Latest ``loaded_at`` of the frames, as text."""
+    marks = [df.agg(F.max("loaded_at").cast("timestamp_ntz").cast("string")).first()[0] for df in frames]
+    return max((m for m in marks if m is not None), default=None)
 
 
-def daily_delta(
-    issues: DataFrame, repositories: DataFrame, days: DataFrame, as_of: AsOf
-) -> DataFrame:
-    """The daily fact for the given days only, from all issues of those days.
+def seen_mark(table: DataFrame) -> str | None:
+    return table.agg(F.max(SEEN).cast("string")).first()[0]
+
+
+def with_mark(fact: DataFrame, mark: str | None) -> DataFrame:
+    return fact.withColumn(SEEN, F.lit(mark).cast("timestamp_ntz"))
+
+
+def loaded_after(df: DataFrame, mark: str) -> DataFrame:
+    """Rows of loads that the mark has not seen; the literal reaches the file scan."""
+    return df.where(F.col("loaded_at") > F.lit(mark).cast(df.schema["loaded_at"].dataType))
+
+
+def day_of(column: str):
+    return F.to_date(column).cast("timestamp_ntz").alias("activity_date")
+
+
+def changed_days(issues: DataFrame, repositories: DataFrame, target: DataFrame, mark: str) -> DataFrame:
+    """Days of the daily fact that loads after ``mark`` touch, whatever their event times.
 
-    ``days`` holds distinct calendar days, a few ten thousand in a century, so it is
-    broadcast and the issues are not moved before they are aggregated.
+    Days of issues that were loaded since, of all issues of repositories that were
+    loaded since, and the stored days of those repositories (they may have had another
+    name). Distinct calendar days, a few ten thousand in a century.
     """
+    fresh = loaded_after(repositories, mark)
+    names = fresh.select(F.col("full_name").alias("repository")).distinct()
+    own = loaded_after(issues, mark).select(day_of("created_at"))
+    of_parents = issues.join(names, "repository", "left_semi").select(day_of("created_at"))
+    before = target.join(fresh.select("repository_id").distinct(), "repository_id", "left_semi").select("activity_date")
+    return own.unionByName(of_parents).unionByName(before).distinct()
+
+
+def daily_delta(issues: DataFrame, repositories: DataFrame, days: DataFrame, as_of: AsOf) -> DataFrame:
+    """The daily fact for the given days only, from all issues of those days."""
     on_day = F.to_date(issues["created_at"]).cast("timestamp_ntz") == days["activity_date"]
-    affected = issues.join(F.broadcast(days), on_day, "left_semi")
-    return repo_activity_daily(affected, repositories, as_of)
+    return repo_activity_daily(issues.join(days, on_day, "left_semi"), repositories, as_of)
 
 
 def refresh_daily(
@@ -84,47 +101,59 @@ def refresh_daily(
     as_of: AsOf,
     full_refresh: bool = False,
 ) -> DataFrame:
-    """Recompute the days whose issues changed since the last refresh.
+    """The daily fact after the loads that the stored one has not seen; equal to a full rebuild.
 
-    Late issues of a stored day and later closings of its issues are picked up, and
-    groups that no longer exist (a repository that became known) go away.
+    ``issues`` and ``repositories`` carry ``loaded_at``. Days of changed issues and of
+    changed repositories are recomputed, so groups that no longer exist go away.
     """
-    since = None if full_refresh else high_water_mark(target, "dbt_updated_at")
-    if since is None:
-        return repo_activity_daily(issues, repositories, as_of)
-    days = changed_days(issues, with_overlap(since))
-    delta = daily_delta(issues, repositories, days, as_of)
-    return replace_where_matched(target, delta, F.broadcast(days), ["activity_date"])
+    mark = None if full_refresh else seen_mark(target)
+    seen = newest_load(issues, repositories)
+    if mark is None:
+        return with_mark(repo_activity_daily(issues, repositories, as_of), seen)
+    days = cut_lineage(changed_days(issues, repositories, target, mark))
+    delta = with_mark(daily_delta(issues, repositories, days, as_of), seen)
+    return replace_where_matched(target, delta, days, ["activity_date"])
 
 
-def comment_delta(
-    comments: DataFrame,
-    lifecycle: DataFrame,
-    mark: datetime | None,
-    hot_rows: int | None = HOT_ROWS,
-) -> DataFrame:
-    """The comment fact for every issue that got a comment after ``mark``.
+def touched_parents(comments: DataFrame, issues: DataFrame, target: DataFrame, mark: str) -> DataFrame:
+    """Issues, as (repository, number), whose comments loads after ``mark`` can change.
 
-    A touched issue is numbered from its full history, so its sequence goes on
-    instead of starting again. The list of touched issues is written out first: joined
-    straight from its grouping, the other side could not be split where one issue
-    holds very many comments.
+    Those of comments and of issues that were loaded since, and those under which the
+    fact has these comments and issues so far.
     """
-    touched = cut_lineage(after_instant(comments, "created_at", mark).select(*COMMENT_PARENT).distinct())
-    affected = comments.join(touched, COMMENT_PARENT, "left_semi")
-    return comment_fact(affected, lifecycle, hot_rows)
+    fresh_comments, fresh_issues = loaded_after(comments, mark), loaded_after(issues, mark)
+    of_issues = fresh_issues.select(F.col("repository").alias(COMMENT_PARENT[0]), F.col("issue_number").alias(COMMENT_PARENT[1]))
+    moved_comments = target.join(fresh_comments.select("comment_id").distinct(), "comment_id", "left_semi")
+    moved_issues = target.join(fresh_issues.select("issue_id").distinct(), "issue_id", "left_semi")
+    parts = [of_issues, moved_comments.select(*COMMENT_PARENT), moved_issues.select(*COMMENT_PARENT)]
+    every = fresh_comments.select(*COMMENT_PARENT)
+    for part in parts:
+        every = every.unionByName(part)
+    return every.dropna().distinct()
+
+
+def comment_delta(comments: DataFrame, lifecycle: DataFrame, touched: DataFrame) -> DataFrame:
+    """The comment fact of the touched issues, numbered from their full history."""
+    return comment_fact(comments.join(touched, COMMENT_PARENT, "left_semi"), lifecycle)
 
 
 def refresh_comments(
     comments: DataFrame,
     lifecycle: DataFrame,
+    issues: DataFrame,
     target: DataFrame,
     full_refresh: bool = False,
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Upsert the comments newer than the stored ones, looking back a few days."""
-    mark = None if full_refresh else high_water_mark(target, "comment_date")
+    """The comment fact after the loads that the stored one has not seen; equal to a full rebuild.
+
+    ``comments`` and ``issues`` carry ``loaded_at``; ``lifecycle`` is made from ``issues``.
+    The list of touched issues is written out: joined straight from its grouping, the
+    other side could not be split where one issue holds very many comments.
+    """
+    mark = None if full_refresh else seen_mark(target)
+    seen = newest_load(comments, issues)
     if mark is None:
-        return comment_fact(comments, lifecycle, hot_rows)
-    delta = comment_delta(comments, lifecycle, with_overlap(mark), hot_rows)
-    return upsert(target, delta, ["comment_key"])
+        return with_mark(comment_fact(comments, lifecycle), seen)
+    touched = cut_lineage(touched_parents(comments, issues, target, mark))
+    delta = with_mark(comment_delta(comments, lifecycle, touched), seen)
+    return replace_where_matched(target, delta, touched, COMMENT_PARENT)

@@ -51,8 +51,7 @@ def dim_repository(repositories: DataFrame, as_of: AsOf) -> DataFrame:
         F.col("updated_at").desc_nulls_last(),
         F.col("full_name").desc_nulls_last(),
     ]
-    present = [c for c in REPOSITORY_DIMENSION if c in repositories.columns]
-    return latest_by_key(repositories.select(*present), ["repository_id"], newest).withColumn(
+    return latest_by_key(repositories.select(*REPOSITORY_DIMENSION), ["repository_id"], newest).withColumn(
         "dbt_updated_at", as_of_timestamp(as_of)
     )
 

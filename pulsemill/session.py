@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -62,23 +63,13 @@ def shared_folder(spark: SparkSession) -> str:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         named = tempfile.mkdtemp(prefix="pulsemill-")
     context.setCheckpointDir(named)
     return context.getCheckpointDir()
 
 
-def spread(df):
-    """Deal a scan out over all cores if it has fewer splits than there are cores.
-
-    For work that is heavy per row. A large table has more splits than cores and is
-    left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new, never reused folder below the shared one."""
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
