@@ -115,8 +115,7 @@ def incremental_repository_change(t: Tables):
 
 
 def parents_of(t: Tables, issues: DataFrame) -> DataFrame:
-    accepted = marts.issue_lifecycle(issues, known_metrics(t), AS_OF)
-    return accepted.where("status_label <> 'Unknown'")
+    return marts.issue_lifecycle(issues, known_metrics(t), AS_OF)
 
 
 def comments_twice(t: Tables, first_comments, comments, first_issues, issues) -> DataFrame:
