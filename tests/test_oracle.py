@@ -4,9 +4,10 @@ import pytest
 from compare import compare, oracle_connection
 
 import __spark_entry__ as contract
+from pulsemill.bindings import bound_queries, bound_sql
 
 FOLDER = contract.SMOKE_DATA
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = bound_queries(), bound_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,8 +21,9 @@ def test_matches_sql(spark, con, name):
     assert message is None, message
 
 
-def test_every_query_has_sql():
+def test_every_query_has_sql_and_is_registered():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):
