@@ -9,7 +9,7 @@ import pytest
 from brute import by_id, components, secrets, without_repeats
 from pyspark.sql import functions as F
 
-from pulsemill.llm import factorisation, jaccard_join, kmeans_tree, packing, python_queries, secret_scan, suffix_dedup, trigrams
+from pulsemill.llm import factorisation, induced, jaccard_join, kmeans_tree, packing, python_queries, secret_scan, suffix_dedup, trigrams
 from pulsemill.llm.induced import common_prefixes, suffix_array
 
 FOLDER = "/root/testdata/sf0.001"
@@ -40,7 +40,9 @@ def docs(spark, texts):
     return spark.createDataFrame([(i, t, "s", 1, "i") for i, t in texts.items()], DOCS).repartition(3)
 
 
-def test_suffix_arrays():
+@pytest.mark.parametrize("short", [0, 1 << 18])
+def test_suffix_arrays(short, monkeypatch):
+    monkeypatch.setattr(induced, "SHORT", short)
     rng = np.random.default_rng(1)
     for trial in range(150):
         text = rng.integers(0, int(rng.integers(1, 5)), int(rng.integers(0, 120))).astype(np.uint8)
