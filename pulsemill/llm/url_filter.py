@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulsemill.session import shared_folder
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ROUNDS = 10
 CUT_EVERY = 5
@@ -85,6 +87,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
     a hot end is combined before the shuffle and a hot start is split by adaptive
     execution. Lineage is cut with ``checkpoint()`` every few rounds.
     """
+    shared_folder(edges.sparkSession)  # where checkpoint() writes to
     forward = edges.select(F.lit("trust").alias("kind"), F.col("src").alias("at"), F.col("dst").alias("to"), "links")
     backward = edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("at"), F.col("src").alias("to"), "links")
     steps = forward.unionByName(backward)
