@@ -105,6 +105,10 @@ def build_all(
 ) -> DataFrame:
     """Build every model below ``root``; gives the results of the declared checks.
 
+    The checks of the staging models run first: if one ends in error, ``ValueError`` is
+    raised and no mart is touched. Recency and freshness of RAW and the checks of the
+    marts are reported.
+
     ``raw`` holds the RAW frames ``issues``, ``repositories`` and ``comments``. Staging is
     views; metrics and marts are tables, so each document is parsed once per build;
     facts are refreshed incrementally unless ``full_refresh`` is set.
@@ -119,6 +123,14 @@ def build_all(
         metrics.repository_metrics(repositories, as_of), f"{root}/intermediate/int_repository_metrics"
     )
 
+    staged = cut_lineage(quality.staging_checks(issue_rows, repo_rows, comments))
+    quality.require_passed(staged)
+    loads = [
+        check(df, f"raw_{name}", "loaded_at", as_of)
+        for name, df in raw.items()
+        for check in (quality.recency, quality.freshness)
+    ]
+
     marts_root = f"{root}/marts"
     dates = publish_table(marts.dim_date(marts.calendar_bounds(spark, as_of), as_of), f"{marts_root}/dim_date")
     dim = publish_table(marts.dim_repository(repo_rows, as_of), f"{marts_root}/dim_repository")
@@ -138,7 +150,8 @@ def build_all(
     publish_view(marts.issue_timeline(lifecycle, facts, as_of), "issue_timeline")
     return quality.combine(
         [
-            quality.staging_checks(issue_rows, repo_rows, comments),
+            staged,
+            *loads,
             quality.mart_checks(dim, lifecycle, facts, dates),
         ]
     )

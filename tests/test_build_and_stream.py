@@ -60,7 +60,8 @@ def test_incremental_build_equals_full_build(spark, tmp_path, raws):
     root = str(tmp_path / "warehouse")
     checks = build_all(spark, first, root, "2024-01-04 00:00:00")
     assert {r["status"] for r in checks.collect()} == {"pass"}
-    assert checks.count() == 25
+    assert checks.count() == 31
+    assert checks.where("check_name IN ('recency', 'freshness')").count() == 6
     build_all(spark, later, root, "2024-02-03 00:00:00")
     grown = views(spark)
     build_all(spark, later, root, "2024-02-03 00:00:00", full_refresh=True)
@@ -70,6 +71,13 @@ def test_incremental_build_equals_full_build(spark, tmp_path, raws):
     assert spark.table("dim_date").agg(F.max("date_key")).first()[0].isoformat() == "2024-02-09"
 
 
+def test_failing_staging_check_stops_the_marts(spark, tmp_path, raws):
+    odd = raws([issue(1, "2024-01-01T05:00:00Z") | {"state": "odd"}], [comment(10, 1, "2024-01-03T00:00:00Z")], "2024-01-04 00:00:00")
+    with pytest.raises(ValueError, match="accepted_values"):
+        build_all(spark, odd, str(tmp_path / "warehouse"), "2024-01-04 00:00:00")
+    assert not (tmp_path / "warehouse" / "marts").exists()
+
+
 def put(folder, name, documents):
     folder.mkdir(parents=True, exist_ok=True)
     (folder / name).write_text(json.dumps(documents, indent=1))
