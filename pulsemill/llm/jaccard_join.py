@@ -9,8 +9,9 @@ Rarity comes from counts of all n-grams in a table of fixed size, indexed by the
 Any global order gives right results, so n-grams that share a cell only make prefixes a
 little less selective. N-grams and classes are known by 64-bit hashes.
 
-Classes that share an n-gram are compared with one of them first and joined to
-components; then all pairs that are not in one component yet are compared. So a large
+Classes that share an n-gram are compared with one of them first, a few times with
+another one, and joined to components; then all pairs that are not in one component yet
+are compared. So a large
 group of near copies costs about one comparison for each, not one for each pair, and no
 link between components is lost.
 """
@@ -33,6 +34,8 @@ from pulsemill.session import cut_lineage
 CELL_BITS = 20
 CHUNKS = 64
 SIGNATURES = ("s0", "s1", "s2", "s3")
+#: Times that groups are compared with one member before all the rest is compared.
+STAR_ROUNDS = 3
 KEY_SALT = np.uint64(0xD1B54A32D192ED03)
 
 
@@ -127,7 +130,7 @@ def counted(parts: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, like: Likeness, counts: np.ndarray) -> DataFrame:
-    """(gram, key, n_grams, place): the rare-first prefix of every class of two texts or one."""
+    """(gram, key, n_grams, place): the rare-first prefixes of all texts; equal sets may give equal rows."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(np.minimum(counts, (1 << 32) - 1).astype(np.uint32))
 
@@ -160,8 +163,7 @@ def prefixes(docs: DataFrame, like: Likeness, counts: np.ndarray) -> DataFrame:
                 columns = [np.concatenate([g for g, _, _ in found]), np.repeat([k for _, k, _ in found], lengths), np.repeat([m for _, _, m in found], lengths), places]
                 yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["gram", "key", "n_grams", "place"])
 
-    made = docs.select("text").mapInArrow(work, "gram bigint, key bigint, n_grams bigint, place bigint")
-    return made.groupBy("gram", "key").agg(F.first("n_grams").alias("n_grams"), F.first("place").alias("place"))
+    return docs.select("text").mapInArrow(work, "gram bigint, key bigint, n_grams bigint, place bigint")
 
 
 def needed(like: Likeness, a: str, b: str) -> Column:
@@ -169,52 +171,82 @@ def needed(like: Likeness, a: str, b: str) -> Column:
 
 
 def may_link(like: Likeness) -> Column:
-    """Length and positional filters on columns n_a, n_b, place_a, place_b.
+    """Length, positional and suffix filters on the columns of both sides.
 
     The positional bound holds at the first common n-gram of a pair, so a pair that
-    links passes at one of its common n-grams at least.
+    links passes at one of its common n-grams at least. Sets with an odd difference in
+    so many of 256 parts differ in as many n-grams at least, which bounds what they
+    have in common.
     """
     length = F.expr(f"{like.share_of} * least(n_a, n_b) >= {like.share} * greatest(n_a, n_b)")
     rest = F.expr("least(n_a - place_a, n_b - place_b)")
-    return length & (rest >= needed(like, "n_a", "n_b"))
+    differ = F.expr(" + ".join(f"bit_count({s}_a ^ {s}_b)" for s in SIGNATURES))
+    least = needed(like, "n_a", "n_b")
+    return length & (rest >= least) & (F.expr("n_a + n_b") - differ >= 2 * least)
 
 
-def pass_suffix(pairs: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
-    """Pairs (a, b) whose sets can still be alike by the sizes of their parts.
+def side(rows: DataFrame, name: str) -> DataFrame:
+    return rows.select("gram", F.col("key").alias(name), F.col("part").alias(f"part_{name}"), F.col("n_grams").alias(f"n_{name}"), F.col("place").alias(f"place_{name}"), *[F.col(s).alias(f"{s}_{name}") for s in SIGNATURES])
 
-    Sets that differ in an odd number of n-grams in so many of 256 parts differ in as
-    many n-grams at least, which bounds what they have in common.
-    """
 
-    def side(name: str) -> DataFrame:
-        return classes.select(F.col("key").alias(name), F.col("n_grams").alias(f"n_{name}"), *[F.col(s).alias(f"{s}_{name}") for s in SIGNATURES])
+def stars(parted: DataFrame, like: Likeness, number: int) -> DataFrame:
+    """Pairs (a, b): in each n-gram's group one member, another one each round, with all
+    those of other components that may link to it."""
+    described = F.struct("key", "part", "n_grams", "place", *SIGNATURES)
+    groups = (
+        parted.groupBy("gram")
+        .agg(F.min("part").alias("low"), F.max("part").alias("high"), F.min_by(described, F.xxhash64("key", F.lit(number))).alias("head"))
+        .where("low <> high")
+        .select("gram", "head.*")
+    )
+    met = side(groups, "a").join(side(parted, "b"), "gram").where("part_a <> part_b").where(may_link(like))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    differ = sum((F.expr(f"bit_count({s}_a ^ {s}_b)") for s in SIGNATURES[1:]), F.expr(f"bit_count({SIGNATURES[0]}_a ^ {SIGNATURES[0]}_b)"))
-    joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    return joined.where(F.expr("n_a + n_b") - differ >= 2 * needed(like, "n_a", "n_b")).select("a", "b", "n_a", "n_b")
 
+def crossings(parted: DataFrame, like: Likeness) -> DataFrame:
+    """All pairs (a, b) of different components that share an n-gram and may link."""
+    groups = parted.groupBy("gram").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("gram")
+    still = parted.join(groups, "gram", "left_semi")
+    return side(still, "a").join(side(still, "b"), "gram").where("a < b AND part_a <> part_b").where(may_link(like)).select("a", "b").distinct()
 
-def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
-    """The pairs (a, b) that link, by their whole sets; each set is made from one text of its class."""
-    keys = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(classes, "key").select("key", F.col("label").alias("id")))
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
-        for batch in batches:
-            found = list(ngram_sets(batch.column(0).to_pylist(), like.n, powers))
-            if not found:
-                continue
-            bounds = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
-            grams = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(found).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array([class_key(f) for f in found], pa.int64()), grams], names=["key", "grams"])
-
-    picked = docs.join(keys.select("id"), "id", "left_semi").select("text").mapInArrow(sets, "key bigint, grams array<bigint>")
-    sides = cut_lineage(picked.dropDuplicates(["key"]))
-    met = pairs.join(sides.select(F.col("key").alias("a"), F.col("grams").alias("of_a")), "a").join(
-        sides.select(F.col("key").alias("b"), F.col("grams").alias("of_b")), "b"
-    )
-    common = F.size(F.array_intersect("of_a", "of_b"))
-    return met.where(common >= needed(like, "n_a", "n_b")).select("a", "b")
+class Sets:
+    """Whole sets of the classes that were compared so far, each made from one text of its class."""
+
+    def __init__(self, docs: DataFrame, classes: DataFrame, like: Likeness):
+        self.docs, self.classes, self.like = docs, classes, like
+        self.made: DataFrame | None = None
+
+    def add(self, pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "key")
+        if self.made is not None:
+            wanted = wanted.join(self.made.select("key"), "key", "left_anti")
+        ids = cut_lineage(wanted.join(self.classes.select("key", "label"), "key").select(F.col("label").alias("id")))
+        n = self.like.n
+
+        def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            powers = Powers()
+            for batch in batches:
+                found = list(ngram_sets(batch.column(0).to_pylist(), n, powers))
+                if not found:
+                    continue
+                bounds = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
+                grams = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(found).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array([class_key(f) for f in found], pa.int64()), grams], names=["key", "grams"])
+
+        new = cut_lineage(self.docs.join(ids, "id", "left_semi").select("text").mapInArrow(sets, "key bigint, grams array<bigint>"))
+        self.made = new if self.made is None else self.made.union(new)
+        return self.made
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that link, by their whole sets."""
+        made = self.add(pairs)
+        met = pairs.join(made.select(F.col("key").alias("a"), F.col("grams").alias("of_a")), "a").join(
+            made.select(F.col("key").alias("b"), F.col("grams").alias("of_b")), "b"
+        )
+        sized = met.select("a", "b", F.size("of_a").alias("n_a"), F.size("of_b").alias("n_b"), F.size(F.array_intersect("of_a", "of_b")).alias("common"))
+        # A text with a repeated id may have been read for another one: hence distinct.
+        return cut_lineage(sized.where(F.col("common") >= needed(self.like, "n_a", "n_b")).select("a", "b").distinct())
 
 
 def similar_texts(docs: DataFrame, like: Likeness = Likeness(), *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -238,38 +270,26 @@ def similar_texts(docs: DataFrame, like: Likeness = Likeness(), *, doc_id: str =
         .where("label IS NOT NULL")
     )
     heads = cut_lineage(prefixes(rows, like, counts))
-    met = heads.groupBy("gram").agg(F.count("*").alias("m"), F.min(F.struct("n_grams", "key", "place")).alias("head")).where("m > 1")
-    shared = cut_lineage(heads.join(met, "gram").select("gram", "key", "n_grams", "place", "head"))
-    stars = (
-        shared.select(F.col("head.key").alias("a"), F.col("head.n_grams").alias("n_a"), F.col("head.place").alias("place_a"), F.col("key").alias("b"), F.col("n_grams").alias("n_b"), F.col("place").alias("place_b"))
-        .where("a <> b")
-        .where(may_link(like))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
-    )
-    links = cut_lineage(verified(cut_lineage(pass_suffix(stars, classes, like)), rows, classes, like))
-    labels = classes.select("key", "label")
-    found = components(labels, links)
-    # Pairs of different components that share an n-gram; the first of each group has met all.
-    at_first = found.join(labels.select(F.col("label"), F.col("key").alias("first_key")), "label").select("key", "first_key")
-    placed = shared.join(at_first, "key", "left").withColumn("label", F.coalesce("first_key", "key"))
-    open_grams = (
-        placed.groupBy("gram")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("m"))
-        .where("low <> high AND m > 2")
-        .select("gram")
-    )
-    loose = cut_lineage(placed.join(open_grams, "gram", "left_semi").where("key <> head.key").select("gram", "key", "n_grams", "place", "label"))
-
-    def side(name: str) -> DataFrame:
-        return loose.select("gram", F.col("key").alias(name), F.col("n_grams").alias(f"n_{name}"), F.col("place").alias(f"place_{name}"), F.col("label").alias(f"label_{name}"))
-
-    crossing = side("a").join(side("b"), "gram").where("a < b AND label_a <> label_b").where(may_link(like)).select("a", "b").distinct()
-    left = cut_lineage(pass_suffix(crossing, classes, like))
-    if left.limit(1).count():
-        more = verified(left, rows, classes, like)
-        links = cut_lineage(links.unionByName(more))
+    met = heads.groupBy("gram").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high").select("gram")
+    described_classes = classes.select("key", *SIGNATURES)
+    shared = cut_lineage(heads.join(met, "gram").distinct().join(described_classes, "key"))
+    labels, sets = classes.select("key", "label"), Sets(rows, classes, like)
+    links, parted, found = None, shared.withColumn("part", F.col("key")), None
+    for number in range(STAR_ROUNDS + 1):
+        # The last time around, everything that is still apart is compared.
+        last = number == STAR_ROUNDS
+        pairs = cut_lineage(crossings(parted, like) if last else stars(parted, like, number))
+        if not pairs.limit(1).count():
+            if last:
+                break
+            continue
+        new = sets.verified(pairs)
+        links = new if links is None else links.union(new)
         found = components(labels, links)
+        first = found.join(labels.select("label", F.col("key").alias("part")), "label").select("key", "part")
+        parted = shared.join(first, "key", "left").withColumn("part", F.coalesce("part", "key"))
+    if found is None:
+        found = labels.limit(0)
     of_class = classes.select("key", F.col("label").alias("class_id")).join(found.withColumnRenamed("label", "component_id"), "key", "left")
     return texts.select("id", "n_grams", F.when(F.col("n_grams") > 0, F.col("key")).alias("key")).join(of_class, "key", "left").select(
         F.col("id").alias(doc_id),
