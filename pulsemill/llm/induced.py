@@ -13,6 +13,8 @@ import numpy as np
 
 #: Names beyond this many letters are written as two letters for the recursion.
 LETTERS = 4096
+#: Shorter strings of names end the recursion and are sorted by pairs of ranks.
+SHORT = 1 << 18
 
 
 def smaller(text: np.ndarray) -> np.ndarray:
@@ -36,27 +38,31 @@ class Sweep:
         self.text, self.letters, self.n = text, letters, len(text)
         self.is_s = smaller(text)
         self.leftmost = np.flatnonzero(self.is_s & ~np.concatenate([[True], self.is_s[:-1]])).astype(np.int32)
+        # One place more, which stands for what is before the first suffix.
+        self.s_before = np.append(self.is_s, False)
+        self.l_before = np.append(~self.is_s, False)
+        self.count = np.arange(self.n)
         self.n_l = np.bincount(text[~self.is_s], minlength=letters)
         self.n_s = np.bincount(text[self.is_s], minlength=letters)
         self.l_start = np.concatenate([[0], np.cumsum(self.n_l)])
         self.s_start = np.concatenate([[0], np.cumsum(self.n_s)])
 
     def put(self, into: np.ndarray, head: np.ndarray, suffixes: np.ndarray, letters: np.ndarray) -> None:
-        order = np.argsort(letters, kind="stable")
-        letters, suffixes = letters[order], suffixes[order]
-        first = np.flatnonzero(np.concatenate([[True], letters[1:] != letters[:-1]]))
-        size = np.diff(np.concatenate([first, [len(letters)]]))
-        of = letters[first]
-        into[np.repeat(head[of] - first, size) + np.arange(len(letters))] = suffixes
-        head[of] += size
+        """Append suffixes to the buckets of their letters, in order."""
+        order = letters.argsort(kind="stable")
+        letters = letters[order]
+        size = np.bincount(letters, minlength=self.letters)
+        shift = head - (size.cumsum() - size)
+        into[shift[letters] + self.count[: len(letters)]] = suffixes[order]
+        head += size
 
     def larger_before(self, suffixes: np.ndarray) -> np.ndarray:
-        before = suffixes[suffixes > 0] - 1
-        return before[~self.is_s[before]]
+        before = suffixes - 1
+        return before[self.l_before[before]]
 
     def smaller_before(self, suffixes: np.ndarray) -> np.ndarray:
-        before = suffixes[suffixes > 0] - 1
-        return before[self.is_s[before]]
+        before = suffixes - 1
+        return before[self.s_before[before]]
 
     def induce(self, leftmost: np.ndarray) -> np.ndarray:
         text = self.text
@@ -157,12 +163,15 @@ def suffix_array(text: np.ndarray, letters: int = 256) -> np.ndarray:
         ordered = found[is_leftmost[found]]
         named, count = names(text, leftmost, ordered)
         if count < len(leftmost):
-            if count <= LETTERS:
+            if len(named) < SHORT:
+                order = by_doubling(named)
+            elif count <= LETTERS:
                 order = suffix_array(named.astype(np.uint16), count)
             elif count <= LETTERS * LETTERS and 5 * len(named) < 2 * len(text):
+                base = int(np.sqrt(count)) + 1  # as few letters as two of them need
                 pairs = np.empty(2 * len(named), np.uint16)
-                pairs[0::2], pairs[1::2] = named // LETTERS, named % LETTERS
-                order = suffix_array(pairs, LETTERS)
+                pairs[0::2], pairs[1::2] = named // base, named % base
+                order = suffix_array(pairs, base)
                 order = order[order % 2 == 0] // 2
             else:  # two letters for a name would hardly make the string shorter
                 order = by_doubling(named)
