@@ -56,6 +56,16 @@ def unpacked(data: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
+def planes(values: np.ndarray) -> np.ndarray:
+    """First bytes of all values, then second ones: compresses better."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).ravel()
+
+
+def from_planes(data: np.ndarray, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(data.reshape(size, -1).T).view(kind).ravel()
+
+
 def bundles(docs: DataFrame) -> DataFrame:
     """(bundle, data): ids, lengths and bytes of texts, some megabytes at a time."""
 
@@ -99,7 +109,7 @@ class Segments:
             self.none()
             return
         words = words_at(text)
-        grams = mixed(words[: n - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15) ^ mixed(words[8 : n - GRAM + 9]))
+        grams = mixed(words[: n - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15) ^ mixed(words[GRAM - 8 : n - 7]))
         span = width - GRAM + 1
         least, reach = grams, 1
         while reach * 2 <= span:
@@ -164,7 +174,8 @@ class Segments:
             size = self.windows[pick] + self.width - 1
             before = np.cumsum(size) - size
             at = np.repeat(self.start[pick] - before, size) + np.arange(size.sum())
-            yield shard, packed(self.tag[a:b], self.windows[pick].astype(np.uint8), self.least_id[a:b], self.text[at])
+            steps = np.diff(self.tag[a:b], prepend=np.uint32(0))  # sorted, so steps are small
+            yield shard, packed(planes(steps), self.windows[pick].astype(np.uint8), planes(self.least_id[a:b]), self.text[at])
 
 
 _POWERS: list[np.ndarray] = []
@@ -179,12 +190,12 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 def answer(packets: list[tuple[int, bytes]], width: int) -> Iterator[tuple[int, bytes]]:
     """(bundle, segments' numbers, first windows, last windows, ids): where windows of the
     segments that a bundle sent start in a document with a smaller id than it gave."""
-    parts = [unpacked(data, "<u4", "u1", "<i8", "u1") for _, data in packets]
-    tag = np.concatenate([p[0] for p in parts])
+    parts = [unpacked(data, "u1", "u1", "u1", "u1") for _, data in packets]
+    tag = np.concatenate([from_planes(p[0], "<u4").cumsum(dtype=np.uint32) for p in parts])
     windows = np.concatenate([p[1] for p in parts]).astype(np.int64)
-    ids = np.concatenate([p[2] for p in parts])
+    ids = np.concatenate([from_planes(p[2], "<i8") for p in parts])
     text = np.concatenate([p[3] for p in parts])
-    counts = np.array([len(p[0]) for p in parts])
+    counts = np.array([len(p[1]) for p in parts])
     bundle = np.repeat(np.arange(len(parts)), counts)
     number = np.arange(len(tag)) - np.repeat(np.cumsum(counts) - counts, counts)
     size = windows + width - 1
