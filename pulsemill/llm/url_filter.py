@@ -3,11 +3,13 @@
 Hosts with allowed pages are trusted seeds, hosts with blocked pages distrusted ones.
 Personalised PageRank carries trust along links; the same on reversed links carries
 distrust back to the hosts that link to blocked ones. A host is blocked when its
-distrust passes the threshold and is larger than its trust. DataFrame functions only.
+distrust, counted in blocked pages, reaches the threshold, and its share of all distrust
+is larger than its share of all trust. DataFrame functions only.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -16,10 +18,14 @@ from pyspark.sql import functions as F
 from pulsemill.session import shared_folder
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Of the query's SQL, which states a fixed number; the operator goes on until scores settle.
 ROUNDS = 10
 CUT_EVERY = 5
 DAMPING = 0.85
+#: Blocked pages that a host's distrust must amount to.
 THRESHOLD = 0.001
+#: Part of the threshold that all scores of a kind together may change by in the last round.
+TOLERANCE = 0.1
 MOST_RULES = 1000
 
 
@@ -78,14 +84,17 @@ def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     )
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, damping: float = DAMPING, tolerance: float = 1e-9) -> DataFrame:
     """Personalised PageRank of both kinds at once: (kind, host, score).
 
     ``edges``: (src, dst, links). ``seeds``: (kind, host, weight), kind ``trust``
     following links or ``distrust`` following them backwards; weights are scaled to
-    sum to 1 for each kind. Scores are plain sums over edges grouped by their end, so
-    a hot end is combined before the shuffle and a hot start is split by adaptive
-    execution. Lineage is cut with ``checkpoint()`` every few rounds.
+    sum to 1 for each kind. With ``rounds`` so many are run; else they go on until the
+    change of a round, summed over the hosts of a kind, is below ``tolerance``: no score
+    is then further than ``tolerance * damping / (1 - damping)`` from its limit. Scores
+    are plain sums over edges grouped by their end, so a hot end is combined before the
+    shuffle and a hot start is split by adaptive execution. Lineage is cut with
+    ``checkpoint()`` every few rounds.
     """
     shared_folder(edges.sparkSession)  # where checkpoint() writes to
     forward = edges.select(F.lit("trust").alias("kind"), F.col("src").alias("at"), F.col("dst").alias("to"), "links")
@@ -97,7 +106,9 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
     start = seeds.join(F.broadcast(sums), "kind").select("kind", "host", (F.col("weight") / F.col("sum")).alias("part"))
     steps, start = steps.checkpoint(), start.checkpoint()
     scores = start.select("kind", "host", F.col("part").alias("score"))
-    for number in range(1, rounds + 1):
+    # Round r changes at most 2 * damping ** (r - 1), whatever the links are.
+    most = rounds if rounds is not None else 2 + math.ceil(math.log(tolerance / 2) / math.log(damping))
+    for number in range(1, most + 1):
         moved = (
             scores.withColumnRenamed("host", "at")
             .join(steps, ["kind", "at"])
@@ -105,20 +116,43 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
             .agg((F.sum(F.col("score") * F.col("share")) * damping).alias("score"))
         )
         kept = start.select("kind", "host", (F.col("part") * (1 - damping)).alias("score"))
-        scores = moved.unionByName(kept).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        if number % CUT_EVERY == 0 or number == rounds:
+        before, scores = scores, moved.unionByName(kept).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+        # The first round after each cut is measured: the scores before it are at hand.
+        measured = rounds is None and number % CUT_EVERY == 1
+        if number % CUT_EVERY == 0 or number == most or measured:
             scores = scores.checkpoint()
+        if measured and largest_change(before, scores) < tolerance:
+            break
     return scores
 
 
-def host_verdicts(edges: DataFrame, seeds: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
-    """(host, trust, distrust, verdict) for each host that any score reaches."""
-    scores = propagate(edges, seeds, **options)
+def largest_change(before: DataFrame, after: DataFrame) -> float:
+    """Of both kinds, the larger sum over hosts of what their scores changed by."""
+    apart = (
+        after.unionByName(before.withColumn("score", -F.col("score")))
+        .groupBy("kind", "host")
+        .agg(F.abs(F.sum("score")).alias("change"))
+        .groupBy("kind")
+        .agg(F.sum("change").alias("change"))
+    )
+    return apart.agg(F.max("change")).first()[0] or 0.0
+
+
+def host_verdicts(edges: DataFrame, seeds: DataFrame, threshold: float = THRESHOLD, rounds: int | None = None, damping: float = DAMPING) -> DataFrame:
+    """(host, trust, distrust, verdict) for each host that any score reaches.
+
+    ``trust`` and ``distrust`` are shares of their kinds. For the threshold the distrust
+    is counted in the weights of the seeds (pages), so it does not depend on how many
+    other hosts are seeds.
+    """
+    weight = seeds.where("kind = 'distrust'").agg(F.sum("weight")).first()[0] or 0
+    least = threshold / max(weight, 1)
+    scores = propagate(edges, seeds, rounds, damping, tolerance=min(TOLERANCE * least, TOLERANCE))
 
     def of(kind: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("score"))), F.lit(0.0)).alias(kind)
 
-    blocked = (F.col("distrust") >= threshold) & (F.col("distrust") > F.col("trust"))
+    blocked = (F.col("distrust") >= least) & (F.col("distrust") > F.col("trust"))
     return (
         scores.groupBy("host")
         .agg(of("trust"), of("distrust"))
@@ -134,13 +168,14 @@ def judge_urls(
     url: str = "url",
     html: str = "html",
     threshold: float = THRESHOLD,
-    rounds: int = ROUNDS,
+    rounds: int | None = None,
 ) -> DataFrame:
     """(id, host, path, rule, verdict, by) for each row of ``pages``; ``by``: rule, links or default.
 
     A host is a seed by the number of its pages that rules allow or block, so one
     page judged by a rule does not stand for its whole host: the scores of both kinds
-    are compared. Hosts out of reach of both are allowed. Null urls and urls without
+    are compared, each as a share of its kind. The threshold is in blocked pages and does
+    not move with the number of other hosts; the shares of a host that has both kinds do. Hosts out of reach of both are allowed. Null urls and urls without
     ``://`` have an empty host and path and are allowed; repeated rows are judged
     each; null html has no links; other columns are not carried along; no pages give
     no rows.

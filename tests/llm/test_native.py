@@ -58,6 +58,27 @@ def test_distrust_follows_links_backwards(spark):
     assert abs(sum(s for (k, _), s in scores.items() if k == "distrust") - (0.15 + 0.85 * (0.15 + 0.85))) < 1e-9
 
 
+def test_verdict_does_not_depend_on_other_blocked_hosts(spark):
+    link = '<a href="http://{}/p">x</a>'
+    # A chain of 15 hosts in front of the blocked one: longer than ten rounds reach.
+    chain = [(10 + i, f"http://h{i}.net/1", link.format(f"h{i - 1}.net" if i else "bad.com")) for i in range(15)]
+    pages = frame(spark, [(1, "http://bad.com/de/1", ""), (2, "http://farm.net/1", link.format("bad.com") * 3), *chain], "page_id long, url string, html string")
+    others = spark.range(10_000).select((F.col("id") + 100).alias("page_id"), F.format_string("http://x%d.com/de/1", "id").alias("url"), F.lit("").alias("html"))
+    rules = (UrlRule("com", "/de/", "block"), UrlRule("org", "/", "allow"))
+    for table in (pages, pages.unionByName(others)):
+        got = {r.host: (r.verdict, r.by) for r in url_filter.judge_urls(table, rules).where("host NOT LIKE 'x%'").collect()}
+        assert got.pop("bad.com") == ("block", "rule")
+        assert len(got) == 16 and set(got.values()) == {("block", "links")}, got
+
+
+def test_scores_settle(spark):
+    # Two hosts that link to each other keep half of what comes in: slow to settle, and known.
+    edges = frame(spark, [("a", "b", 1), ("b", "a", 1)], "src string, dst string, links long")
+    seeds = frame(spark, [("trust", "a", 7)], "kind string, host string, weight long")
+    got = {r.host: r.score for r in url_filter.propagate(edges, seeds, tolerance=1e-6).collect()}
+    assert abs(got["a"] - 0.15 / (1 - 0.85**2)) < 6e-6 and abs(got["b"] - 0.85 * 0.15 / (1 - 0.85**2)) < 6e-6
+
+
 def test_preference_rows(spark):
     turns = frame(
         spark,
