@@ -4,7 +4,10 @@ Texts are read into bundles of a few megabytes. Every window of ``width`` bytes
 a shard chosen by the smallest hash among its 16-byte strings, so equal windows meet
 wherever they stand; consecutive windows with the same smallest hash travel as one
 segment. A bundle sends each distinct segment once, with the smallest id it has it
-from, so a passage that many documents share is not sent once for each. A shard builds
+from, so a passage that many documents share is not sent once for each. Hashes whose
+distinct segments are too many for one suffix array, such as those of a line that stands
+between differing neighbours, are counted beforehand and passed over: their windows go by
+their next smallest hash, and by a hash of the whole window where that is as common. A shard builds
 the suffix array of its segments by induced sorting (``induced``), takes permuted
 common prefixes, and reads off runs of at least ``width`` common bytes which smallest
 id each window starts in. Bundles get back where an earlier document has a window and
@@ -34,7 +37,15 @@ BUNDLE_BYTES = 2 << 20
 SHARD_BYTES = 2 << 20
 #: Shards for each shuffle partition, so that one is a small part of a task's memory.
 SHARDS_PER_PARTITION = 2
+#: Bytes of segments that a shard is meant to get.
+SENT_BYTES = 128 << 20
+#: Hashes are counted by their first bits. Hashes that begin alike and have more bytes of
+#: segments than this are split; of what is not split none has twice as many.
+CELL_BITS = 20
+HOT_BYTES = 4 << 20
+NO_CELLS = np.empty(0, np.int64)
 NO_ID = np.iinfo(np.int64).max
+NO_HASH = np.iinfo(np.uint64).max
 LEVEL = 6
 
 
@@ -95,10 +106,24 @@ def bundles(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(gather, "bundle bigint, data binary")
 
 
+def cells_of(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+
+
+def within(hashes: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    table = np.zeros(1 << CELL_BITS, bool)
+    table[cells] = True
+    return table[cells_of(hashes)]
+
+
 class Segments:
-    """The windows of a bundle in segments, and the distinct ones of these by shard."""
+    """The windows of a bundle in segments, and the distinct ones of these by shard.
+
+    Hashes in the cells ``passed`` are no window's smallest one; windows whose smallest
+    one is then in the cells ``whole``, or that have no other, go by a hash of their bytes.
+    """
 
-    def __init__(self, data: bytes, width: int, shards: int):
+    def __init__(self, data: bytes, width: int, shards: int, passed: np.ndarray = NO_CELLS, whole: np.ndarray = NO_CELLS):
         ids, known, sizes, text = unpacked(data, "<i8", "?", "<i8", "u1")
         self.ids, self.known, self.sizes, self.text, self.width = ids, known, sizes, text, width
         self.ends = np.cumsum(sizes)
@@ -110,6 +135,8 @@ class Segments:
             return
         words = words_at(text)
         grams = mixed(words[: n - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15) ^ mixed(words[GRAM - 8 : n - 7]))
+        if len(passed):
+            grams[within(grams, passed)] = NO_HASH
         span = width - GRAM + 1
         least, reach = grams, 1
         while reach * 2 <= span:
@@ -127,6 +154,13 @@ class Segments:
         if not len(starts):
             self.none()
             return
+        total = np.zeros(n + 1, np.uint64)
+        up = powers(n)
+        np.cumsum((text.astype(np.uint64) + np.uint64(1)) * up[0], out=total[1:])
+        if len(passed):
+            alone = np.flatnonzero((least == NO_HASH) | within(least, whole))
+            at = starts[alone]
+            least[alone] = mixed((total[at + width] - total[at]) * up[1][at])
         new = np.ones(len(starts), bool)
         new[1:] = (least[1:] != least[:-1]) | (doc[1:] != doc[:-1]) | (starts[1:] != starts[:-1] + 1)
         first = np.flatnonzero(new)
@@ -140,9 +174,6 @@ class Segments:
         tag = least[first]
         del starts, doc, least, new, inside
         # Equal segments of the bundle, by a hash of their bytes.
-        total = np.zeros(n + 1, np.uint64)
-        up = powers(n)
-        np.cumsum((text.astype(np.uint64) + np.uint64(1)) * up[0], out=total[1:])
         stop = self.start + self.windows + width - 1
         content = mixed((total[stop] - total[self.start]) * up[1][self.start]) ^ mixed(self.windows.astype(np.uint64))
         shard = (tag >> np.uint64(32)).astype(np.int64) % shards
@@ -155,12 +186,13 @@ class Segments:
         self.group[order] = group
         self.sample = order[fresh]
         self.shard = s[fresh]
+        self.cell = cells_of(t[fresh])
         self.tag = (t[fresh] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         self.least_id = np.minimum.reduceat(ids[self.doc[order]], np.flatnonzero(fresh))
         self.bounds = np.searchsorted(self.shard, np.arange(shards + 1))
 
     def none(self) -> None:
-        self.windows = self.doc = self.group = self.sample = self.shard = self.least_id = np.empty(0, np.int64)
+        self.windows = self.doc = self.group = self.sample = self.shard = self.least_id = self.cell = np.empty(0, np.int64)
         self.tag = np.empty(0, np.uint32)
         self.bounds = None
 
@@ -281,6 +313,37 @@ def spread_runs(first: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.repeat(first - before, length) + np.arange(int(length.sum()))
 
 
+def counted(kept: DataFrame, width: int, passed: np.ndarray) -> tuple[np.ndarray, int]:
+    """(cells with more than HOT_BYTES of segments, bytes of all segments).
+
+    A task tells of the cells that have its share of HOT_BYTES, so what it leaves out
+    amounts to less than HOT_BYTES over all tasks.
+    """
+    least = HOT_BYTES / max(kept.rdd.getNumPartitions(), 1)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(1 << CELL_BITS, np.int64)
+        for batch in batches:
+            for data in batch.column(0):
+                segments = Segments(data.as_py(), width, 1, passed)
+                np.add.at(held, segments.cell, segments.windows[segments.sample] + width - 1)
+        many = np.flatnonzero(held >= least)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(many, -1)), pa.array(np.append(held[many], held.sum()))], names=["cell", "bytes"])
+
+    sums = kept.select("data").mapInArrow(count, "cell bigint, bytes bigint").groupBy("cell").agg(F.sum("bytes").alias("bytes"))
+    rows = sums.where((F.col("cell") < 0) | (F.col("bytes") > HOT_BYTES)).collect()
+    return np.array(sorted(r.cell for r in rows if r.cell >= 0), np.int64), sum(r.bytes for r in rows if r.cell < 0)
+
+
+def hot_cells(kept: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(cells to pass over, cells to go by whole windows, bytes of all segments) for ``Segments``."""
+    passed, size = counted(kept, width, NO_CELLS)
+    if not len(passed):
+        return passed, NO_CELLS, size
+    whole, size = counted(kept, width, passed)
+    return passed, whole, size
+
+
 def removed_bytes(segments: Segments, replies: list[tuple[int, bytes]]) -> np.ndarray:
     """True for each byte of the bundle that an earlier document's window covers."""
     n, width = len(segments.text), segments.width
@@ -320,13 +383,14 @@ def dedup_spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     an empty one. Ids are integers.
     """
     spark = docs.sparkSession
-    shards = SHARDS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     kept = cut_lineage(bundles(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))))
+    passed, whole, size = hot_cells(kept, width)
+    shards = max(SHARDS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SENT_BYTES))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for bundle, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                packets = list(Segments(data.as_py(), width, shards).packets())
+                packets = list(Segments(data.as_py(), width, shards, passed, whole).packets())
                 columns = [pa.array([s for s, _ in packets], pa.int64()), pa.array([bundle] * len(packets), pa.int64()), pa.array([p for _, p in packets], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["shard", "bundle", "packet"])
 
@@ -341,7 +405,7 @@ def dedup_spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     def finish(bundle: pa.Table, answers: pa.Table) -> pa.Table:
         rows: dict[str, list] = {name: [] for name in names}
         for data in bundle.column("data").to_pylist():
-            segments = Segments(data, width, shards)
+            segments = Segments(data, width, shards, passed, whole)
             gone = removed_bytes(segments, list(zip(answers.column("shard").to_pylist(), answers.column("reply").to_pylist())))
             for i, known, a, b in zip(segments.ids.tolist(), segments.known.tolist(), segments.begins.tolist(), segments.ends.tolist()):
                 own = gone[a:b]

@@ -71,6 +71,30 @@ def test_repeats_are_removed(spark, docs, texts, bundle, monkeypatch):
         assert kept + raw[at:] == bytes(r.kept)
 
 
+def test_common_line_is_split(spark, monkeypatch):
+    rnd = random.Random(8)
+    line = "All of this is licensed under the terms that are stated at the end of the file."
+    some = ["".join(rnd.choices("abcdefghij klmnop", k=150)) for _ in range(160)]
+    texts = {i: some[i % 150] + line + some[(i * 7) % 160][::-1] for i in range(400)} | {900: "z" * 120, 901: "z" * 70}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    for name, value in (("BUNDLE_BYTES", 4000), ("SHARD_BYTES", 3000), ("HOT_BYTES", 6000), ("SENT_BYTES", 20_000)):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    kept = suffix_dedup.bundles(docs).localCheckpoint()
+
+    def largest(passed, whole):
+        sums = {}
+        for row in kept.collect():
+            s = suffix_dedup.Segments(bytes(row.data), 50, 1, passed, whole)
+            for cell, windows in zip(s.cell.tolist(), s.windows[s.sample].tolist()):
+                sums[cell] = sums.get(cell, 0) + windows + 49
+        return max(sums.values())
+
+    passed, whole, _ = suffix_dedup.hot_cells(kept, 50)
+    assert largest(suffix_dedup.NO_CELLS, suffix_dedup.NO_CELLS) > 12_000 > largest(passed, whole)
+    got = suffix_dedup.dedup_spans(docs).collect()
+    assert {r.doc_id: tuple(r)[1:5] for r in got} == without_repeats(texts, 50)
+
+
 def test_repeats_with_repeated_and_missing_ids(spark):
     long = "abcdefghij" * 9
     docs = spark.createDataFrame([(None, long), (5, long), (5, long), (7, long), (None, None)], "doc_id long, text string")
