@@ -72,14 +72,21 @@ FROM judged LEFT JOIN hosts USING (host)"""
 
 
 def op4_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Preference rows of all pairs: conversations that share their first turn, and every
-    conversation against itself with a stale last reply."""
+    """Preference rows of the pairs of its SQL: conversations that share their first turn, and
+    those with two replies or more against themselves with a stale last reply."""
     turns = read(spark, sf_dir, "conversations")
     met = preferences.turns_of_pairs(turns, preferences.pairs_by_opening(turns))
     stale = preferences.stale_replies(turns)
     return preferences.preference_turns(met[0].unionByName(stale[0]), met[1].unionByName(stale[1]))
 
 
+def op4_preferences_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``op4_preferences`` and those of conversations with one reply, which are
+    paired with themselves with another one's reply."""
+    borrowed = preferences.borrowed_replies(read(spark, sf_dir, "conversations"))
+    return op4_preferences(spark, sf_dir).unionByName(preferences.preference_turns(*borrowed))
+
+
 OP4_SQL = """
 WITH clean AS (
   SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
@@ -146,5 +153,6 @@ QUERIES = {
     "op4_preferences": op4_preferences,
     "op6_contamination": op6_contamination,
     "op10_sharding": op10_sharding,
+    "op4_preferences_whole": op4_preferences_whole,
 }
 SQL = {"op1_url_filter": op1_sql(), "op4_preferences": OP4_SQL, "op6_contamination": OP6_SQL}

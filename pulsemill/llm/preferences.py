@@ -9,11 +9,13 @@ opening is gathered in one task. DataFrame functions only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 TRAINED_ROLE = "assistant"
+#: Texts of replies that are put in order together, on average.
+NEIGHBOURS = 256
 
 
 def clean_turns(turns: DataFrame) -> DataFrame:
@@ -54,6 +56,8 @@ def turns_of_pairs(turns: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataF
 def stale_replies(turns: DataFrame, trained_role: str = TRAINED_ROLE) -> tuple[DataFrame, DataFrame]:
     """Both sides of one pair for each conversation with two replies or more.
 
+    Those with one reply have a pair by ``borrowed_replies``, those with none have no pair.
+
     Chosen is the conversation up to its last reply; in the rejected one that reply is
     the one before it once more. ``rejected`` is the same id as ``chosen``. Of several
     replies with one turn number the last in order of their texts counts.
@@ -76,6 +80,35 @@ def stale_replies(turns: DataFrame, trained_role: str = TRAINED_ROLE) -> tuple[D
     return history.unionByName(ending("last.text")), history.unionByName(ending("before.text"))
 
 
+def borrowed_replies(turns: DataFrame, trained_role: str = TRAINED_ROLE) -> tuple[DataFrame, DataFrame]:
+    """Both sides of one pair for each conversation with exactly one reply.
+
+    Chosen is the conversation up to its reply; in the rejected one that reply is the
+    last reply of another conversation: of the distinct last replies in a bucket the next
+    one by hash, the first one after the last. Buckets grow in number with the distinct
+    replies, so none has to hold many. ``rejected`` is the same id as ``chosen``. There is
+    no pair where a bucket has one text only, as if all replies are the same.
+    Conversations without a reply have no pair either: nothing in them can be chosen.
+    """
+    clean = clean_turns(turns)
+    replies = clean.where(F.col("role") == trained_role).groupBy("conv_id", "turn").agg(F.max("text").alias("text"))
+    last = replies.groupBy("conv_id").agg(F.max(F.struct("turn", "text")).alias("last"), F.count("*").alias("replies"))
+    texts = last.select(F.col("last.text").alias("text")).distinct().withColumn("h", F.xxhash64("text"))
+    buckets = max(texts.count() // NEIGHBOURS, 1)
+    bucket = Window.partitionBy(F.pmod("h", F.lit(buckets)))
+    after = F.lead("text").over(bucket.orderBy("h", "text"))
+    nearest = texts.select("text", F.coalesce(after, F.min_by("text", F.struct("h", "text")).over(bucket)).alias("other")).where("other <> text")
+    single = last.where("replies = 1").select("conv_id", F.col("last.turn").alias("at"), F.col("last.text").alias("text")).join(nearest, "text")
+    ids = (F.col("conv_id").alias("chosen"), F.col("conv_id").alias("rejected"))
+    kept = clean.join(single.select("conv_id", "at"), "conv_id").where("turn < at")
+    history = kept.select(*ids, "turn", "role", "text")
+
+    def ending(text: str) -> DataFrame:
+        return single.select(*ids, F.col("at").alias("turn"), F.lit(trained_role).alias("role"), F.col(text).alias("text"))
+
+    return history.unionByName(ending("text")), history.unionByName(ending("other"))
+
+
 def preference_turns(chosen: DataFrame, rejected: DataFrame, trained_role: str = TRAINED_ROLE) -> DataFrame:
     """Rows (chosen, rejected, part, turn, role, rendered, mask_start, mask_end) of all pairs.
 

@@ -112,6 +112,21 @@ def test_preference_rows(spark):
     assert preferences.preference_turns(*preferences.turns_of_pairs(turns.limit(0), pairs.limit(0))).count() == 0
 
 
+def test_every_reply_has_a_pair(spark):
+    folder = "/root/testdata/sf0.01"
+    turns = spark.read.parquet(f"{folder}/conversations.parquet")
+    rows = native_queries.op4_preferences_whole(spark, folder)
+    answered = {r.conv_id for r in turns.where("role = 'assistant'").select("conv_id").distinct().collect()}
+    got = rows.where("chosen = rejected").groupBy("chosen").agg(F.collect_set("part").alias("parts")).collect()
+    assert {r.chosen for r in got if {"chosen", "rejected"} <= set(r.parts)} == answered
+    few = frame(spark, [(1, 0, "user", "q"), (1, 1, "assistant", "a"), (1, 2, "user", "r"), (2, 0, "user", "s"), (2, 1, "assistant", "b"), (3, 0, "user", "t")], "conv_id long, turn long, role string, text string")
+    made = preferences.preference_turns(*preferences.borrowed_replies(few))
+    assert sorted((r.chosen, r.part, r.rendered[r.mask_start : r.mask_end]) for r in made.where("part <> 'prompt'").collect()) == [
+        (1, "chosen", "a<|im_end|>"), (1, "rejected", "b<|im_end|>"), (2, "chosen", "b<|im_end|>"), (2, "rejected", "a<|im_end|>"),
+    ]
+    assert sorted(r.turn for r in made.where("part = 'prompt'").collect()) == [0, 0]
+
+
 def test_contained_items(spark):
     words = [f"w{i}" for i in range(40)]
     item = " ".join(words[:30])
