@@ -41,7 +41,8 @@ BASE_RULES = (
 )
 # Published formats of keys and tokens.
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    # To the END line of the same kind, unless another key begins before it; else the header alone.
+    Rule("private_key", r"-----BEGIN ([A-Z ]*)PRIVATE KEY-----(?:(?:(?!-----BEGIN )[\s\S])*?-----END \1PRIVATE KEY-----)?"),
     Rule("github", r"gh[opsu]_[A-Za-z0-9]{36}"),
     Rule("slack", r"xox[abpr]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),

@@ -190,6 +190,15 @@ SECRETS = [
 ]
 
 
+def test_private_key_goes_with_its_body():
+    begin, end, body = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", "\nMIIEow/+Zz==\nqqq\n"
+    whole = begin + body + end
+    rule = tuple(r for r in secret_scan.RULES if r.kind == "private_key")
+    texts = ["a " + whole + " b " + whole, begin + " no end", begin + " x " + whole, begin + body + end.replace("RSA ", "EC "), "none"]
+    found = [[t[a:b] for a, _, b in spans] for t, spans in zip(texts, secret_scan.Scanner(rule).all(texts))]
+    assert found == [[whole, whole], [begin], [begin, whole], [begin], []]
+
+
 def test_secrets(spark):
     docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(SECRETS)] * 2, "doc_id long, text string, spans string")
     got = secret_scan.find_secrets(docs, secret_scan.BASE_RULES).collect()
