@@ -3,8 +3,8 @@
 Documents become pieces of at most ``capacity`` tokens. What can be packed depends on
 the number of pieces of each length alone, and there are at most ``capacity`` lengths,
 so the driver plans over those counts: for each length from the longest, the gap it
-leaves is looked up among the sums of one, two and three available lengths, and a
-combination that fills it exactly is consumed as often as the counts allow; what is
+leaves is searched among one, two and three available lengths (a scan of the array of
+counts by length, no index of sums), and a combination that fills it exactly is consumed as often as the counts allow; what is
 left is placed best fit. Spark then numbers the pieces of each length and every piece
 reads its place off the plan. The plan is a few numbers for each length, however many
 pieces there are.
