@@ -73,11 +73,13 @@ def winning_rule(host: Column, path: Column, rules: tuple[UrlRule, ...]) -> Colu
 
 
 def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Distinct links between different hosts as (src, dst, links), from absolute ``href`` targets."""
-    targets = F.regexp_extract_all(F.col(html), F.lit(r"""(?i)href\s*=\s*["']?([^"'\s>]*://[^"'\s>]+)"""), F.lit(1))
+    """Distinct links between different hosts as (src, dst, links), from ``href`` targets that
+    name a host: absolute ones and protocol-relative ones (``//host/path``)."""
+    targets = F.regexp_extract_all(F.col(html), F.lit(r"""(?i)href\s*=\s*["']?(//[^"'\s>]+|[^"'\s>]*://[^"'\s>]+)"""), F.lit(1))
+    target = F.when(F.col("target").startswith("//"), F.concat(F.lit("http:"), "target")).otherwise(F.col("target"))
     return (
         pages.select(url_host(F.col(url)).alias("src"), F.explode(targets).alias("target"))
-        .select("src", url_host(F.col("target")).alias("dst"))
+        .select("src", url_host(target).alias("dst"))
         .where("src <> '' AND dst <> '' AND src <> dst")
         .groupBy("src", "dst")
         .agg(F.count("*").alias("links"))

@@ -71,6 +71,12 @@ def test_verdict_does_not_depend_on_other_blocked_hosts(spark):
         assert len(got) == 16 and set(got.values()) == {("block", "links")}, got
 
 
+def test_links_name_a_host(spark):
+    html = '<a href="//B.net/x?u=http://c.net/"><a href=//b.net><a href="http://c.net/p"><a href="/d.net//e"><a href="f.html">'
+    pages = frame(spark, [(1, "http://a.net/", html)], "page_id long, url string, html string")
+    assert sorted(map(tuple, url_filter.host_links(pages).collect())) == [("a.net", "b.net", 2), ("a.net", "c.net", 1)]
+
+
 def test_scores_settle(spark):
     # Two hosts that link to each other keep half of what comes in: slow to settle, and known.
     edges = frame(spark, [("a", "b", 1), ("b", "a", 1)], "src string, dst string, links long")
