@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemill.llm import factorisation, jaccard_join, kmeans_tree, packing, secret_scan, suffix_dedup
+from pulsemill.llm import (
+    factorisation,
+    fill_middle,
+    jaccard_join,
+    kmeans_tree,
+    packing,
+    secret_scan,
+    spelling,
+    suffix_dedup,
+)
 from pulsemill.llm.native_queries import read
 
 
@@ -68,7 +77,47 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kmeans_tree.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with its near words, its form and its root."""
+    return spelling.group_variants(spelling.count_words(read(spark, sf_dir, "documents")))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's form and cuts, with digests of its output and of the text restored from it."""
+    made = fill_middle.fill_middle(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    restored = fill_middle.restore_text(made.drop("text"))
+    return restored.select(
+        "doc_id",
+        F.col("n_units").alias("n"),
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+OP13_SQL = r"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS whole, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest FROM documents),
+drawn AS (
+  SELECT doc_id, whole, regexp_extract_all(whole, '[ 	-]*[^ 	-]+|[ 	-]+') AS units,
+         list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(digest, i, 8) AS BIGINT)) AS h FROM texts),
+cuts AS (
+  SELECT *, len(units) AS n, least(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) AS a, greatest(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) AS b,
+         whole <> '' AND NOT contains(whole, '<P>') AND NOT contains(whole, '<S>') AND NOT contains(whole, '<M>') AND h[3] % 100 < 50 AS changed FROM drawn),
+parts AS (
+  SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:n], '') AS suffix,
+         CASE WHEN NOT changed THEN 'plain' WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM cuts)
+SELECT doc_id, n, form, CASE WHEN changed THEN length(prefix) END AS prefix_chars, CASE WHEN changed THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN whole WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(whole) AS restored_sha256
+FROM parts"""
+
+
 QUERIES = {
+    "op12_spelling": op12_spelling,
+    "op13_fill_middle": op13_fill_middle,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_packing": op3_packing,
     "op7_similar": op7_similar,
@@ -76,4 +125,4 @@ QUERIES = {
     "op9_neighbours": op9_neighbours,
     "op5_secrets": op5_secrets,
 }
-SQL: dict[str, str] = {}
+SQL = {"op13_fill_middle": OP13_SQL}

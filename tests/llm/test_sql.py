@@ -24,5 +24,5 @@ def test_matches_sql(spark, con, name):
 
 def test_all_are_registered():
     named = set(contract.queries())
-    assert {int(m[1]) for n in named if (m := re.match(r"op(\d+)_", n))} == set(range(1, 11))
+    assert {int(m[1]) for n in named if (m := re.match(r"op(\d+)_", n))} == set(range(1, 14))
     assert "pipeline" in named and set(SQL) <= set(contract.oracle_sql())
