@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemill.llm import decontaminate, preferences, sharding, url_filter
+from pulsemill.llm import decontaminate, outliers, preferences, sharding, url_filter
 from pulsemill.llm.url_filter import UrlRule
 
 # The given rules.
@@ -148,7 +148,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdict of every document: base rules, then robust outliers of its language and source."""
+    judged = outliers.judge_texts(read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES = {
+    "op11_quality_rules": op11_quality_rules,
     "op1_url_filter": op1_url_filter,
     "op4_preferences": op4_preferences,
     "op6_contamination": op6_contamination,
