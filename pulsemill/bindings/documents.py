@@ -21,6 +21,19 @@ def stamp(column: str) -> Column:
     return F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Rows dealt out by the id of their document, so that building and parsing documents of a
+    table in one file takes as many tasks as the session shuffles with."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
+def plain_lineage(staged: DataFrame) -> DataFrame:
+    """All columns of a staging model, with variants and lengths in types that SQL has too."""
+    texts = {c: F.to_json(c) for c, kind in staged.dtypes if kind == "variant"}
+    lengths = {c: F.col(c).cast("bigint") for c in ("body_length",) if c in staged.columns}
+    return staged.withColumns(texts | lengths | {"loaded_at": F.col("loaded_at").cast("timestamp_ntz")})
+
+
 def as_raw(rows: DataFrame, fields: list[Column], loaded_at: str, source: Column, tie: Column) -> DataFrame:
     """RAW rows; where a return flag is R, missing values are explicit nulls."""
     plain = F.to_json(F.struct(*fields))
@@ -43,7 +56,7 @@ def item_tie() -> Column:
 
 
 def order_loads(t: Tables) -> DataFrame:
-    return t.lineitem.join(t.orders, F.col("o_orderkey") == F.col("l_orderkey"))
+    return spread(t.lineitem, "l_orderkey").join(t.orders, F.col("o_orderkey") == F.col("l_orderkey"))
 
 
 def raw_issues(t: Tables) -> DataFrame:
@@ -66,6 +79,9 @@ def raw_issues(t: Tables) -> DataFrame:
         F.when(
             F.col("l_discount") > 0.05, F.struct(F.concat(F.lit("s-"), F.col("l_suppkey").cast("string")).alias("login"))
         ).alias("assignee"),
+        F.when(F.col("l_discount") > 0.05, F.array(F.struct(F.col("l_suppkey").alias("id")))).alias("assignees"),
+        F.concat(F.lit("https://example.com/issues/"), F.col("o_orderkey").cast("string")).alias("html_url"),
+        F.concat(F.lit(API + "issues/"), F.col("o_orderkey").cast("string")).alias("url"),
         labels.alias("labels"),
         F.when(F.col("l_tax") > 0.04, F.struct(F.lit("v1").alias("title"), F.col("l_linenumber").alias("number"))).alias(
             "milestone"
@@ -104,6 +120,10 @@ latest_load AS (
       l_returnflag = 'A' AS is_locked,
       'user-' || CAST(o_custkey AS VARCHAR) AS author_username, o_custkey AS author_id, 'User' AS author_type,
       CASE WHEN l_discount > 0.05 THEN 's-' || CAST(l_suppkey AS VARCHAR) END AS assignee_username,
+      CASE WHEN l_discount > 0.05 THEN '[{{"id":' || CAST(l_suppkey AS VARCHAR) || '}}]' END AS assignees_json,
+      CASE WHEN l_discount > 0.05 THEN CAST(1 AS BIGINT) END AS assignee_count,
+      'https://example.com/issues/' || CAST(o_orderkey AS VARCHAR) AS html_url,
+      '{API}issues/' || CAST(o_orderkey AS VARCHAR) AS api_url,
       CASE WHEN l_linenumber = 1 THEN NULL WHEN l_linenumber = 2 THEN 0 ELSE CAST(l_linenumber AS BIGINT) END
         AS label_count,
       CASE WHEN l_linenumber = 1 THEN NULL WHEN l_linenumber = 2 THEN '[]' ELSE
@@ -122,42 +142,52 @@ latest_load AS (
     """,
 )
 def stage_issues(t: Tables):
-    staged = staging.stage_issues(raw_issues(t))
-    return staged.drop("assignees_json", "assignee_count", "html_url", "api_url").withColumns(
-        {
-            "labels_json": F.to_json("labels_json"),
-            "body_length": F.col("body_length").cast("bigint"),
-            "loaded_at": F.col("loaded_at").cast("timestamp_ntz"),
-        }
-    )
+    return plain_lineage(staging.stage_issues(raw_issues(t)))
 
 
 def raw_repositories(t: Tables) -> DataFrame:
     """Every order is one load of its customer's document."""
     name = F.lower("c_name")
+    status, order = F.col("o_orderstatus"), F.col("o_orderkey")
+    license_of = F.struct(F.lit("Apache-2.0").alias("name"), F.lit("apache-2.0").alias("key"))
     fields = [
         F.col("c_custkey").alias("id"),
+        F.concat(F.lit("node-"), F.col("c_custkey").cast("string")).alias("node_id"),
         name.alias("name"),
         F.concat(F.lit("org/"), name).alias("full_name"),
         F.struct(F.col("c_mktsegment").alias("login"), F.col("c_nationkey").alias("id"), F.lit("Organization").alias("type")).alias(
             "owner"
         ),
+        F.when(status != "O", F.concat_ws(" ", "c_mktsegment", "o_orderpriority")).alias("description"),
         (F.col("c_acctbal") < 0).alias("private"),
         F.lit(False).alias("fork"),
-        (F.col("o_orderstatus") == "P").alias("archived"),
+        (status == "P").alias("archived"),
+        (order % 2 == 0).alias("disabled"),
+        F.lit("2001-02-03T04:05:06Z").alias("created_at"),
+        stamp("o_orderdate").alias("updated_at"),
         stamp("o_orderdate").alias("pushed_at"),
         F.floor("o_totalprice").cast("bigint").alias("stargazers_count"),
+        (order * 2).alias("watchers_count"),
         F.col("c_nationkey").alias("forks_count"),
+        order.alias("open_issues_count"),
+        (order + 1).alias("size"),
         F.col("o_orderpriority").alias("language"),
         F.split("o_orderpriority", "-").alias("topics"),
-        F.when(F.col("o_orderstatus") == "F", F.struct(F.lit("Apache-2.0").alias("name"), F.lit("apache-2.0").alias("key"))).alias(
-            "license"
-        ),
-        (F.col("o_orderstatus") != "O").alias("has_issues"),
+        F.when(status == "F", license_of).alias("license"),
+        (status != "O").alias("has_issues"),
+        (order % 3 == 0).alias("has_projects"),
+        (order % 5 == 0).alias("has_wiki"),
+        (order % 7 == 0).alias("has_pages"),
+        (order % 11 == 0).alias("has_downloads"),
+        F.concat(F.lit("https://example.com/"), name).alias("html_url"),
+        F.when(status == "F", F.concat(F.lit("https://pages.example.com/"), name)).alias("homepage"),
         F.lit("main").alias("default_branch"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("extraction_date"),
     ]
-    rows = t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey")).withColumn(
-        "l_returnflag", F.when(F.col("o_orderstatus") == "O", "R").otherwise("N")
+    rows = (
+        spread(t.orders, "o_custkey")
+        .join(t.customer, F.col("c_custkey") == F.col("o_custkey"))
+        .withColumn("l_returnflag", F.when(status == "O", "R").otherwise("N"))
     )
     return as_raw(rows, fields, "o_orderdate", F.col("o_orderpriority"), F.col("o_orderkey"))
 
@@ -166,45 +196,31 @@ def raw_repositories(t: Tables) -> DataFrame:
     "stage_repositories",
     """
     WITH latest_load AS (
-      SELECT * FROM (SELECT customer.*, orders.*, row_number() OVER (PARTITION BY c_custkey
-                       ORDER BY o_orderdate DESC, o_orderpriority DESC, o_orderkey DESC) AS rn
-                     FROM orders JOIN customer ON c_custkey = o_custkey) WHERE rn = 1)
-    SELECT c_custkey AS repository_id, lower(c_name) AS repository_name, 'org/' || lower(c_name) AS full_name,
+      SELECT customer.*, orders.*, lower(c_name) AS low_name FROM orders JOIN customer ON c_custkey = o_custkey
+      QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY o_orderdate DESC, o_orderpriority DESC, o_orderkey DESC) = 1)
+    SELECT o_orderpriority AS source_file, o_orderdate AS loaded_at, CAST(o_orderdate AS DATE) AS extraction_date,
+      c_custkey AS repository_id, 'node-' || CAST(c_custkey AS VARCHAR) AS node_id,
+      low_name AS repository_name, 'org/' || low_name AS full_name,
+      'https://example.com/' || low_name AS html_url,
+      CASE WHEN o_orderstatus = 'F' THEN 'https://pages.example.com/' || low_name END AS homepage_url,
+      CASE WHEN o_orderstatus <> 'O' THEN c_mktsegment || ' ' || o_orderpriority END AS description,
       c_mktsegment AS owner_username, CAST(c_nationkey AS BIGINT) AS owner_id, 'Organization' AS owner_type,
-      c_acctbal < 0 AS is_private, FALSE AS is_fork, o_orderstatus = 'P' AS is_archived,
-      o_orderdate AS pushed_at, CAST(floor(o_totalprice) AS BIGINT) AS stars_count,
-      CAST(c_nationkey AS BIGINT) AS forks_count, o_orderpriority AS primary_language,
+      o_orderpriority AS primary_language, 'main' AS default_branch,
       CAST(len(string_split(o_orderpriority, '-')) AS BIGINT) AS topics_count,
+      '["' || array_to_string(string_split(o_orderpriority, '-'), '","') || '"]' AS topics_json,
       CASE WHEN o_orderstatus = 'F' THEN 'Apache-2.0' END AS license_name,
       CASE WHEN o_orderstatus = 'F' THEN 'apache-2.0' END AS license_key,
-      o_orderstatus <> 'O' AS has_issues_enabled, 'main' AS default_branch,
-      o_orderpriority AS source_file, o_orderdate AS loaded_at
+      c_acctbal < 0 AS is_private, FALSE AS is_fork, o_orderstatus = 'P' AS is_archived, o_orderkey % 2 = 0 AS is_disabled,
+      o_orderstatus <> 'O' AS has_issues_enabled, o_orderkey % 3 = 0 AS has_projects_enabled, o_orderkey % 5 = 0 AS has_wiki_enabled,
+      o_orderkey % 7 = 0 AS has_pages_enabled, o_orderkey % 11 = 0 AS has_downloads_enabled,
+      CAST(floor(o_totalprice) AS BIGINT) AS stars_count, o_orderkey * 2 AS watchers_count,
+      CAST(c_nationkey AS BIGINT) AS forks_count, o_orderkey AS open_issues_count, o_orderkey + 1 AS size_kb,
+      TIMESTAMP '2001-02-03 04:05:06' AS created_at, o_orderdate AS updated_at, o_orderdate AS pushed_at
     FROM latest_load
     """,
 )
 def stage_repositories(t: Tables):
-    return staging.stage_repositories(raw_repositories(t)).select(
-        "repository_id",
-        "repository_name",
-        "full_name",
-        "owner_username",
-        "owner_id",
-        "owner_type",
-        "is_private",
-        "is_fork",
-        "is_archived",
-        "pushed_at",
-        "stars_count",
-        "forks_count",
-        "primary_language",
-        "topics_count",
-        "license_name",
-        "license_key",
-        "has_issues_enabled",
-        "default_branch",
-        "source_file",
-        F.col("loaded_at").cast("timestamp_ntz").alias("loaded_at"),
-    )
+    return plain_lineage(staging.stage_repositories(raw_repositories(t)))
 
 
 def raw_comments(t: Tables) -> DataFrame:
@@ -214,7 +230,7 @@ def raw_comments(t: Tables) -> DataFrame:
     fields = [
         F.col("o_orderkey").alias("id"),
         F.concat_ws(" ", "l_returnflag", "l_linestatus", "l_quantity").alias("body"),
-        F.struct(F.concat(F.lit("s-"), F.col("l_suppkey").cast("string")).alias("login"), F.col("l_suppkey").alias("id")).alias(
+        F.struct(F.concat(F.lit("s-"), F.col("l_suppkey").cast("string")).alias("login"), F.col("l_suppkey").alias("id"), F.lit("User").alias("type")).alias(
             "user"
         ),
         F.when(F.col("o_orderstatus") == "P", F.lit("https://example.com/none"))
@@ -228,7 +244,17 @@ def raw_comments(t: Tables) -> DataFrame:
             F.when(by_word, up + 1).alias("minus1"),
             F.when(~by_word, up + 1).alias("-1"),
             F.col("l_partkey").alias("heart"),
+            F.when(by_word, up * 2).alias("laugh"),
+            (up + 2).alias("hooray"),
+            F.when(~by_word, up * 3).alias("confused"),
+            (up + 4).alias("rocket"),
+            (up + 5).alias("eyes"),
         ).alias("reactions"),
+        F.concat(F.lit("node-"), F.col("o_orderkey").cast("string")).alias("node_id"),
+        F.when(~by_word, F.concat(F.lit("https://example.com/c/"), F.col("o_orderkey").cast("string"))).alias("html_url"),
+        F.concat(F.lit(API + "c/"), F.col("o_orderkey").cast("string")).alias("url"),
+        stamp("o_orderdate").alias("updated_at"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("extraction_date"),
         F.lit("MEMBER").alias("author_association"),
         F.lit("org/x").alias("source_repository"),
     ]
@@ -247,27 +273,18 @@ def raw_comments(t: Tables) -> DataFrame:
       CASE WHEN o_orderstatus <> 'P' THEN 'org/c_' || CAST(o_custkey AS VARCHAR) END AS repository_full_name,
       l_shipdate AS created_at, CAST(l_quantity AS BIGINT) AS reaction_count,
       CAST(l_linenumber AS BIGINT) AS thumbs_up_count, CAST(l_linenumber + 1 AS BIGINT) AS thumbs_down_count,
-      l_partkey AS heart_count, 'MEMBER' AS author_association, 'org/x' AS repository,
+      l_partkey AS heart_count, CASE WHEN l_linestatus = 'F' THEN CAST(l_linenumber * 2 AS BIGINT) END AS laugh_count,
+      CAST(l_linenumber + 2 AS BIGINT) AS hooray_count, CASE WHEN l_linestatus <> 'F' THEN CAST(l_linenumber * 3 AS BIGINT) END AS confused_count,
+      CAST(l_linenumber + 4 AS BIGINT) AS rocket_count, CAST(l_linenumber + 5 AS BIGINT) AS eyes_count,
+      'node-' || CAST(o_orderkey AS VARCHAR) AS node_id, 'User' AS author_type, o_orderdate AS updated_at,
+      CASE WHEN o_orderstatus = 'P' THEN 'https://example.com/none'
+           ELSE '{API}org/c_' || CAST(o_custkey AS VARCHAR) || '/issues/' || CAST(o_orderkey AS VARCHAR) END AS issue_url,
+      CASE WHEN l_linestatus <> 'F' THEN 'https://example.com/c/' || CAST(o_orderkey AS VARCHAR) END AS html_url,
+      '{API}c/' || CAST(o_orderkey AS VARCHAR) AS api_url, CAST(l_shipdate AS DATE) AS extraction_date,
+      'MEMBER' AS author_association, 'org/x' AS repository,
       source_file, l_shipdate AS loaded_at
     FROM latest_load
     """,
 )
 def stage_comments(t: Tables):
-    return staging.stage_comments(raw_comments(t)).select(
-        "comment_id",
-        "body",
-        F.col("body_length").cast("bigint").alias("body_length"),
-        "author_username",
-        "author_id",
-        "issue_number",
-        "repository_full_name",
-        "created_at",
-        "reaction_count",
-        "thumbs_up_count",
-        "thumbs_down_count",
-        "heart_count",
-        "author_association",
-        "repository",
-        "source_file",
-        F.col("loaded_at").cast("timestamp_ntz").alias("loaded_at"),
-    )
+    return plain_lineage(staging.stage_comments(raw_comments(t)))

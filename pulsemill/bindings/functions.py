@@ -68,11 +68,13 @@ def date_diff_units(t: Tables):
 @bind(
     "case_buckets",
     f"""
-    SELECT d.doc_id,
-      {labels.step_label('length(text)', labels.TITLE_LENGTH)} AS title_length_category,
-      {labels.step_label('n_chars', labels.POPULARITY, missing_is_last=False)} AS popularity_tier,
-      {labels.step_label('n_spaces', labels.ACTIVITY_LEVEL)} AS activity_level
-    FROM (SELECT *, length(text) - length(replace(text, ' ', '')) AS n_spaces FROM documents) d
+    WITH {labels.STEPS_SQL}
+    SELECT doc_id, {labels.step_label('title', 'title length')} AS title_length_category,
+      {labels.step_label('star', 'stars')} AS popularity_tier, {labels.step_label('talk', 'comments')} AS activity_level
+    FROM (SELECT *, length(text) - length(replace(text, ' ', '')) AS n_spaces FROM documents)
+    {labels.join_step('title', 'title length', 'length(text)')}
+    {labels.join_step('star', 'stars', 'n_chars')}
+    {labels.join_step('talk', 'comments', 'n_spaces')}
     """,
 )
 def case_buckets(t: Tables):
@@ -88,15 +90,16 @@ def case_buckets(t: Tables):
 @bind(
     "time_buckets",
     f"""
-    WITH spans AS (
+    WITH {labels.STEPS_SQL},
+    spans AS (
       SELECT event_id, ts AS created_at,
              CASE WHEN event_type <> 'error' THEN ts + to_minutes(CAST(floor(value * value) AS BIGINT)) END
                AS closed_at
       FROM events)
-    SELECT event_id,
-      {labels.resolution_label('created_at', 'closed_at')} AS resolution_time_bucket,
-      {labels.step_label(f"datediff('day', created_at, TIMESTAMP '{EVENTS_AS_OF}')", labels.ACTIVITY_STATUS)} AS activity_status
-    FROM spans
+    SELECT event_id, {labels.resolution_label('closed_at')} AS resolution_time_bucket,
+      {labels.step_label('push', 'days since push')} AS activity_status
+    FROM spans {labels.join_resolution('created_at', 'closed_at')}
+    {labels.join_step('push', 'days since push', f"datediff('day', created_at, TIMESTAMP '{EVENTS_AS_OF}')")}
     """,
 )
 def time_buckets(t: Tables):
