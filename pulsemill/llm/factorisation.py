@@ -158,13 +158,15 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, float]], *, rank: int = RANK, e
     """
     random = np.random.default_rng(seed)
     linear, factors = np.zeros(FEATURES, np.float32), random.normal(0, 0.05, (FEATURES, rank)).astype(np.float32)
+    if not rows:
+        return Machine(0.0, linear, np.zeros_like(factors))
     y = np.array([t for _, _, t in rows], np.float32)
-    share = min(max(y.mean(), 0.01), 0.99) if len(y) else 0.5
+    share = min(max(y.mean(), 0.01), 0.99)
     bias = float(np.log(share / (1 - share)))
     state = [np.zeros((2, *p.shape), np.float32) for p in (linear, factors)]
     step = 0
-    epochs = max(epochs, -(-LEAST_STEPS * BATCH // max(1, len(rows))))
-    for epoch in range(epochs if len(rows) else 0):
+    epochs = max(epochs, -(-LEAST_STEPS * BATCH // len(rows)))
+    for epoch in range(epochs):
         order = random.permutation(len(rows))
         for at in range(0, len(rows), BATCH):
             picked = order[at : at + BATCH]

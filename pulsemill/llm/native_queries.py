@@ -30,19 +30,17 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+#: Rounds of the SQL, which cannot stop by itself: more than the operator needs to settle for any
+#: weight of seeds up to a hundred million pages.
+SQL_ROUNDS = 180
+
+
 def op1_sql() -> str:
-    """The same with every round of the propagation written out."""
+    """The same; the propagation is a recursion over rounds."""
     rules = ", ".join(f"('{r.host}', '{r.path}', '{r.host + r.path}', '{r.verdict}')" for r in URL_RULES)
     host = r"translate(regexp_extract({0}, '^.*?://([^/?#]*)', 1, 's'), '" + url_filter.UPPER + "', '" + url_filter.LOWER + "')"
-    rounds = []
-    for i in range(1, url_filter.ROUNDS + 1):
-        rounds.append(
-            f"s{i} AS MATERIALIZED (SELECT kind, host, sum(score) AS score FROM ("
-            f"SELECT s.kind, t.stop AS host, {url_filter.DAMPING} * s.score * t.share AS score FROM s{i - 1} s JOIN steps t ON s.kind = t.kind AND s.host = t.start "
-            f"UNION ALL SELECT kind, host, {1 - url_filter.DAMPING} * score FROM s0) GROUP BY kind, host)"
-        )
     return f"""
-WITH rules(rule_host, rule_path, rule, verdict) AS (VALUES {rules}),
+WITH RECURSIVE rules(rule_host, rule_path, rule, verdict) AS (VALUES {rules}),
 seen AS (
   SELECT row_number() OVER () AS n, page_id, html, coalesce({host.format('url')}, '') AS host,
          coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path
@@ -52,23 +50,37 @@ won AS (
   FROM seen JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY n),
 judged AS (SELECT seen.*, w.r AS rule, w.v AS verdict FROM seen LEFT JOIN won USING (n)),
 targets AS (
-  SELECT host AS src, unnest(regexp_extract_all(html, 'href\\s*=\\s*["'']?([^"''\\s>]*://[^"''\\s>]+)', 1, 'i')) AS target FROM seen),
+  SELECT host AS src, unnest(regexp_extract_all(html, 'href\\s*=\\s*["'']?(//[^"''\\s>]+|[^"''\\s>]*://[^"''\\s>]+)', 1, 'i')) AS target FROM seen),
 edges AS (
-  SELECT src, dst, count(*) AS links FROM (SELECT src, {host.format('target')} AS dst FROM targets)
+  SELECT src, dst, count(*) AS links FROM (SELECT src, {host.format('whole')} AS dst FROM (SELECT src, CASE WHEN starts_with(target, '//') THEN 'http:' || target ELSE target END AS whole FROM targets))
   WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst),
 both_ways AS (SELECT 'trust' AS kind, src AS start, dst AS stop, links FROM edges UNION ALL SELECT 'distrust', dst, src, links FROM edges),
 steps AS (SELECT kind, start, stop, links / sum(links) OVER (PARTITION BY kind, start) AS share FROM both_ways),
 seeds AS (
   SELECT CASE verdict WHEN 'allow' THEN 'trust' ELSE 'distrust' END AS kind, host, count(*) AS pages
   FROM judged WHERE rule IS NOT NULL AND host <> '' GROUP BY ALL),
-s0 AS (SELECT kind, host, pages / sum(pages) OVER (PARTITION BY kind) AS score FROM seeds),
-{", ".join(rounds)},
+start AS (SELECT kind, host, pages / sum(pages) OVER (PARTITION BY kind) AS part FROM seeds),
+-- No round of one kind passes on more than the damping of what it holds; the rest returns to the seeds.
+scores AS (
+  SELECT 0 AS round, kind, host, part AS score FROM start
+  UNION ALL
+  SELECT round + 1, kind, host, sum(score) FROM (
+    SELECT s.round, s.kind, t.stop AS host, {url_filter.DAMPING} * s.score * t.share AS score
+    FROM scores s JOIN steps t ON s.kind = t.kind AND s.host = t.start WHERE s.round < {SQL_ROUNDS}
+    UNION ALL
+    SELECT m.round, b.kind, b.host, b.part * (1 - m.passed)
+    FROM start b JOIN (
+      SELECT s.round, s.kind, sum(CASE WHEN w.start IS NOT NULL THEN {url_filter.DAMPING} * s.score ELSE 0 END) AS passed
+      FROM scores s LEFT JOIN (SELECT DISTINCT kind, start FROM steps) w ON w.kind = s.kind AND w.start = s.host
+      WHERE s.round < {SQL_ROUNDS} GROUP BY s.round, s.kind) m ON m.kind = b.kind)
+  GROUP BY round, kind, host),
+weight AS (SELECT greatest(coalesce(sum(pages), 0), 1) AS pages FROM seeds WHERE kind = 'distrust'),
 hosts AS (
   SELECT host, coalesce(sum(score) FILTER (kind = 'trust'), 0) AS trust, coalesce(sum(score) FILTER (kind = 'distrust'), 0) AS distrust
-  FROM s{url_filter.ROUNDS} GROUP BY host)
+  FROM scores WHERE round = {SQL_ROUNDS} GROUP BY host)
 SELECT page_id, host, path, rule,
-       CASE WHEN verdict IS NOT NULL THEN verdict WHEN distrust >= {url_filter.THRESHOLD} AND distrust > trust THEN 'block' ELSE 'allow' END AS verdict
-FROM judged LEFT JOIN hosts USING (host)"""
+       CASE WHEN verdict IS NOT NULL THEN verdict WHEN distrust >= {url_filter.THRESHOLD} / weight.pages AND distrust > trust THEN 'block' ELSE 'allow' END AS verdict
+FROM judged CROSS JOIN weight LEFT JOIN hosts USING (host)"""
 
 
 def op4_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,9 +2,9 @@
 
 Documents become pieces of at most ``capacity`` tokens. What can be packed depends on
 the number of pieces of each length alone, and there are at most ``capacity`` lengths,
-so the driver plans over those counts: for each length from the longest, the gap it
-leaves is searched among one, two and three available lengths (a scan of the array of
-counts by length, no index of sums), and a combination that fills it exactly is consumed as often as the counts allow; what is
+so the driver plans over those counts. Sums of one, two and three available lengths are
+indexed by their sum: the gap that a length leaves is looked up among them, and a
+combination that fills it exactly is consumed as often as the counts allow; what is
 left is placed best fit. Spark then numbers the pieces of each length and every piece
 reads its place off the plan. The plan is a few numbers for each length, however many
 pieces there are.
@@ -123,53 +123,109 @@ def token_pieces(
     return docs.select(doc_id, text).mapInArrow(cut, schema)
 
 
-class Planner:
-    """Fills sequences from the number of pieces of each length."""
+class SumIndex:
+    """Available lengths by the sums that one, two or three of them make.
+
+    ``of_two[s]`` marks each length a that has a partner s - a, ``of_three[s]`` each a for which
+    the sum s - a of two is there: tables that are addressed by the sum and hold one
+    member of each combination. Both are kept right as counts run out: a length that is used up, or of
+    which only one is left, is taken out of the entries that name it. Whether a
+    combination names one length more often than there are pieces of it is left to the caller for
+    sums of three.
+    """
 
     def __init__(self, counts: dict[int, int], capacity: int):
         self.capacity = capacity
         self.left = np.zeros(capacity + 1, np.int64)
         for length, n in counts.items():
             self.left[length] = n
-        self.plan: list[tuple[tuple[int, ...], int]] = []
+        some = self.left > 0
+        self.of_two = np.zeros((capacity + 1, capacity + 1), bool)
+        for a in np.flatnonzero(some).tolist():
+            self.of_two[a:, a] = some[: capacity + 1 - a]
+        for a in np.flatnonzero(self.left[: capacity // 2 + 1] == 1).tolist():
+            self.of_two[2 * a, a] = False
+        self.twos = self.of_two.sum(1)
+        self.of_three = np.zeros_like(self.of_two)
+        for a in np.flatnonzero(some).tolist():
+            self.of_three[a:, a] = self.twos[: capacity + 1 - a] > 0
+
+    def drop_pair(self, a: int, b: int) -> None:
+        """Take out the sum of two lengths."""
+        total = a + b
+        if total > self.capacity or not self.of_two[total, a]:
+            return
+        self.of_two[total, a] = self.of_two[total, b] = False
+        self.twos[total] -= 1 if a == b else 2
+        if not self.twos[total]:
+            others = np.flatnonzero(self.left[: self.capacity + 1 - total] > 0)
+            self.of_three[others + total, others] = False
+
+    def take(self, combination: tuple[int, ...], times: int) -> None:
+        for x in combination:
+            self.left[x] -= times
+        for x in set(combination):
+            if self.left[x] <= 1:
+                self.drop_pair(x, x)
+            if self.left[x] == 0:
+                for partner in np.flatnonzero(self.of_two[np.arange(x, self.capacity + 1), x]).tolist():
+                    self.drop_pair(x, partner)
+                self.of_three[:, x] = False
+
+    def pairs(self, total: int) -> list[tuple[int, int]]:
+        """Available pairs with that sum, the most uneven first."""
+        larger = np.flatnonzero(self.of_two[total, (total + 1) // 2 :])[::-1] + (total + 1) // 2
+        return [(a, total - a) for a in larger.tolist()]
+
+    def triple(self, total: int, beside: int = 0) -> tuple[int, int, int] | None:
+        """An available triple with that sum, its largest member as large as can be; ``beside`` is in use once."""
+        for a in np.flatnonzero(self.of_three[total])[::-1].tolist():
+            if 3 * a < total:
+                return None
+            for b, c in self.pairs(total - a):
+                if b <= a and self.times((a, b, c, beside) if beside else (a, b, c)):
+                    return a, b, c
+        return None
 
     def times(self, combination: tuple[int, ...]) -> int:
         return min(int(self.left[x]) // combination.count(x) for x in combination)
 
-    def take(self, combination: tuple[int, ...]) -> int:
-        n = self.times(combination)
-        for x in combination:
-            self.left[x] -= n
-        return n
-
-    def pair(self, total: int, beside: tuple[int, ...]) -> tuple[int, int] | None:
-        """The most uneven available pair with that sum."""
-        low = np.arange(1, total // 2 + 1)
-        for b in low[(self.left[low] > 0) & (self.left[total - low] > 0)].tolist():
-            if self.times((*beside, total - b, b)):
-                return total - b, b
-        return None
 
-    def complement(self, first: int) -> tuple[int, ...] | None:
-        """Available lengths that fill exactly what ``first`` leaves: one, two or three."""
-        gap = self.capacity - first
-        if self.times((first, gap)):
-            return (gap,)
-        if found := self.pair(gap, (first,)):
-            return found
-        for a in np.flatnonzero(self.left[: gap - 1])[::-1].tolist():
-            if self.times((first, a)) and (found := self.pair(gap - a, (first, a))):
-                return (a, *found)
-        return None
+class Planner:
+    """Fills sequences from the number of pieces of each length: exactly where the index of sums
+    has what a length leaves, else by best fit."""
 
-    def run(self) -> list[tuple[tuple[int, ...], int]]:
-        """(lengths in order, number of such sequences)."""
+    def __init__(self, counts: dict[int, int], capacity: int):
+        self.capacity = capacity
+        self.index = SumIndex(counts, capacity)
+        self.left = self.index.left
+        self.plan: list[tuple[tuple[int, ...], int]] = []
+
+    def complement(self, first: int, size: int) -> tuple[int, ...] | None:
+        """``size`` available lengths that fill exactly what ``first`` leaves."""
+        gap = self.capacity - first
+        if size == 1:
+            return (gap,) if self.index.times((first, gap)) else None
+        if size == 2:
+            return next((pair for pair in self.index.pairs(gap) if self.index.times((first, *pair))), None)
+        return self.index.triple(gap, first)
+
+    def run(self, passes: tuple[tuple[int, ...], ...]) -> list[tuple[tuple[int, ...], int]]:
+        """(lengths in order, number of such sequences).
+
+        Each pass goes from the longest length to the shortest and fills up with as many
+        others as the pass names, in that order; the rest is placed by best fit.
+        """
         if n := int(self.left[self.capacity]):
             self.plan.append(((self.capacity,), n))
-            self.left[self.capacity] = 0
-        for first in range(self.capacity - 1, 0, -1):
-            while self.left[first] and (rest := self.complement(first)):
-                self.plan.append(((first, *rest), self.take((first, *rest))))
+            self.index.take((self.capacity,), n)
+        for sizes in passes:
+            for first in range(self.capacity - 1, 0, -1):
+                while self.left[first] and (rest := next(filter(None, (self.complement(first, size) for size in sizes)), None)):
+                    combination = (first, *rest)
+                    n = self.index.times(combination)
+                    self.index.take(combination, n)
+                    self.plan.append((combination, n))
         self.best_fit()
         return self.plan
 
@@ -208,6 +264,20 @@ class Planner:
         self.plan.extend(entry for entries in open_bins.values() for entry in entries)
 
 
+#: Passes that plans are tried with: all sizes at once, one size after the other, fewer sizes, best fit alone.
+ORDERS = (((1, 2, 3),), ((1,), (2,), (3,)), ((1,), (2,)), ((1,),), ())
+
+
+def smallest_plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """The plan with the fewest sequences; the first of equally small ones.
+
+    A plan depends on the counts alone, at most one for each length, so several cost
+    little; triples that use up short pieces can cost more sequences than they fill.
+    """
+    plans = (Planner(counts, capacity).run(passes) for passes in ORDERS)
+    return min(plans, key=lambda plan: sum(n for _, n in plan))
+
+
 def places(plan: list[tuple[tuple[int, ...], int]]) -> np.ndarray:
     """Rows (length, number of the first piece, first sequence, offset), sorted: pieces of
     a length take its rows' places one after the other."""
@@ -240,7 +310,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
     counted = fixed.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     counts = {r.length: r.n for r in counted.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    table = places(Planner(counts, capacity).run())
+    table = places(smallest_plan(counts, capacity))
     earlier = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = counted.select("length", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     numbered = (

@@ -31,8 +31,13 @@ def of_strings(strings: frozenset[bytes]):
     return either(*(both(*(s[i : i + 3] for i in range(len(s) - 2))) for s in sorted(strings)))
 
 
-def literal(code: int, folded: bool) -> frozenset[bytes] | None:
-    if folded and code > 127:
+#: Letters of ASCII that other letters equal where case is ignored beyond ASCII.
+FOLDED_BEYOND = frozenset(map(ord, "iIkKsS"))
+
+
+def literal(code: int, flags: int) -> frozenset[bytes] | None:
+    """The bytes of a character, None if it stands for others too that have other bytes."""
+    if flags & re.IGNORECASE and (code > 127 or (code in FOLDED_BEYOND and not flags & re.ASCII)):
         return None
     return frozenset([chr(code).encode("utf-8", "surrogatepass").lower()])
 
@@ -53,12 +58,10 @@ def walk(tree, flags: int) -> tuple[frozenset[bytes] | None, object]:
 
 
 def element(kind, value, flags: int):
-    folded = bool(flags & re.IGNORECASE)
     if kind is kinds.LITERAL:
-        some = literal(value, folded)
-        return some, True
+        return literal(value, flags), True
     if kind is kinds.IN:
-        options = [literal(v, folded) if k is kinds.LITERAL else None for k, v in value]
+        options = [literal(v, flags) if k is kinds.LITERAL else None for k, v in value]
         if len(options) <= 8 and None not in options:
             return frozenset().union(*options), True
         return None, True
@@ -76,20 +79,28 @@ def element(kind, value, flags: int):
         least, most, inner = value
         some, needs = walk(inner, flags)
         if some is not None and most is not kinds.MAXREPEAT and most <= 4:
-            runs = {b"".join(p) for n in range(least, most + 1) for p in product(some, n)}
-            if len(runs) <= FOLLOWED:
-                return frozenset(runs), of_strings(frozenset(runs))
+            runs = repeated(some, least, most)
+            if runs is not None:
+                return runs, of_strings(runs)
         return None, needs if least else True
     if kind in (kinds.AT, kinds.ASSERT, kinds.ASSERT_NOT):
         return frozenset([b""]), True
     return None, True
 
 
-def product(strings, n: int):
-    made = [()]
-    for _ in range(n):
-        made = [(*m, s) for m in made for s in strings][: FOLLOWED + 1]
-    return made
+def repeated(strings: frozenset[bytes], least: int, most: int) -> frozenset[bytes] | None:
+    """All strings of ``least`` to ``most`` of the given ones in a row, None if they are too many to follow."""
+    runs, longer = set(), {b""}
+    for n in range(most + 1):
+        if n >= least:
+            runs |= longer
+        if len(runs) > FOLLOWED:
+            return None
+        if n < most:
+            longer = {a + b for a in longer for b in strings}
+            if len(longer) > FOLLOWED:
+                return None
+    return frozenset(runs)
 
 
 def trigram_query(pattern: str):

@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 from pulsemill.session import shared_folder
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Of the query's SQL, which states a fixed number; the operator goes on until scores settle.
-ROUNDS = 10
 CUT_EVERY = 5
 DAMPING = 0.85
 #: Blocked pages that a host's distrust must amount to.
@@ -91,7 +89,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, dam
 
     ``edges``: (src, dst, links). ``seeds``: (kind, host, weight), kind ``trust``
     following links or ``distrust`` following them backwards; weights are scaled to
-    sum to 1 for each kind. With ``rounds`` so many are run; else they go on until the
+    sum to 1 for each kind, and so do the scores: what reaches a host without onward
+    links goes back to the seeds, in proportion to their weights. With ``rounds`` so many are run; else they go on until the
     change of a round, summed over the hosts of a kind, is below ``tolerance``: no score
     is then further than ``tolerance * damping / (1 - damping)`` from its limit. Scores
     are plain sums over edges grouped by their end, so a hot end is combined before the
@@ -117,7 +116,10 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, dam
             .groupBy("kind", F.col("to").alias("host"))
             .agg((F.sum(F.col("score") * F.col("share")) * damping).alias("score"))
         )
-        kept = start.select("kind", "host", (F.col("part") * (1 - damping)).alias("score"))
+        # What is not passed on, by chance or for want of links, goes to the seeds: two sums.
+        passed = moved.groupBy("kind").agg(F.sum("score").alias("passed"))
+        returned = F.col("part") * (1 - F.coalesce("passed", F.lit(0.0)))
+        kept = start.join(F.broadcast(passed), "kind", "left").select("kind", "host", returned.alias("score"))
         before, scores = scores, moved.unionByName(kept).groupBy("kind", "host").agg(F.sum("score").alias("score"))
         # The first round after each cut is measured: the scores before it are at hand.
         measured = rounds is None and number % CUT_EVERY == 1

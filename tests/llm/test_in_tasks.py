@@ -167,20 +167,60 @@ def test_packing_round_trip(spark):
     assert packing.pack_documents(docs.limit(0), python_queries.vocabulary()).count() == 0
 
 
-def test_plans_keep_every_piece_and_find_exact_fills():
+def best_fit_decreasing(lengths, capacity):
+    """Number of sequences of plain best fit, piece by piece."""
+    rooms = []
+    for length in sorted(map(int, lengths), reverse=True):
+        at = min((i for i, room in enumerate(rooms) if room >= length), key=lambda i: rooms[i], default=None)
+        if at is None:
+            rooms.append(capacity - length)
+        else:
+            rooms[at] -= length
+    return len(rooms)
+
+
+def used_by(plan, capacity):
+    used = {}
+    for combination, n in plan:
+        assert n > 0 and sum(combination) <= capacity
+        for x in combination:
+            used[x] = used.get(x, 0) + n
+    return used
+
+
+@pytest.mark.parametrize("low,high,number,capacity", [(1, 65, 200, 64), (16, 48, 300, 64), (20, 30, 60, 64), (500, 1500, 1500, 2048), (1, 2049, 1200, 2048), (5, 6, 90, 64), (1, 4, 300, 64)])
+def test_plans_keep_every_piece_and_need_no_more_than_best_fit(low, high, number, capacity):
     rng = np.random.default_rng(3)
-    for _ in range(30):
-        lengths = rng.integers(1, 65, 200)
+    for _ in range(12 if capacity == 64 else 2):
+        lengths = rng.integers(low, high, number)
         counts = {int(k): int(n) for k, n in zip(*np.unique(lengths, return_counts=True))}
-        plan = packing.Planner(counts, 64).run()
-        used = {}
-        for combination, n in plan:
-            assert sum(combination) <= 64
-            for x in combination:
-                used[x] = used.get(x, 0) + n
-        assert used == counts
-        assert sum(n for _, n in plan) <= -(-int(lengths.sum()) // 64) + 3
-    assert packing.Planner({40: 5, 10: 4, 8: 4, 6: 4, 24: 1}, 64).run()[:2] == [((40, 24), 1), ((40, 10, 8, 6), 4)]
+        plan = packing.smallest_plan(counts, capacity)
+        assert used_by(plan, capacity) == counts
+        needed = sum(n for _, n in plan)
+        assert -(-int(lengths.sum()) // capacity) <= needed <= best_fit_decreasing(lengths, capacity)
+
+
+def test_exact_fills_under_counts():
+    assert packing.smallest_plan({40: 5, 10: 4, 8: 4, 6: 4, 24: 1}, 64)[:2] == [((40, 24), 1), ((40, 10, 8, 6), 4)]
+    assert packing.smallest_plan({}, 64) == [] and packing.smallest_plan({64: 3, 32: 3}, 64) == [((64,), 3), ((32, 32), 1), ((32,), 1)]
+
+
+def test_index_of_sums_stays_valid_as_counts_run_out():
+    rng = np.random.default_rng(1)
+    counts = {int(x): int(n) for x, n in zip(rng.choice(np.arange(1, 41), 14, replace=False), rng.integers(1, 5, 14))}
+    index = packing.SumIndex(counts, 40)
+    left = dict(counts)
+    while left:
+        pairs = {(a, b) for a in left for b in left if a > b or (a == b and left[a] > 1)}
+        for total in range(2, 41):
+            assert set(index.pairs(total)) == {p for p in pairs if sum(p) == total}
+            triple = index.triple(total)
+            some = [(a, *p) for a in left for p in pairs if a >= p[0] and a + sum(p) == total and all((a, *p).count(x) <= left[x] for x in (a, *p))]
+            assert (triple is None) == (not some) and (triple is None or triple in some)
+        x = int(rng.choice(list(left)))
+        index.take((x,), 1)
+        left[x] -= 1
+        left = {k: n for k, n in left.items() if n}
 
 
 SECRETS = [
@@ -206,7 +246,7 @@ def test_secrets(spark):
     for r in got:
         assert [(s.kind, s.start, s.end) for s in r.spans] == secrets(SECRETS[r.doc_id])
     more = {r.doc_id: [s.kind for s in r.spans] for r in secret_scan.find_secrets(docs).collect()}
-    assert more[12] == ["github", "private_key"]
+    assert more[12] == ["github", "hex", "private_key"]
     clean = {r.doc_id: r.text for r in secret_scan.redact_secrets(docs).collect()}
     assert clean[0] == "[SECRET]' and [SECRET]" and clean[8] is None and clean[9] == "" and clean[1] == "token=short"
     assert secret_scan.find_secrets(docs.limit(0)).count() == 0
@@ -228,6 +268,29 @@ def test_trigram_queries_never_exclude_a_match():
         assert all(i in allowed for i, s in enumerate(samples) if re.search(p, s)), p
 
 
+def matched(pattern, samples):
+    """Samples with a match, and those that the query allows."""
+    query = trigrams.trigram_query(pattern)
+    index = trigrams.Postings(trigrams.trigrams_of(query))
+    index.index([s.encode().lower() for s in samples])
+    allowed = set(index.answer(query).tolist())
+    return {i for i, s in enumerate(samples) if re.search(pattern, s)}, allowed
+
+
+def test_trigram_queries_allow_every_string_of_repeats_and_folded_letters():
+    from itertools import product
+
+    parts = ["ab", "abab", "cd", "x", ""]
+    strings = sorted({"".join(p) for p in product(parts, repeat=4)})
+    for pattern in (r"(?:ab|abab|cd){4}", r"(?:ab|cd|x){2,4}", r"(?:ab|abab|cd){3}x?", r"(?:abab|cd|x|){1,3}ab", r"(?:[abcd]{2}){4}"):
+        found, allowed = matched(pattern, strings)
+        assert found and found <= allowed, pattern
+    letters = [chr(c) for c in range(0x20, 0x2200)]
+    for pattern, template in ((r"(?i:token)", "to{}en"), (r"(?i:secret)", "{}ecret"), (r"(?i:assign)", "ass{}gn"), (r"(?i:[kxy]abc)", "{}abc"), (r"(?ai:token)", "to{}en")):
+        found, allowed = matched(pattern, [template.format(c) for c in letters])
+        assert found and found <= allowed, pattern
+
+
 def test_op5_digest(spark):
     import hashlib
 
