@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from pulsemill.bindings import roles
 from pulsemill.bindings.roles import AS_OF, ISSUES_SQL, REPOSITORIES_SQL, Tables, binder
+from pulsemill.functions import field
 from pulsemill.plans import backfill
+from pulsemill.session import scratch_folder
+from pulsemill.sources import raw_documents, write_landing
 
 BOUND: dict = {}
 bind = binder(BOUND)
@@ -132,6 +135,94 @@ def chunk_load_counts(t: Tables):
     return backfill.chunk_load_counts(backfill.month_chunks(span), backfill.with_chunk(issues, span), talk)
 
 
+START, MIDDLE, END = "1996-01-01 00:00:00", "1997-01-01 00:00:00", "1998-07-01 00:00:00"
+
+
+def document(*columns: str):
+    return F.parse_json(F.to_json(F.struct(*columns))).alias("raw_data")
+
+
+def regional_history(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Staged issues, comments and repositories with documents; every region is a repository."""
+    region = t.region.select("r_regionkey", F.concat(F.lit("org/"), F.lower("r_name")).alias("full_name"))
+    placed = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(
+        region, F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    of_customer = placed.select(F.col("c_name").alias("repository"), F.col("full_name").alias("_region"))
+    issues = roles.issues(t).join(of_customer, "repository").drop("repository").withColumnRenamed("_region", "repository")
+    issues = issues.select("*", document("issue_id", "repository"))
+    comments = (
+        roles.comments(t)
+        .join(of_customer, F.col("repository_full_name") == F.col("repository"))
+        .drop("repository", "repository_full_name")
+        .withColumnRenamed("_region", "repository_full_name")
+        .withColumn("issue_url", F.lit("https://example.com/none"))
+    )
+    comments = comments.select("*", document("comment_id", "issue_number"))
+    return issues, comments, region.select("full_name", document("full_name"))
+
+
+def until(t: Tables, end: str) -> DataFrame:
+    names = t.region.select(F.concat(F.lit("org/"), F.lower("r_name")).alias("repository"))
+    return names.select("repository", *[F.lit(x).cast("timestamp_ntz").alias(c) for x, c in ((START, "range_start"), (end, "range_end"))])
+
+
+@bind(
+    "backfill_load",
+    f"""
+    WITH {ISSUES_SQL},
+    loaded AS (
+      SELECT issue_id, 'org/' || lower(r_name) AS repository, created_at,
+             CASE WHEN created_at < TIMESTAMP '{MIDDLE}' THEN 'run-1' ELSE 'run-2' END AS run_id
+      FROM issues JOIN customer ON c_name = repository JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
+      WHERE NOT is_pull_request AND created_at >= TIMESTAMP '{START}' AND created_at < TIMESTAMP '{END}')
+    SELECT 'issues' AS entity, run_id, repository, CAST(date_trunc('month', created_at) + INTERVAL 1 MONTH AS DATE) AS load_date,
+           count(*) AS documents, CAST(sum(issue_id) AS BIGINT) AS id_sum
+    FROM loaded GROUP BY ALL
+    UNION ALL
+    SELECT 'comments', run_id, repository, CAST(date_trunc('month', created_at) + INTERVAL 1 MONTH AS DATE),
+           count(*), CAST(sum(issue_id) AS BIGINT)
+    FROM loaded JOIN lineitem ON l_orderkey = issue_id GROUP BY ALL
+    UNION ALL
+    SELECT 'repositories', run_id, 'org/' || lower(r_name), CAST(TIMESTAMP '{AS_OF}' AS DATE), 1, NULL
+    FROM region, (VALUES ('run-1'), ('run-2')) runs(run_id)
+    UNION ALL
+    SELECT 'ledger ' || status, run_id, repository, load_date, issues, comments
+    FROM (SELECT 'completed' AS status, run_id, repository, CAST(date_trunc('month', created_at) + INTERVAL 1 MONTH AS DATE) AS load_date,
+                 count(DISTINCT issue_id) AS issues, count(l_orderkey) AS comments
+          FROM loaded LEFT JOIN lineitem ON l_orderkey = issue_id GROUP BY ALL)
+    """,
+)
+def backfill_load(t: Tables):
+    """An extract that lands a day on which chunks end; a run; a second run that is lost between
+    landing and ledger, and is started again."""
+    root = scratch_folder(t.spark, "backfill")
+    issues, comments, repositories = regional_history(t)
+    ends_that_day = raw_documents(issues.limit(1000), "issues", F.col("repository"), F.lit("1996-02-01").cast("date"), AS_OF)
+    write_landing(ends_that_day, f"{root}/landing", "issues")
+    backfill.run_backfill(issues, comments, repositories, until(t, MIDDLE), root, "run-1", AS_OF)
+    so_far = backfill.read_ledger(t.spark, root).drop("origin", "load_date")
+    # The lost run: it lands and does not get to the ledger.
+    backfill.load_pending(issues, comments, until(t, END), so_far, f"{root}/landing", "run-2", AS_OF, repositories=repositories)
+    ledger_after = backfill.run_backfill(issues, comments, repositories, until(t, END), root, "run-2", AS_OF)
+
+    def summed(entity: str, identity) -> DataFrame:
+        rows = backfill.read_backfilled(t.spark, root, entity).select("run_id", F.col("path_repository").alias("repository"), F.col("path_date").alias("load_date"), identity.alias("id"))
+        return rows.groupBy("run_id", "repository", "load_date").agg(F.count(F.lit(1)).alias("documents"), F.sum("id").alias("id_sum")).withColumn("entity", F.lit(entity))
+
+    def number(name: str):
+        return field(F.col("raw_data"), f"$.{name}", "bigint")
+
+    entries = ledger_after.select(
+        F.concat(F.lit("ledger "), "status").alias("entity"), "run_id", "repository", "load_date", F.col("issues").alias("documents"), F.col("comments").alias("id_sum")
+    )
+    parts = [summed("comments", number("issue_number")), summed("repositories", F.lit(None).cast("bigint")), entries]
+    every = summed("issues", number("issue_id"))
+    for part in parts:
+        every = every.unionByName(part)
+    return every.select("entity", "run_id", "repository", "load_date", "documents", "id_sum")
+
+
 @bind(
     "ledger_update",
     f"""

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsemill.bindings.roles import EVENTS_AS_OF, Tables, binder
@@ -21,13 +21,16 @@ from pulsemill.sources import (
     merge_partitions,
     publish_table,
     read_landing,
-    read_latest_version,
     read_raw_arrays,
     read_table,
+    rejected_files,
     row_documents,
     write_landing,
 )
-from pulsemill.streaming import append_raw, latest_state
+from pulsemill.sources.landing import EXTRACT
+from pulsemill.sources.tables import write_rows
+from pulsemill.streaming import append_raw, latest_state, read_raw, read_rejects
+from pulsemill.streaming.ingest import BUCKET
 
 BOUND: dict = {}
 bind = binder(BOUND)
@@ -83,6 +86,68 @@ def raw_array_scan(t: Tables):
     return typed_events(raw).withColumn("block", block).drop("source_file")
 
 
+# What becomes of a block of events by its number, and the reason of its reject.
+SPOILS = {1: "truncated", 2: "trailing", 3: "trailing", 4: "not_an_array", 5: "unparsable", 6: "unparsable", 7: None}
+SPOIL_EVERY = 9
+
+
+def spoiled_files(t: Tables, root: str) -> str:
+    """Array files as above with fewer documents each, most of them damaged in some way."""
+    block = F.floor(F.col("event_id") / 100).cast("bigint")
+    whole = F.concat(F.lit("[\n"), F.array_join(F.array_sort(F.collect_list("document")), ",\n"), F.lit("\n]"))
+    kind, text = F.pmod("block", F.lit(SPOIL_EVERY)), F.col("value")
+    damaged = (
+        F.when(kind == 1, text.substr(F.lit(1), F.length(text) - 3))
+        .when(kind == 2, F.concat(text, F.lit(" and more")))
+        .when(kind == 3, F.concat(text, F.lit(",[]")))
+        .when(kind == 4, F.concat(F.lit('{"rows": '), text, F.lit("}")))
+        .when(kind == 5, F.concat(F.lit("no json "), text))
+        .when(kind == 6, F.concat(F.lit("[{],"), text, F.lit("]")))
+        .when(kind == 7, F.lit(" \n"))
+        .otherwise(text)
+    )
+    (
+        event_documents(t.events)
+        .groupBy(block.alias("block"))
+        .agg(whole.alias("value"))
+        .select("block", damaged.alias("value"))
+        .write.partitionBy("block")
+        .text(root)
+    )
+    return root
+
+
+def block_of_file() -> Column:
+    return capture(F.col("source_file"), "block=([0-9]+)").cast("bigint")
+
+
+@bind(
+    "raw_rejects",
+    f"""
+    WITH blocks AS (SELECT event_id // 100 AS block, count(*) AS documents FROM events GROUP BY 1),
+    spoils(kind, reason) AS (VALUES {", ".join(f"({kind}, {'NULL' if reason is None else repr(reason)})" for kind, reason in SPOILS.items())})
+    SELECT block, reason AS batch_reason, reason AS stream_reason, CASE WHEN kind IS NULL THEN documents ELSE 0 END AS batch_documents,
+           CASE WHEN kind IS NULL THEN documents ELSE 0 END AS stream_documents
+    FROM blocks LEFT JOIN spoils ON block % {SPOIL_EVERY} = kind
+    WHERE kind IS NULL OR reason IS NOT NULL
+    """,
+)
+def raw_rejects(t: Tables):
+    """What is read from damaged files and why the others are not, at once and in micro-batches."""
+    files, table = spoiled_files(t, scratch_folder(t.spark, "arrays")), scratch_folder(t.spark, "raw")
+    batch_size = 4 * t.spark.sparkContext.defaultParallelism
+    append_raw(t.spark, files, table, scratch_folder(t.spark, "progress"), files_per_batch=batch_size).awaitTermination()
+
+    def accounted(documents: DataFrame, rejects: DataFrame, how: str) -> DataFrame:
+        read = documents.select(block_of_file().alias("block"), F.lit(1).alias("n"), F.lit(None).cast("string").alias("reason"))
+        lost = rejects.select(block_of_file().alias("block"), F.lit(0).alias("n"), "reason")
+        return read.unionByName(lost).groupBy("block").agg(F.sum("n").alias(f"{how}_documents"), F.max("reason").alias(f"{how}_reason"))
+
+    at_once = accounted(read_raw_arrays(t.spark, files), rejected_files(t.spark, files), "batch")
+    streamed = accounted(read_raw(t.spark, table), read_rejects(t.spark, table), "stream")
+    return at_once.join(streamed, "block", "full")
+
+
 def landed_events(events: DataFrame, root: str) -> None:
     name = F.concat(F.lit("org/kind_"), F.col("event_type"))
     rows = enrich(
@@ -106,7 +171,7 @@ def read_landed(t: Tables, root: str, first: date | None = None, last: date | No
     "path_date_scan",
     """
     SELECT event_id, value, 'org/kind_' || event_type AS source_repository,
-           'org_kind_' || event_type AS path_repository, CAST(ts AS DATE) AS path_date
+           'org/kind_' || event_type AS path_repository, CAST(ts AS DATE) AS path_date
     FROM events WHERE ts >= DATE '2024-01-10' AND ts < DATE '2024-01-21'
     """,
 )
@@ -121,7 +186,7 @@ def path_date_scan(t: Tables):
     "idempotent_partition_write",
     """
     SELECT event_id, value, 'org/kind_' || event_type AS source_repository,
-           'org_kind_' || event_type AS path_repository, CAST(ts AS DATE) AS path_date
+           'org/kind_' || event_type AS path_repository, CAST(ts AS DATE) AS path_date
     FROM events e
     WHERE ts < DATE '2024-01-15' OR value > 50
        OR NOT EXISTS (SELECT 1 FROM events w WHERE w.event_type = e.event_type
@@ -137,6 +202,36 @@ def idempotent_partition_write(t: Tables):
     return read_landed(t, root)
 
 
+@bind(
+    "landing_two_origins",
+    """
+    SELECT origin, event_id, event_type || rest AS source_repository, event_type || rest AS path_repository,
+           CAST(ts AS DATE) AS path_date
+    FROM events, (VALUES ('extract'), ('run-1')) origins(origin), (VALUES ('_b/c'), ('/b_c'), ('/b c%2F+ü')) names(rest)
+    WHERE origin = 'run-1' OR ts >= DATE '2024-01-20'
+    """,
+)
+def landing_two_origins(t: Tables):
+    """A backfill and an extract that lands some of the same days again, for repositories
+    whose names differ only in where the slash is; then the extract once more."""
+    root = scratch_folder(t.spark, "landing")
+    rests = F.explode(F.array(F.lit("_b/c"), F.lit("/b_c"), F.lit("/b c%2F+ü")))
+    events = t.events.select("event_id", "ts", "event_type", rests.alias("rest"))
+    name = F.concat("event_type", "rest")
+    late = events.where("ts >= timestamp_ntz'2024-01-20'")
+    for rows, origin in ((events, "run-1"), (late, EXTRACT), (late, EXTRACT)):
+        enriched = enrich(rows.select("event_id", "event_type", "rest", "ts"), "events", name, F.to_date("ts"), EVENTS_AS_OF)
+        write_landing(row_documents(enriched), root, "events", origin)
+    doc = F.col("raw_data")
+    return read_landing(t.spark, root, "events").select(
+        F.col("path_origin").alias("origin"),
+        field(doc, "$.event_id", "bigint").alias("event_id"),
+        field(doc, "$.source_repository", "string").alias("source_repository"),
+        "path_repository",
+        "path_date",
+    )
+
+
 @bind(
     "enrich_metadata",
     """
@@ -203,7 +298,7 @@ def stream_raw_ingest(t: Tables):
         files_per_batch=4 * t.spark.sparkContext.defaultParallelism,
     )
     query.awaitTermination()
-    return read_latest_version(t.spark, table).drop("source_file")
+    return read_table(t.spark, table).drop("source_file", BUCKET)
 
 
 @bind(
@@ -219,7 +314,7 @@ def stream_raw_append(t: Tables):
     table = scratch_folder(t.spark, "raw")
     append_raw(t.spark, files, table, scratch_folder(t.spark, "progress")).awaitTermination()
     return (
-        typed_events(read_table(t.spark, table))
+        typed_events(read_raw(t.spark, table))
         .groupBy("event_type")
         .agg(
             F.count(F.lit(1)).alias("events"),
@@ -285,6 +380,28 @@ def partition_merge(t: Tables):
     return read_table(t.spark, path)
 
 
+@bind(
+    "partition_merge_new_columns",
+    """
+    SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y-%m') AS order_month,
+           CASE WHEN o_orderdate >= DATE '1999-07-01' THEN o_orderpriority END AS o_orderpriority,
+           CASE WHEN o_orderdate >= DATE '1999-07-01' THEN o_orderstatus = 'F' END AS is_finished
+    FROM orders
+    """,
+)
+def partition_merge_new_columns(t: Tables):
+    """Months that are merged later bring two columns; the stored table takes them on, and the
+    months that are not touched have NULL there. A build that is lost before it is committed changes nothing."""
+    path = scratch_folder(t.spark, "orders")
+    rows = t.orders.withColumn("order_month", F.date_format("o_orderdate", "yyyy-MM"))
+    kept = ["o_orderkey", "o_totalprice", "order_month"]
+    publish_table(rows.where(f"o_orderdate < {CUT}").select(*kept), path, ["order_month"])
+    delta = rows.where(f"o_orderdate >= {OVERLAP}").select(*kept, "o_orderpriority", (F.col("o_orderstatus") == "F").alias("is_finished"))
+    merge_partitions(t.spark, path, delta, ["o_orderkey"], "order_month")
+    write_rows(rows.where("o_orderkey % 2 = 0").select(*kept), path, "order_month", 2)
+    return read_table(t.spark, path)
+
+
 @bind(
     "lookback_overlap",
     """

@@ -16,24 +16,28 @@ from pulsemill.bindings.models import (
 from pulsemill.bindings.roles import AS_OF, Tables, binder
 from pulsemill.plans import build, incremental, marts, metrics
 from pulsemill.session import scratch_folder
-from pulsemill.sources import publish_table, read_table
+from pulsemill.sources import files_of, publish_table, read_table
 
 BOUND: dict = {}
 bind = binder(BOUND)
 
 EARLIER = "2000-01-01 00:00:00"
 FIRST_LOAD, SECOND_LOAD = "2001-01-01 00:00:00", "2001-02-01 00:00:00"
-NOT_COMPARED = ("dbt_updated_at", incremental.SEEN, build.DAILY_MONTH, build.COMMENT_MONTH)
+NOT_COMPARED = ("dbt_updated_at", build.DAILY_MONTH, build.COMMENT_MONTH)
+EARLY_FILE, LATE_FILE = "load/1.json", "load/2.json"
 
 
 def loaded(df: DataFrame, late) -> DataFrame:
-    """``df`` with the load that brought each row: the second one where ``late``."""
-    at = F.when(late, F.lit(SECOND_LOAD)).otherwise(F.lit(FIRST_LOAD))
-    return df.withColumn("loaded_at", at.cast("timestamp_ntz"))
+    """``df`` with the file and the time of the load that brought each row: the second one where ``late``."""
+
+    def either(second: str, first: str):
+        return F.when(late, F.lit(second)).otherwise(F.lit(first))
+
+    return df.withColumns({"loaded_at": either(SECOND_LOAD, FIRST_LOAD).cast("timestamp_ntz"), "source_file": either(LATE_FILE, EARLY_FILE)})
 
 
 def first_load(df: DataFrame) -> DataFrame:
-    return df.where(F.col("loaded_at") == F.lit(FIRST_LOAD).cast("timestamp_ntz"))
+    return df.where(F.col("source_file") == EARLY_FILE)
 
 
 def before(column: str):
@@ -42,12 +46,13 @@ def before(column: str):
 
 def as_seen_earlier(issues: DataFrame) -> DataFrame:
     """The issues of the first load, with later changes undone."""
-    undone = F.col("loaded_at") == F.lit(SECOND_LOAD).cast("timestamp_ntz")
+    undone = F.col("source_file") == LATE_FILE
     return issues.where(before("created_at")).withColumns(
         {
             "closed_at": F.when(~undone, F.col("closed_at")),
             "comment_count": F.when(undone, 0).otherwise(F.col("comment_count")),
             "loaded_at": F.lit(FIRST_LOAD).cast("timestamp_ntz"),
+            "source_file": F.lit(EARLY_FILE),
         }
     )
 
@@ -85,10 +90,31 @@ def incremental_daily_late_changes(t: Tables):
 def incremental_full_refresh(t: Tables):
     """The stored table is ignored and everything rebuilt."""
     issues, parents = changed_issues(t), loaded(known_metrics(t), F.lit(False))
-    early = incremental.refresh_daily(metrics.issue_metrics(as_seen_earlier(issues), EARLIER), parents, None, EARLIER, full_refresh=True)
-    target = publish_table(early, scratch_folder(t.spark, "daily"))
-    fact = incremental.refresh_daily(metrics.issue_metrics(issues, AS_OF), parents, target, AS_OF, full_refresh=True)
-    return fact.drop(*NOT_COMPARED)
+    path = scratch_folder(t.spark, "daily")
+    build.refresh_daily_table(t.spark, path, metrics.issue_metrics(as_seen_earlier(issues), EARLIER), parents, EARLIER, False)
+    build.refresh_daily_table(t.spark, path, metrics.issue_metrics(issues, AS_OF), parents, AS_OF, True)
+    return read_table(t.spark, path).drop(*NOT_COMPARED)
+
+
+@bind("incremental_equal_marks", DAILY_SQL)
+def incremental_equal_marks(t: Tables):
+    """After the first file a second one with the very same load time and a third one with an
+    older time arrive; no time tells that they are new."""
+    third = F.col("issue_id") % 3
+    issues = metrics.issue_metrics(
+        roles.issues(t).withColumns(
+            {
+                "source_file": F.concat(F.lit("load/"), third.cast("string"), F.lit(".json")),
+                "loaded_at": F.when(third == 2, F.lit(EARLIER)).otherwise(F.lit(FIRST_LOAD)).cast("timestamp_ntz"),
+            }
+        ),
+        AS_OF,
+    )
+    parents = loaded(known_metrics(t), F.lit(False))
+    path = scratch_folder(t.spark, "daily")
+    for seen in (third == 0, third < 2, third < 3):
+        build.refresh_daily_table(t.spark, path, issues.where(seen), parents, AS_OF, False)
+    return read_table(t.spark, path).drop(*NOT_COMPARED)
 
 
 @bind("incremental_backfilled_history", DAILY_SQL)
@@ -109,6 +135,7 @@ def incremental_repository_change(t: Tables):
             "stars_count": F.when(third == 2, F.lit(150)).otherwise(F.col("stars_count")),
             "repository_name": F.when(third == 2, "formerly").otherwise(F.col("repository_name")),
             "loaded_at": F.lit(FIRST_LOAD).cast("timestamp_ntz"),
+            "source_file": F.lit(EARLY_FILE),
         }
     )
     return daily_twice(t, issues, issues, earlier, parents)
@@ -134,9 +161,9 @@ def incremental_comments(t: Tables):
     """Comments after the stored ones; touched issues are numbered anew."""
     comments, issues = loaded(roles.comments(t), ~before("created_at")), loaded(issue_metrics(t), F.lit(False))
     parents = parents_of(t, issues)
-    fact = incremental.with_mark(marts.comment_fact(first_load(comments), parents), FIRST_LOAD)
-    target = publish_table(fact, scratch_folder(t.spark, "comments"))
-    return countable(incremental.refresh_comments(comments, parents, issues, target).drop(incremental.SEEN))
+    target = publish_table(marts.comment_fact(first_load(comments), parents), scratch_folder(t.spark, "comments"))
+    consumed = files_of({incremental.COMMENTS: first_load(comments), incremental.ISSUES: issues})
+    return countable(incremental.refresh_comments(comments, parents, issues, target, consumed))
 
 
 @bind("incremental_comment_edit", COMMENTS_REBUILT)
@@ -144,7 +171,7 @@ def incremental_comment_edit(t: Tables):
     """First comments of all issues are edited long after they were written."""
     edited = F.col("body").endswith(" 1")
     comments, issues = loaded(roles.comments(t), edited), loaded(issue_metrics(t), F.lit(False))
-    earlier = comments.withColumns({"body": F.when(edited, "before").otherwise(F.col("body")), "loaded_at": F.lit(FIRST_LOAD).cast("timestamp_ntz")})
+    earlier = comments.withColumns({"body": F.when(edited, "before").otherwise(F.col("body")), "loaded_at": F.lit(FIRST_LOAD).cast("timestamp_ntz"), "source_file": F.lit(EARLY_FILE)})
     return comments_twice(t, earlier, comments, issues, issues)
 
 

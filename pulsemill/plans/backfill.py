@@ -3,13 +3,19 @@
 Ledger: one row per run, repository and chunk with ``status`` (completed or failed),
 ``issues`` and ``comments`` counts, ``error`` and ``recorded_at``. All chunks of all
 repositories are one distributed job; there is no loop over chunks.
+
+A load is committed by the ledger: ``run_backfill`` writes what it loads under an origin of
+its own and then appends the ledger entries, which name that origin, as one file.
+``read_backfilled`` takes landed rows only where an entry stands for them, so what a lost
+run has landed does not exist, and the next run finds its chunks pending.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulsemill.functions.temporal import (
@@ -18,15 +24,22 @@ from pulsemill.functions.temporal import (
     as_of_timestamp,
     whole_months_between,
 )
+from pulsemill.operators.dedup import latest_by_key
 from pulsemill.operators.upsert import upsert
 from pulsemill.plans.extraction import without_pull_requests
 from pulsemill.plans.quality import MAX_NULL_PERCENTAGE
 from pulsemill.session import cut_lineage
 from pulsemill.sources.landing import raw_documents, write_landing
+from pulsemill.sources.raw import read_landing
+from pulsemill.sources.tables import existing
 
 LEDGER_KEY = ["run_id", "repository", "chunk_id"]
 CHUNK = ["repository", "chunk_id"]
 
+# The stored ledger: an entry also names the origin and the date that its rows were landed under.
+STORED_LEDGER = """run_id string, repository string, chunk_id string, status string, issues bigint, comments bigint,
+error string, recorded_at timestamp_ntz, origin string, load_date date"""
+
 # Columns a loaded row must have.
 REQUIRED_ISSUE_COLUMNS = ["issue_id", "issue_number", "title", "state", "created_at"]
 REQUIRED_COMMENT_COLUMNS = ["comment_id", "issue_url", "created_at", "body"]
@@ -224,9 +237,14 @@ def load_pending(
     strict: bool = False,
     dry_run: bool = False,
     max_failures: int = MAX_CONSECUTIVE_FAILURES,
+    repositories: DataFrame | None = None,
+    origin: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Load every pending chunk; gives (new ledger entries, judged chunks).
 
+    Rows are landed under ``origin``, the run's name by default. ``repositories`` (staged, with
+    documents) are landed too, dated ``as_of``, where a chunk was loaded.
+
     ``issues`` and ``comments`` are staged with their documents kept, so each id comes
     once. Issues without pull requests and the comments of issues that have some are
     checked per chunk and written to the landing area, dated by the end of their chunk.
@@ -240,7 +258,8 @@ def load_pending(
         with_chunk(without_pull_requests(issues), periods).join(todo.select(*CHUNK, "chunk_end"), CHUNK)
     )
     busy = loaded.where(F.col("comment_count") > 0).select(*parent, "chunk_id", "chunk_end")
-    remarks = comments.drop("repository").withColumnRenamed("repository_full_name", "repository").join(busy, parent)
+    named = comments.drop("repository").withColumnRenamed("repository_full_name", "repository")
+    remarks = cut_lineage(named.join(busy, parent))
     judged = cut_lineage(judge_chunks(todo, loaded, remarks, strict=strict, max_failures=max_failures))
     if dry_run:
         return ledger.limit(0), judged
@@ -249,13 +268,85 @@ def load_pending(
     for entity, rows in (("issues", loaded), ("comments", remarks)):
         kept = rows.join(good.select(*CHUNK), CHUNK, "left_semi")
         day = F.to_date("chunk_end")
-        write_landing(raw_documents(kept, entity, F.col("repository"), day, as_of), root, entity)
+        write_landing(raw_documents(kept, entity, F.col("repository"), day, as_of), root, entity, origin or run_id)
+    if repositories is not None:
+        loaded_names = good.select(F.col("repository").alias("full_name")).distinct()
+        kept = repositories.join(loaded_names, "full_name", "left_semi")
+        day = as_of_timestamp(as_of).cast("date")
+        documents = raw_documents(kept, "repositories", F.col("full_name"), day, as_of)
+        write_landing(documents, root, "repositories", origin or run_id)
     counts = chunk_load_counts(good.select(*todo.columns), loaded, remarks)
     bad = judged.where("status = 'failed'")
     entries = completed_entries(counts, run_id, as_of).unionByName(failed_entries(bad, run_id, as_of))
     return entries, judged
 
 
+def append_ledger(entries: DataFrame, root: str) -> None:
+    """Add entries to the stored ledger as one file; nothing that is stored is changed."""
+    entries.coalesce(1).write.mode("append").parquet(f"{root}/ledger")
+
+
+def read_ledger(spark: SparkSession, root: str) -> DataFrame:
+    """The latest entry for each run, repository and chunk; empty before the first run."""
+    entries = existing(spark, f"{root}/ledger", STORED_LEDGER)
+    if entries is None:
+        return spark.createDataFrame([], STORED_LEDGER)
+    appended = entries.select("*", F.col("_metadata.file_modification_time").alias("_appended"))
+    newest = [F.col("recorded_at").desc_nulls_last(), F.col("_appended").desc(), F.col("origin").desc_nulls_last()]
+    return latest_by_key(appended, LEDGER_KEY, newest).drop("_appended")
+
+
+def run_backfill(
+    issues: DataFrame,
+    comments: DataFrame,
+    repositories: DataFrame,
+    periods: DataFrame,
+    root: str,
+    run_id: str,
+    as_of: AsOf,
+    strict: bool = False,
+    max_failures: int = MAX_CONSECUTIVE_FAILURES,
+) -> DataFrame:
+    """Load all pending chunks below ``root`` and record them; gives the ledger after it.
+
+    Started again after a failure, with the same or another ``run_id``, it loads what has no
+    completed entry. Two runs at once would load the same chunks.
+    """
+    spark = issues.sparkSession
+    before = read_ledger(spark, root)
+    origin = f"{run_id}.{uuid.uuid4().hex[:12]}"
+    entries, judged = load_pending(
+        issues,
+        comments,
+        periods,
+        before.drop("origin", "load_date"),
+        f"{root}/landing",
+        run_id,
+        as_of,
+        strict=strict,
+        max_failures=max_failures,
+        repositories=repositories,
+        origin=origin,
+    )
+    dates = judged.select(*CHUNK, F.to_date("chunk_end").alias("load_date"))
+    append_ledger(entries.withColumn("origin", F.lit(origin)).join(dates, CHUNK), root)
+    return read_ledger(spark, root)
+
+
+def read_backfilled(spark: SparkSession, root: str, entity: str) -> DataFrame:
+    """RAW rows of ``issues``, ``comments`` or ``repositories`` that completed chunks stand for, with their run."""
+    done = read_ledger(spark, root).where("status = 'completed'")
+    dated = ["path_date"] if entity != "repositories" else []
+    entries = done.select(
+        "run_id",
+        F.col("origin").alias("path_origin"),
+        F.col("repository").alias("path_repository"),
+        F.col("load_date").alias("path_date"),
+    )
+    keys = ["path_origin", "path_repository", *dated]
+    return read_landing(spark, f"{root}/landing", entity).join(entries.select("run_id", *keys).distinct(), keys)
+
+
 def failure_streaks(ledger: DataFrame, max_failures: int = MAX_CONSECUTIVE_FAILURES) -> DataFrame:
     """Longest run of failed chunks per run and repository, and where it was given up.
 

@@ -2,30 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsemill.functions.temporal import AsOf
 from pulsemill.plans import incremental, marts, metrics, quality, staging
 from pulsemill.session import cut_lineage
-from pulsemill.sources.tables import publish_table, publish_view, read_table
+from pulsemill.sources.tables import (
+    consumed_files,
+    files_of,
+    publish_table,
+    publish_view,
+    read_table,
+    replace_partitions,
+    stored,
+)
 
 # Partition columns of the incremental facts: months, so that files stay few and large.
 DAILY_MONTH = "activity_month"
 COMMENT_MONTH = "comment_month"
 
 
-def stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, None if there is none yet; any other failure is raised."""
-    try:
-        return read_table(spark, path)
-    except AnalysisException as failure:
-        if failure.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
 def month_of(date) -> Column:
     """First day of the month; rows without a date share one month."""
     return F.coalesce(F.trunc(date, "month"), F.lit("1970-01-01").cast("date"))
@@ -35,65 +32,51 @@ def by_month(fact: DataFrame, date: str, month: str) -> DataFrame:
     return fact.withColumn(month, month_of(date))
 
 
-def replace_months(delta: DataFrame, path: str, month: str) -> None:
-    """Overwrite the month partitions that ``delta`` has rows of."""
-    (
-        delta.hint("rebalance", F.col(month))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(month)
-        .parquet(path)
-    )
-
-
 def refresh_daily_table(
     spark: SparkSession, path: str, issues: DataFrame, repositories: DataFrame, as_of: AsOf, full_refresh: bool
 ) -> None:
-    """Rewrite only the months that loads since the last refresh touch.
+    """Rewrite only the months that files since the last refresh touch.
 
-    A touched month keeps an issue, as issues are never taken back, so its partition is
-    always replaced.
+    The files are committed with the rows, so a refresh that is lost halfway finds them
+    new again.
     """
-    target = None if full_refresh else stored(spark, path)
-    mark = target and incremental.seen_mark(target)
-    seen = incremental.newest_load(issues, repositories)
+    consumed = files_of({incremental.ISSUES: issues, incremental.REPOSITORIES: repositories})
 
     def rows(some: DataFrame) -> DataFrame:
-        fact = incremental.with_mark(marts.repo_activity_daily(some, repositories, as_of), seen)
-        return by_month(fact, "activity_date", DAILY_MONTH)
+        return by_month(marts.repo_activity_daily(some, repositories, as_of), "activity_date", DAILY_MONTH)
 
-    if mark is None:
-        publish_table(rows(issues), path, [DAILY_MONTH])
+    target = None if full_refresh else stored(spark, path)
+    if target is None:
+        publish_table(rows(issues), path, [DAILY_MONTH], consumed)
         return
-    days = incremental.changed_days(issues, repositories, target, mark)
+    days = incremental.changed_days(issues, repositories, target, consumed_files(spark, path))
     months = cut_lineage(days.select(month_of("activity_date").alias(DAILY_MONTH)).distinct())
+    # Months of a calendar are few.
+    touched = [r[0] for r in months.collect()]
     affected = issues.join(months, month_of(issues["created_at"]) == months[DAILY_MONTH], "left_semi")
-    replace_months(rows(affected), path, DAILY_MONTH)
+    replace_partitions(rows(affected), path, DAILY_MONTH, touched, consumed)
 
 
 def refresh_comment_table(
     spark: SparkSession, path: str, comments: DataFrame, lifecycle: DataFrame, issues: DataFrame, full_refresh: bool
 ) -> None:
     """Number the comments of touched issues anew and rewrite the months they lie in."""
-    target = None if full_refresh else stored(spark, path)
-    mark = target and incremental.seen_mark(target)
-    seen = incremental.newest_load(comments, issues)
+    consumed = files_of({incremental.COMMENTS: comments, incremental.ISSUES: issues})
 
     def rows(fact: DataFrame) -> DataFrame:
-        return by_month(incremental.with_mark(fact, seen), "comment_date_key", COMMENT_MONTH)
+        return by_month(fact, "comment_date_key", COMMENT_MONTH)
 
-    if mark is None:
-        publish_table(rows(marts.comment_fact(comments, lifecycle)), path, [COMMENT_MONTH])
+    target = None if full_refresh else stored(spark, path)
+    if target is None:
+        publish_table(rows(marts.comment_fact(comments, lifecycle)), path, [COMMENT_MONTH], consumed)
         return
-    touched = cut_lineage(incremental.touched_parents(comments, issues, target, mark))
+    touched = cut_lineage(incremental.touched_parents(comments, issues, target, consumed_files(spark, path)))
     delta = cut_lineage(rows(incremental.comment_delta(comments, lifecycle, touched)))
     before = target.join(touched, marts.COMMENT_PARENT, "left_semi").select(COMMENT_MONTH)
-    months = cut_lineage(delta.select(COMMENT_MONTH).unionByName(before).distinct())
-    # Months are few; the join on the partition column prunes the others at run time.
-    rest = target.join(months, COMMENT_MONTH, "left_semi").join(touched, marts.COMMENT_PARENT, "left_anti")
-    # Written apart first: nothing is read from a partition while it is replaced.
-    merged = rest.select(*target.columns).unionByName(delta.select(*target.columns))
-    replace_months(cut_lineage(merged), path, COMMENT_MONTH)
+    months = [r[0] for r in delta.select(COMMENT_MONTH).unionByName(before).distinct().collect()]
+    rest = target.where(F.col(COMMENT_MONTH).isin(months)).join(touched, marts.COMMENT_PARENT, "left_anti")
+    merged = rest.unionByName(delta, allowMissingColumns=True)
+    replace_partitions(merged, path, COMMENT_MONTH, months, consumed)
 
 
 def build_all(
@@ -142,8 +125,8 @@ def build_all(
     comment_path = f"{marts_root}/fct_issue_comments"
     refresh_comment_table(spark, comment_path, comments, lifecycle, issue_rows, full_refresh)
 
-    publish_view(read_table(spark, daily_path).drop(DAILY_MONTH, incremental.SEEN), "fct_repo_activity_daily")
-    facts = publish_view(read_table(spark, comment_path).drop(COMMENT_MONTH, incremental.SEEN), "fct_issue_comments")
+    publish_view(read_table(spark, daily_path).drop(DAILY_MONTH), "fct_repo_activity_daily")
+    facts = publish_view(read_table(spark, comment_path).drop(COMMENT_MONTH), "fct_issue_comments")
     publish_view(dates, "dim_date")
     publish_view(dim, "dim_repository")
     publish_view(lifecycle, "fct_issue_lifecycle")

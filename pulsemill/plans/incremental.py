@@ -1,4 +1,9 @@
-"""Refreshing facts from what changed instead of from everything."""
+"""Refreshing facts from what changed instead of from everything.
+
+A fact knows which source files (by name and load time) its rows stand for. Rows of any
+other file are new to it, whatever their event times are and whether the file is older or
+younger than those before it or carries the same time.
+"""
 
 from __future__ import annotations
 
@@ -11,10 +16,10 @@ from pulsemill.functions.temporal import AsOf, as_of_timestamp
 from pulsemill.operators.upsert import replace_where_matched, upsert
 from pulsemill.plans.marts import COMMENT_PARENT, comment_fact, repo_activity_daily
 from pulsemill.session import cut_lineage
+from pulsemill.sources.tables import not_consumed
 
-
-# Column of every fact: newest load its refresh had seen when the row was written.
-SEEN = "source_loaded_at"
+# Names of the sources in the list of consumed files.
+ISSUES, REPOSITORIES, COMMENTS = "issues", "repositories", "comments"
 
 
 def high_water_mark(table: DataFrame, column: str) -> datetime | None:
@@ -33,12 +38,6 @@ def after_day(df: DataFrame, column: str, mark: datetime | None) -> DataFrame:
     return df.where(F.col(column) >= as_of_timestamp(mark) + F.expr("interval 1 day"))
 
 
-def after_instant(df: DataFrame, column: str, mark: datetime | None) -> DataFrame:
-    if mark is None:
-        return df
-    return df.where(F.col(column) > as_of_timestamp(mark))
-
-
 def append_daily(
     issues: DataFrame, repositories: DataFrame, target: DataFrame, as_of: AsOf
 ) -> DataFrame:
@@ -50,39 +49,20 @@ def append_daily(
     return upsert(target, repo_activity_daily(fresh, repositories, as_of), ["fct_key"])
 
 
-def newest_load(*frames: DataFrame) -> str | None:
-    """Latest ``loaded_at`` of the frames, as text."""
-    marks = [df.agg(F.max("loaded_at").cast("timestamp_ntz").cast("string")).first()[0] for df in frames]
-    return max((m for m in marks if m is not None), default=None)
-
-
-def seen_mark(table: DataFrame) -> str | None:
-    return table.agg(F.max(SEEN).cast("string")).first()[0]
-
-
-def with_mark(fact: DataFrame, mark: str | None) -> DataFrame:
-    return fact.withColumn(SEEN, F.lit(mark).cast("timestamp_ntz"))
-
-
-def loaded_after(df: DataFrame, mark: str) -> DataFrame:
-    """Rows of loads that the mark has not seen; the literal reaches the file scan."""
-    return df.where(F.col("loaded_at") > F.lit(mark).cast(df.schema["loaded_at"].dataType))
-
-
 def day_of(column: str):
     return F.to_date(column).cast("timestamp_ntz").alias("activity_date")
 
 
-def changed_days(issues: DataFrame, repositories: DataFrame, target: DataFrame, mark: str) -> DataFrame:
-    """Days of the daily fact that loads after ``mark`` touch, whatever their event times.
+def changed_days(issues: DataFrame, repositories: DataFrame, target: DataFrame, consumed: DataFrame) -> DataFrame:
+    """Days of the daily fact that files outside ``consumed`` touch, whatever their event times.
 
-    Days of issues that were loaded since, of all issues of repositories that were
-    loaded since, and the stored days of those repositories (they may have had another
-    name). Distinct calendar days, a few ten thousand in a century.
+    Days of issues from such files, of all issues of repositories from such files, and the
+    stored days of those repositories (they may have had another name). Distinct calendar
+    days, a few ten thousand in a century.
     """
-    fresh = loaded_after(repositories, mark)
+    fresh = not_consumed(repositories, consumed, REPOSITORIES)
     names = fresh.select(F.col("full_name").alias("repository")).distinct()
-    own = loaded_after(issues, mark).select(day_of("created_at"))
+    own = not_consumed(issues, consumed, ISSUES).select(day_of("created_at"))
     of_parents = issues.join(names, "repository", "left_semi").select(day_of("created_at"))
     before = target.join(fresh.select("repository_id").distinct(), "repository_id", "left_semi").select("activity_date")
     return own.unionByName(of_parents).unionByName(before).distinct()
@@ -95,33 +75,26 @@ def daily_delta(issues: DataFrame, repositories: DataFrame, days: DataFrame, as_
 
 
 def refresh_daily(
-    issues: DataFrame,
-    repositories: DataFrame,
-    target: DataFrame,
-    as_of: AsOf,
-    full_refresh: bool = False,
+    issues: DataFrame, repositories: DataFrame, target: DataFrame, consumed: DataFrame, as_of: AsOf
 ) -> DataFrame:
-    """The daily fact after the loads that the stored one has not seen; equal to a full rebuild.
+    """The daily fact after the files that the stored one does not stand for; equal to a full rebuild.
 
-    ``issues`` and ``repositories`` carry ``loaded_at``. Days of changed issues and of
-    changed repositories are recomputed, so groups that no longer exist go away.
+    ``issues`` and ``repositories`` carry ``source_file`` and ``loaded_at``. Days of changed
+    issues and of changed repositories are recomputed, so groups that no longer exist go
+    away.
     """
-    mark = None if full_refresh else seen_mark(target)
-    seen = newest_load(issues, repositories)
-    if mark is None:
-        return with_mark(repo_activity_daily(issues, repositories, as_of), seen)
-    days = cut_lineage(changed_days(issues, repositories, target, mark))
-    delta = with_mark(daily_delta(issues, repositories, days, as_of), seen)
+    days = cut_lineage(changed_days(issues, repositories, target, consumed))
+    delta = daily_delta(issues, repositories, days, as_of)
     return replace_where_matched(target, delta, days, ["activity_date"])
 
 
-def touched_parents(comments: DataFrame, issues: DataFrame, target: DataFrame, mark: str) -> DataFrame:
-    """Issues, as (repository, number), whose comments loads after ``mark`` can change.
+def touched_parents(comments: DataFrame, issues: DataFrame, target: DataFrame, consumed: DataFrame) -> DataFrame:
+    """Issues, as (repository, number), whose comments files outside ``consumed`` can change.
 
-    Those of comments and of issues that were loaded since, and those under which the
-    fact has these comments and issues so far.
+    Those of comments and of issues from such files, and those under which the fact has
+    these comments and issues so far.
     """
-    fresh_comments, fresh_issues = loaded_after(comments, mark), loaded_after(issues, mark)
+    fresh_comments, fresh_issues = not_consumed(comments, consumed, COMMENTS), not_consumed(issues, consumed, ISSUES)
     of_issues = fresh_issues.select(F.col("repository").alias(COMMENT_PARENT[0]), F.col("issue_number").alias(COMMENT_PARENT[1]))
     moved_comments = target.join(fresh_comments.select("comment_id").distinct(), "comment_id", "left_semi")
     moved_issues = target.join(fresh_issues.select("issue_id").distinct(), "issue_id", "left_semi")
@@ -138,22 +111,14 @@ def comment_delta(comments: DataFrame, lifecycle: DataFrame, touched: DataFrame)
 
 
 def refresh_comments(
-    comments: DataFrame,
-    lifecycle: DataFrame,
-    issues: DataFrame,
-    target: DataFrame,
-    full_refresh: bool = False,
+    comments: DataFrame, lifecycle: DataFrame, issues: DataFrame, target: DataFrame, consumed: DataFrame
 ) -> DataFrame:
-    """The comment fact after the loads that the stored one has not seen; equal to a full rebuild.
+    """The comment fact after the files that the stored one does not stand for; equal to a full rebuild.
 
-    ``comments`` and ``issues`` carry ``loaded_at``; ``lifecycle`` is made from ``issues``.
-    The list of touched issues is written out: joined straight from its grouping, the
-    other side could not be split where one issue holds very many comments.
+    ``comments`` and ``issues`` carry ``source_file`` and ``loaded_at``; ``lifecycle`` is made
+    from ``issues``. The list of touched issues is written out: joined straight from its
+    grouping, the other side could not be split where one issue holds very many comments.
     """
-    mark = None if full_refresh else seen_mark(target)
-    seen = newest_load(comments, issues)
-    if mark is None:
-        return with_mark(comment_fact(comments, lifecycle), seen)
-    touched = cut_lineage(touched_parents(comments, issues, target, mark))
-    delta = with_mark(comment_delta(comments, lifecycle, touched), seen)
+    touched = cut_lineage(touched_parents(comments, issues, target, consumed))
+    delta = comment_delta(comments, lifecycle, touched)
     return replace_where_matched(target, delta, touched, COMMENT_PARENT)

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from pulsemill.functions.temporal import AsOf, as_of_timestamp
 
-LANDING_PARTITIONS = ["entity", "load_date", "repo_key"]
+LANDING_PARTITIONS = ["entity", "origin", "load_date", "repo_key"]
+
+# Origin of what the daily extract writes.
+EXTRACT = "extract"
 
 
 def extraction_metadata(
@@ -80,18 +83,21 @@ def raw_documents(
     )
 
 
-def write_landing(documents: DataFrame, root: str, entity: str) -> None:
-    """Write line-delimited JSON by entity, date and repository.
+def write_landing(documents: DataFrame, root: str, entity: str, origin: str = EXTRACT) -> None:
+    """Write line-delimited JSON by entity, origin, date and repository.
 
-    Writing a date and repository again replaces it; an empty frame leaves
-    everything as it was. The rebalance hint splits a partition that holds a large
-    share of the rows over several files and merges the small ones.
+    ``origin`` says which run wrote: an extract and a backfill that write the same day stay
+    apart. The repository is encoded so that the name can be read back, whatever
+    characters it holds. Writing an origin, date and repository again replaces it; an
+    empty frame leaves everything as it was. The rebalance hint splits a partition
+    that holds a large share of the rows over several files and merges the small ones.
     """
     laid_out = documents.select(
         F.col("document").alias("value"),
         F.lit(entity).alias("entity"),
+        F.lit(origin).alias("origin"),
         F.col("extraction_date").alias("load_date"),
-        file_safe(F.col("source_repository")).alias("repo_key"),
+        F.url_encode(F.col("source_repository")).alias("repo_key"),
     )
     (
         laid_out.hint("rebalance", *[F.col(c) for c in LANDING_PARTITIONS])

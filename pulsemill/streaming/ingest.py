@@ -5,11 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pulsemill.operators.dedup import latest_by_key
-from pulsemill.sources.raw import documents_from_text, with_file_lineage
-from pulsemill.sources.tables import publish_version, read_latest_version
+from pulsemill.sources.raw import array_rejects, documents_from_text, with_file_lineage
+from pulsemill.sources.tables import existing, is_committed, replace_partitions, stored
+
+# Partition of a state table: a hash of the key.
+BUCKET = "bucket"
+BUCKETS = 64
+
+DOCUMENTS, REJECTS, COMMITS = "documents", "rejects", "commits"
 
 
 def stream_files(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -27,47 +34,91 @@ def stream_files(spark: SparkSession, path: str, files_per_batch: int | None = N
 
 
 def append_raw(
-    spark: SparkSession, path: str, raw_table: str, checkpoint: str, files_per_batch: int | None = None
+    spark: SparkSession, path: str, root: str, checkpoint: str, files_per_batch: int | None = None
 ) -> StreamingQuery:
-    """Append every document of every new file to RAW exactly once, then stop.
+    """Append every document of every new file to RAW exactly once, and every file that
+    cannot be read to the rejects, then stop.
 
-    RAW keeps the full history; staging reduces it to the latest state. This is the
-    route for large tables: a batch writes only its own rows.
+    Both are written under the number of the batch, then one small file that commits the two
+    together; ``read_raw`` and ``read_rejects`` look at committed batches only. A batch
+    that is run again replaces what its lost run wrote. RAW keeps the full history; staging reduces
+    it to the latest state. This is the route for large tables: a batch writes only its
+    own rows. A new checkpoint needs a new ``root``.
     """
+
+    def apply_batch(files: DataFrame, batch_id: int) -> None:
+        number = f"batch={batch_id:012d}"
+        committed = existing(files.sparkSession, f"{root}/{COMMITS}", "documents bigint, batch bigint")
+        if committed is not None and not committed.where(F.col("batch") == batch_id).isEmpty():
+            return
+        documents_from_text(files).write.mode("overwrite").parquet(f"{root}/{DOCUMENTS}/{number}")
+        array_rejects(files).write.mode("overwrite").parquet(f"{root}/{REJECTS}/{number}")
+        done = files.sparkSession.read.parquet(f"{root}/{DOCUMENTS}/{number}").agg(F.count(F.lit(1)).alias("documents"))
+        done.coalesce(1).write.mode("overwrite").parquet(f"{root}/{COMMITS}/{number}")
+
     return (
-        documents_from_text(stream_files(spark, path, files_per_batch))
-        .writeStream.format("parquet")
-        .option("path", raw_table)
+        stream_files(spark, path, files_per_batch)
+        .writeStream.foreachBatch(apply_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def committed_rows(spark: SparkSession, root: str, sink: str) -> DataFrame:
+    """Rows of one sink of ``append_raw`` from batches that were committed; few batches, so few rows to look up."""
+    batches = spark.read.parquet(f"{root}/{COMMITS}").select("batch")
+    return spark.read.parquet(f"{root}/{sink}").join(batches, "batch", "left_semi").drop("batch")
+
+
+def read_raw(spark: SparkSession, root: str) -> DataFrame:
+    """All documents that ``append_raw`` has committed."""
+    return committed_rows(spark, root, DOCUMENTS)
+
+
+def read_rejects(spark: SparkSession, root: str) -> DataFrame:
+    """All files that ``append_raw`` could not read, and why."""
+    return committed_rows(spark, root, REJECTS)
+
+
 def latest_state(
     spark: SparkSession,
     path: str,
-    table_root: str,
+    table: str,
     checkpoint: str,
     stage: Callable[[DataFrame], DataFrame],
     keys: list[str],
     newest_first: Callable[[], list[Column]],
     files_per_batch: int | None = None,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
-    """Keep a versioned table at the latest row per key, then stop.
+    """Keep a table at the latest row per key, then stop.
 
-    Each batch writes version ``batch id`` from the version before it. A batch that
-    is run again after a failure starts from the same version and replaces its own,
-    so it is applied exactly once. A snapshot that arrives late does not replace a
-    newer one.
+    The table is cut into hash buckets of the key. A batch reads and rewrites the buckets
+    that its keys fall into and commits them as one version, so its cost follows what it
+    brings; give so many buckets that one is a few files. A batch whose version was
+    committed before a failure is not applied again, and a snapshot that arrives late does not replace
+    a newer one. The number of buckets of a table must not change.
     """
 
     def apply_batch(files: DataFrame, batch_id: int) -> None:
-        rows = stage(documents_from_text(files))
-        previous = read_latest_version(files.sparkSession, table_root, before=batch_id)
-        if previous is not None:
-            rows = previous.unionByName(rows, allowMissingColumns=True)
-        publish_version(latest_by_key(rows, keys, newest_first()), table_root, batch_id)
+        origin = f"{checkpoint}#{batch_id}"
+        if is_committed(files.sparkSession, table, origin):
+            return
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+        rows = stage(documents_from_text(files)).withColumn(BUCKET, bucket)
+        fresh = latest_by_key(rows, keys, newest_first()).persist()
+        try:
+            touched = [r[0] for r in fresh.select(BUCKET).distinct().collect()]
+            before = stored(files.sparkSession, table)
+            if before is not None:
+                fresh_and_old = before.where(F.col(BUCKET).isin(touched)).unionByName(fresh, allowMissingColumns=True)
+                merged = latest_by_key(fresh_and_old, keys, newest_first())
+            else:
+                merged = fresh
+            replace_partitions(merged, table, BUCKET, touched, origin=origin)
+        finally:
+            fresh.unpersist()
 
     return (
         stream_files(spark, path, files_per_batch)

@@ -172,3 +172,39 @@ def test_repository_is_given_up_after_failures_in_a_row(spark, tmp_path, raw, hi
     mine = {r["chunk_id"]: r["status"] for r in entries.where("repository = 'o/a_b'").collect()}
     assert mine == {"2024-01": "failed", "2024-02": "failed"}
     assert judged.where("repository = 'o/a_b' and status is null").count() == 1
+
+
+def test_a_lost_run_is_done_again(spark, tmp_path, raw, history, periods, monkeypatch):
+    issues, comments = history
+    repositories = staging.stage_repositories(
+        raw(*[(json.dumps({"id": i, "full_name": n}), "2024-01-01", "f", i) for i, n in enumerate(["o/a_b", "o/c", "o/off"])]), True
+    )
+    root = str(tmp_path)
+
+    def run(run_id):
+        return backfill.run_backfill(issues, comments, repositories, periods, root, run_id, NOW)
+
+    def seen(entity):
+        rows = backfill.read_backfilled(spark, root, entity)
+        return sorted((r[0], r[1]) for r in rows.select(F.try_variant_get("raw_data", "$.id", "long"), "run_id").collect())
+
+    assert backfill.read_ledger(spark, root).count() == 0
+    with monkeypatch.context() as lost:
+        lost.setattr(backfill, "append_ledger", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            run("r1")
+    assert landed(spark, tmp_path / "landing", "issues") == [1, 2, 4] and seen("issues") == []
+    ledger = run("r1")
+    assert ledger.count() == 5 and {r["status"] for r in ledger.collect()} == {"completed"}
+    assert seen("issues") == [(1, "r1"), (2, "r1"), (4, "r1")]
+    assert seen("comments") == [(10, "r1"), (11, "r1"), (14, "r1")]
+    assert seen("repositories") == [(0, "r1"), (1, "r1")]
+    # Nothing is left to do, and the first attempt's rows are still not there.
+    assert run("r2").count() == 5 and len(seen("issues")) == 3
+
+
+def test_the_latest_entry_counts(spark, tmp_path):
+    rows = [("r", "o/a", "2024-01", status, 1, 0, None, datetime(2024, 1, day), f"r.{day}", None) for status, day in (("failed", 1), ("completed", 2))]
+    for row in rows:
+        backfill.append_ledger(spark.createDataFrame([row], backfill.STORED_LEDGER), str(tmp_path))
+    assert [(r["status"], r["origin"]) for r in backfill.read_ledger(spark, str(tmp_path)).collect()] == [("completed", "r.2")]

@@ -1,4 +1,5 @@
 import json
+import shutil
 from datetime import datetime
 
 import pytest
@@ -7,8 +8,8 @@ from pyspark.sql import functions as F
 from pulsemill.functions import field
 from pulsemill.plans import staging
 from pulsemill.plans.build import build_all
-from pulsemill.sources import read_latest_version, read_table
-from pulsemill.streaming import append_raw, latest_state
+from pulsemill.sources import read_table
+from pulsemill.streaming import append_raw, latest_state, read_raw, read_rejects
 
 
 def issue(i, created, closed=None, **more):
@@ -96,7 +97,7 @@ def test_stream_keeps_the_latest_state(spark, tmp_path):
 
     def run():
         latest_state(spark, str(landing), table, progress, stage, ["issue_id"], newest, files_per_batch=1).awaitTermination()
-        return {r["issue_id"]: r["title"] for r in read_latest_version(spark, table).collect()}
+        return {r["issue_id"]: r["title"] for r in read_table(spark, table).collect()}
 
     put(landing / "2024/01/01", "a.json", [issue(1, "2024-01-01T00:00:00Z"), issue(2, "2024-01-01T00:00:00Z")])
     put(landing / "2024/01/02", "a.json", [{**issue(1, "2024-01-02T00:00:00Z"), "title": "newer"}])
@@ -114,7 +115,37 @@ def test_stream_appends_each_document_once(spark, tmp_path):
     append_raw(spark, str(landing), table, progress).awaitTermination()
     put(landing / "2024/01/02", "a.json", [issue(2, "2024-01-01T00:00:00Z"), issue(3, "2024-01-01T00:00:00Z")])
     append_raw(spark, str(landing), table, progress).awaitTermination()
-    stored = read_table(spark, table)
+    stored = read_raw(spark, table)
+    assert [(r["source_file"].rsplit("/", 1)[1], r["reason"]) for r in read_rejects(spark, table).collect()] == [("broken.json", "truncated")]
     assert sorted(r[0] for r in stored.select(field(F.col("raw_data"), "$.id", "long")).collect()) == [1, 2, 3]
     assert stored.columns == ["raw_data", "loaded_at", "source_file", "tie_breaker"]
     assert stored.first()["loaded_at"] > datetime(2020, 1, 1)
+
+
+def test_batch_without_its_commit_is_not_there(spark, tmp_path):
+    landing, table, progress = tmp_path / "in", tmp_path / "raw", str(tmp_path / "progress")
+    put(landing / "2024/01/01", "a.json", [issue(1, "2024-01-01T00:00:00Z")])
+    append_raw(spark, str(landing), str(table), progress).awaitTermination()
+    # A lost batch has written its documents only.
+    for sink in ("documents", "rejects"):
+        shutil.copytree(table / sink / "batch=000000000000", table / sink / "batch=000000000001")
+    assert read_raw(spark, str(table)).count() == 1
+    put(landing / "2024/01/02", "a.json", [issue(2, "2024-01-01T00:00:00Z"), issue(3, "2024-01-01T00:00:00Z")])
+    append_raw(spark, str(landing), str(table), progress).awaitTermination()
+    assert read_raw(spark, str(table)).count() == 3
+
+
+def test_batch_rewrites_its_buckets_only(spark, tmp_path):
+    landing, table, progress = tmp_path / "in", tmp_path / "state", str(tmp_path / "progress")
+
+    def run():
+        latest_state(spark, str(landing), str(table), progress, stage, ["issue_id"], newest, buckets=16).awaitTermination()
+        return {f.parent.parent.name + "/" + f.parent.name for f in (table / "data").rglob("*.parquet")}
+
+    put(landing / "2024/01/01", "a.json", [issue(i, "2024-01-01T00:00:00Z") for i in range(300)])
+    first = run()
+    assert len(first) == 16
+    put(landing / "2024/01/02", "a.json", [{**issue(7, "2024-01-02T00:00:00Z"), "title": "newer"}])
+    assert len(run() - first) == 1
+    titles = {r["issue_id"]: r["title"] for r in read_table(spark, str(table)).collect()}
+    assert len(titles) == 300 and titles[7] == "newer" and titles[8] == "issue 8"

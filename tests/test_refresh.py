@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from pulsemill.operators import replace_where_matched, upsert
 from pulsemill.plans import incremental, marts, metrics
+from pulsemill.sources import files_of
 
 NOW = "2024-03-01 00:00:00"
 BASE = datetime(2024, 1, 1)
@@ -12,7 +13,7 @@ BASE = datetime(2024, 1, 1)
 ISSUE_SCHEMA = """issue_id long, issue_number long, title string, state string, repository string,
 created_at timestamp_ntz, updated_at timestamp_ntz, closed_at timestamp_ntz, comment_count long,
 author_username string, author_id long, assignee_username string, label_count long, milestone_title string,
-is_pull_request boolean, labels_json string, html_url string, loaded_at timestamp_ntz"""
+is_pull_request boolean, labels_json string, html_url string, loaded_at timestamp_ntz, source_file string"""
 
 
 def issue(i, day, repo="o/a", closed=None, updated=None):
@@ -20,7 +21,7 @@ def issue(i, day, repo="o/a", closed=None, updated=None):
     done = None if closed is None else BASE + timedelta(days=closed)
     seen = BASE + timedelta(days=updated) if updated is not None else (done or created)
     return (i, i, f"t{i}", "closed" if done else "open", repo, created, seen, done, 1, f"u{i % 2}", i % 2,
-            None, 0, None, False, None, None, seen)
+            None, 0, None, False, None, None, seen, f"{i}-{seen}")
 
 
 @pytest.fixture
@@ -34,12 +35,12 @@ def frames(spark):
 @pytest.fixture
 def repos(spark):
     schema = """repository_id long, repository_name string, full_name string, owner_username string,
-    stars_count long, forks_count long, open_issues_count long, loaded_at timestamp_ntz"""
-    return spark.createDataFrame([(1, "a", "o/a", "o", 1, 2, 3, BASE), (2, "b", "o/b", "o", 4, 5, 6, BASE)], schema)
+    stars_count long, forks_count long, open_issues_count long, loaded_at timestamp_ntz, source_file string"""
+    return spark.createDataFrame([(1, "a", "o/a", "o", 1, 2, 3, BASE, "r"), (2, "b", "o/b", "o", 4, 5, 6, BASE, "r")], schema)
 
 
 def rows(df):
-    return sorted(str(r) for r in df.drop("dbt_updated_at", incremental.SEEN).collect())
+    return sorted(str(r) for r in df.drop("dbt_updated_at").collect())
 
 
 def test_daily_counts(frames, repos):
@@ -54,21 +55,25 @@ def test_daily_counts(frames, repos):
 
 def test_late_changes_are_picked_up(frames, repos):
     before = [issue(1, 0), issue(2, 1), issue(3, 10), issue(4, 2, "o/new")]
-    target = incremental.refresh_daily(frames(before), repos, None, BASE + timedelta(days=20), full_refresh=True)
+    target = marts.repo_activity_daily(frames(before), repos, BASE + timedelta(days=20))
+    consumed = files_of({"issues": frames(before), "repositories": repos})
     after = [issue(1, 0, closed=25), issue(2, 1), issue(3, 10), issue(4, 2, "o/b", updated=26), issue(5, 30)]
     full = marts.repo_activity_daily(frames(after), repos, NOW)
-    refreshed = incremental.refresh_daily(frames(after), repos, target, NOW)
+    refreshed = incremental.refresh_daily(frames(after), repos, target, consumed, NOW)
     assert rows(refreshed) == rows(full)
     # The cheap mode sees the new day only.
-    appended = incremental.append_daily(frames(after), repos, target.drop(incremental.SEEN), NOW)
+    appended = incremental.append_daily(frames(after), repos, target, NOW)
     assert appended.count() == 5 and rows(appended) != rows(full)
 
 
 def test_refresh_is_idempotent(frames, repos):
     issues = frames([issue(1, 0), issue(2, 5, closed=6)])
-    empty = incremental.with_mark(marts.repo_activity_daily(issues, repos, NOW), None).limit(0)
-    once = incremental.refresh_daily(issues, repos, empty, NOW)
-    twice = incremental.refresh_daily(issues, repos, once, NOW)
+    empty = marts.repo_activity_daily(issues, repos, NOW).limit(0)
+    none = files_of({"issues": issues.limit(0)})
+    once = incremental.refresh_daily(issues, repos, empty, none, NOW)
+    twice = incremental.refresh_daily(issues, repos, once, none, NOW)
+    nothing_new = incremental.refresh_daily(issues, repos, once, files_of({"issues": issues, "repositories": repos}), NOW)
+    assert rows(nothing_new) == rows(once)
     assert rows(once) == rows(twice) == rows(marts.repo_activity_daily(issues, repos, NOW))
 
 
@@ -79,12 +84,12 @@ def test_empty_target_loads_everything(frames, repos):
 
 
 COMMENT_SCHEMA = """comment_id long, issue_number long, repository_full_name string, created_at timestamp_ntz,
-updated_at timestamp_ntz, author_username string, author_id long, body string, html_url string, loaded_at timestamp_ntz"""
+updated_at timestamp_ntz, author_username string, author_id long, body string, html_url string, loaded_at timestamp_ntz, source_file string"""
 
 
 def comment(i, number, day, repo="o/a"):
     at = BASE + timedelta(days=day)
-    return (i, number, repo, at, at, "u", 1, f"text {i}", None, at)
+    return (i, number, repo, at, at, "u", 1, f"text {i}", None, at, f"c{i}")
 
 
 def test_sequence_goes_on_over_refreshes(spark, frames, repos):
@@ -96,9 +101,10 @@ def test_sequence_goes_on_over_refreshes(spark, frames, repos):
     def frame(data):
         return spark.createDataFrame(data, COMMENT_SCHEMA)
 
-    target = incremental.refresh_comments(frame(first), lifecycle, issues, None, full_refresh=True)
+    target = marts.comment_fact(frame(first), lifecycle)
+    consumed = files_of({"comments": frame(first), "issues": issues})
     full = marts.comment_fact(frame(first + later), lifecycle)
-    refreshed = incremental.refresh_comments(frame(first + later), lifecycle, issues, target)
+    refreshed = incremental.refresh_comments(frame(first + later), lifecycle, issues, target, consumed)
     assert rows(refreshed) == rows(full)
     places = {r["comment_id"]: r["comment_sequence"] for r in refreshed.collect()}
     assert places == {10: 1, 11: 2, 15: 3, 17: 4, 12: 1, 16: 2}

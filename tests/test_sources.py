@@ -1,26 +1,34 @@
 import json
+from collections import Counter
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from pulsemill.sources import (
+    array_rejects,
+    consumed_files,
     dated_glob,
+    documents_from_text,
     enabled_repositories,
     enrich,
     extraction_settings,
-    malformed_files,
+    files_of,
+    line_rejects,
     merge_partitions,
+    not_consumed,
     publish_table,
-    publish_version,
     raw_documents,
     read_landing,
-    read_latest_version,
     read_raw_arrays,
     read_raw_dates,
     read_raw_lines,
     read_table,
+    rejected_files,
+    replace_partitions,
     row_documents,
+    stored,
+    tables,
     write_landing,
 )
 
@@ -54,8 +62,31 @@ def test_array_files(spark, landing):
 
 
 def test_malformed_files_are_named(spark, landing):
-    found = [r["source_file"] for r in malformed_files(spark, str(landing)).collect()]
-    assert len(found) == 1 and found[0].endswith("org_e_issues_2024-02-04.json")
+    found = [(r["source_file"], r["reason"]) for r in rejected_files(spark, str(landing)).collect()]
+    assert len(found) == 1 and found[0][0].endswith("org_e_issues_2024-02-04.json") and found[0][1] == "truncated"
+
+
+# Texts of files with the number of documents, or why there are none.
+TEXTS = {
+    '[{"a":1},{"a":2}]': 2, "[]": 0, " [ ] \n": 0, '[1,null,"s"]': 3, "": None, " \n\t": None,
+    '[{"a":1},{"a":2}': "truncated", '[{"a":1},{"a":': "truncated", '[{"a":"]': "unparsable",
+    '[{"a":1}] x': "trailing", '[{"a":1}],[{"a":2}]': "trailing", '[{"a":1}]]': "trailing", '[{"a":1}],[]': "trailing", '[1]} ,[]': "trailing",
+    '{"a":1}': "not_an_array", "5": "not_an_array", '"x"': "not_an_array", "no json": "unparsable", '[{"a":1},{"a":2},]': "unparsable", '{"a":': "unparsable",
+}
+
+
+def test_every_file_is_accounted_for_once(spark):
+    files = spark.createDataFrame([(t, "2024-01-01", f"f{i}") for i, t in enumerate(TEXTS)], "value string, loaded_at string, source_file string")
+    documents = Counter(r["source_file"] for r in documents_from_text(files).collect())
+    rejects = {r["source_file"]: r for r in array_rejects(files).collect()}
+    for i, (text, outcome) in enumerate(TEXTS.items()):
+        if isinstance(outcome, str):
+            assert rejects[f"f{i}"]["reason"] == outcome and documents[f"f{i}"] == 0, text
+            assert rejects[f"f{i}"]["n_chars"] == len(text) and rejects[f"f{i}"]["excerpt"] == text
+        else:
+            assert f"f{i}" not in rejects and documents[f"f{i}"] == (outcome or 0), text
+    lines = spark.createDataFrame([('{"a":1}', "t", "f"), ("{bad", "t", "f"), ("", "t", "f")], "value string, loaded_at string, source_file string")
+    assert [(r["reason"], r["excerpt"]) for r in line_rejects(lines).collect()] == [("unparsable", "{bad")]
 
 
 def test_dated_scan(spark, landing):
@@ -88,7 +119,7 @@ def test_landing_is_idempotent(spark, tmp_path):
     assert ids(read_landing(spark, root, "issues")) == [1, 3, 9]
     land([])
     assert ids(read_landing(spark, root, "issues", date(2024, 1, 2), date(2024, 1, 2))) == [3, 9]
-    row = read_landing(spark, root, "issues").where("path_repository = 'o_c'").first()
+    row = read_landing(spark, root, "issues").where("path_repository = 'o/c'").first()
     doc = json.loads(row["raw_data"].toJson())
     assert doc["source_repository"] == "o/c"
     assert doc["source_file"] == "issues/2024/01/02/o_c_issues_2024-01-02.json"
@@ -135,17 +166,97 @@ def test_config(spark, tmp_path):
     assert (settings["lookback_days"], settings["max_issues_per_repo"]) == (7, 500)
 
 
+def test_names_and_origins_stay_apart(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    names = ["a_b/c", "a/b_c", "a/b%2Fc", "ä b/ü+=c", "x/.."]
+
+    def land(ids_and_names, origin):
+        frame = spark.createDataFrame([(i, n, "2024-01-02") for i, n in ids_and_names], "id long, repo string, day string")
+        enriched = enrich(frame, "issues", F.col("repo"), F.col("day"), "2024-01-03 00:00:00")
+        write_landing(row_documents(enriched), root, "issues", origin)
+
+    land(list(enumerate(names)), "run-1")
+    land([(100, "a_b/c")], "extract")
+    land([(101, "a_b/c")], "extract")
+    got = read_landing(spark, root, "issues")
+    assert sorted((r["path_origin"], r["path_repository"]) for r in got.collect()) == sorted([("extract", "a_b/c"), *(("run-1", n) for n in names)])
+    assert ids(got) == [0, 1, 2, 3, 4, 101]
+    assert ids(read_landing(spark, root, "issues", origin="extract")) == [101]
+
+
+def data_files(folder):
+    return sorted(str(f) for f in folder.rglob("*.parquet") if "log" not in f.parts)
+
+
 def test_merge_rewrites_only_touched_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = [(i, i % 5, "old") for i in range(50)]
     publish_table(spark.createDataFrame(rows, "id long, p long, v string"), path, ["p"])
-    untouched = sorted(str(f) for f in (tmp_path / "t" / "p=3").glob("*.parquet"))
+    first = set(data_files(tmp_path / "t"))
     delta = spark.createDataFrame([(5, 0, "new"), (100, 0, "new")], "id long, p long, v string")
     for _ in range(2):
         merge_partitions(spark, path, delta, ["id"], "p")
         table = read_table(spark, path)
         assert table.count() == 51 and table.where("v = 'new'").count() == 2
-    assert sorted(str(f) for f in (tmp_path / "t" / "p=3").glob("*.parquet")) == untouched
+    # Nothing that was written is changed, and only the touched partition is written again.
+    now = set(data_files(tmp_path / "t"))
+    assert first < now and all("/p=0/" in f for f in now - first)
+
+
+def test_new_columns_and_other_types(spark, tmp_path):
+    path = str(tmp_path / "t")
+    publish_table(spark.createDataFrame([(1, 0), (2, 1)], "id long, p long"), path, ["p"])
+    merge_partitions(spark, path, spark.createDataFrame([(2, 1, "x"), (3, 1, "y")], "id long, p long, v string"), ["id"], "p")
+    assert sorted(map(tuple, read_table(spark, path).select("id", "p", "v").collect())) == [(1, 0, None), (2, 1, "x"), (3, 1, "y")]
+    with pytest.raises(ValueError, match="column v is string"):
+        merge_partitions(spark, path, spark.createDataFrame([(2, 1, 5)], "id long, p long, v long"), ["id"], "p")
+    replace_partitions(spark.createDataFrame([], "id long, p long"), path, "p", [1])
+    assert [tuple(r) for r in read_table(spark, path).collect()] == [(1, 0, None)]
+    replace_partitions(spark.createDataFrame([], "id long, p long"), path, "p", [0])
+    assert read_table(spark, path).collect() == [] and read_table(spark, path).columns == ["id", "p", "v"]
+
+
+def test_a_lost_write_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    assert stored(spark, path) is None
+    for partition in (None, ["p"]):
+        publish_table(spark.range(3).withColumn("p", F.lit(1)), path, partition)
+        reader = read_table(spark, path)
+        with monkeypatch.context() as lost:
+            lost.setattr(tables, "commit", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+            with pytest.raises(RuntimeError):
+                publish_table(spark.range(9).withColumn("p", F.lit(2)), path, partition)
+        assert read_table(spark, path).count() == 3
+        # The next write takes the number of the lost one; who read before goes on reading.
+        publish_table(spark.range(5).withColumn("p", F.lit(2)), path, partition)
+        assert read_table(spark, path).count() == 5 and reader.count() == 3
+
+
+def test_consumed_files_are_committed_with_the_rows(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+
+    def rows(*files):
+        frame = spark.createDataFrame([(i, 0, f, at) for i, (f, at) in enumerate(files)], "id long, p long, source_file string, at string")
+        return frame.withColumn("loaded_at", F.col("at").cast("timestamp")).drop("at")
+
+    one, same_time, older, rewritten = ("a", "2024-01-02"), ("b", "2024-01-02"), ("c", "2024-01-01"), ("a", "2024-01-03")
+    assert consumed_files(spark, path).count() == 0
+    publish_table(rows(one), path, ["p"], files_of({"issues": rows(one)}))
+    every = rows(one, same_time, older, rewritten, (None, "2024-01-02"))
+
+    def fresh(source="issues"):
+        return sorted(str(r["source_file"]) for r in not_consumed(every, consumed_files(spark, path), source).collect())
+
+    assert fresh() == ["None", "a", "b", "c"] and len(fresh("comments")) == 5
+    with monkeypatch.context() as lost:
+        lost.setattr(tables, "commit", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            replace_partitions(every, path, "p", [0], files_of({"issues": every}))
+    assert fresh() == ["None", "a", "b", "c"]
+    replace_partitions(every, path, "p", [0], files_of({"issues": every}))
+    assert fresh() == []
+    publish_table(rows(one), path, ["p"], files_of({"issues": rows(one)}))
+    assert fresh() == ["None", "a", "b", "c"]
 
 
 def test_merge_handles_the_null_partition(spark, tmp_path):
@@ -159,14 +270,3 @@ def test_merge_handles_the_null_partition(spark, tmp_path):
         (2, "old", 1),
         (3, "new", None),
     ]
-
-
-def test_versions(spark, tmp_path):
-    root = str(tmp_path / "v")
-    assert read_latest_version(spark, root) is None
-    publish_version(spark.range(3), root, 0)
-    publish_version(spark.range(4), root, 1)
-    assert read_latest_version(spark, root).count() == 4
-    assert read_latest_version(spark, root, before=1).count() == 3
-    (tmp_path / "v" / "version=000000000002").mkdir()
-    assert read_latest_version(spark, root).count() == 4
