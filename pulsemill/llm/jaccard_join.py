@@ -9,11 +9,13 @@ Rarity comes from counts of all n-grams in a table of fixed size, indexed by the
 Any global order gives right results, so n-grams that share a cell only make prefixes a
 little less selective. N-grams and classes are known by 64-bit hashes.
 
-Classes that share an n-gram are compared with one of them first, a few times with
-another one, and joined to components; then all pairs that are not in one component yet
-are compared. So a large
-group of near copies costs about one comparison for each, not one for each pair, and no
-link between components is lost.
+N-grams of prefixes are sent once, to partitions by n-gram, and sorted there: those of one
+class alone end there, and those that a few classes share give their pairs on the spot.
+Only groups of many classes are kept. There classes are compared with one of them first, a few
+times with another one, and joined to components; then all pairs that are not in one
+component yet are compared. So a large group of near copies costs about one comparison
+for each, not one for each pair, and no link between components is lost. For the
+verification texts travel compressed, as they are much smaller than their sets.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ CHUNKS = 64
 SIGNATURES = ("s0", "s1", "s2", "s3")
 #: Times that groups are compared with one member before all the rest is compared.
 STAR_ROUNDS = 3
+#: Classes that share an n-gram and are paired where the n-gram is read; groups of more go through the rounds.
+FEW = 8
 KEY_SALT = np.uint64(0xD1B54A32D192ED03)
 
 
@@ -180,9 +184,89 @@ def may_link(like: Likeness) -> Column:
     """
     length = F.expr(f"{like.share_of} * least(n_a, n_b) >= {like.share} * greatest(n_a, n_b)")
     rest = F.expr("least(n_a - place_a, n_b - place_b)")
+    return length & (rest >= needed(like, "n_a", "n_b")) & odd_parts(like)
+
+
+HEAD = ("gram", "key", "n_grams", "place")
+
+
+def paired(rows: dict[str, np.ndarray], like: Likeness) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (a < b) of rows with the same n-gram that pass the length and the positional
+    filter. Rows are sorted by n-gram, at most ``FEW`` of each."""
+    firsts, seconds = [], []
+    for k in range(1, FEW):
+        i = np.flatnonzero(rows["gram"][:-k] == rows["gram"][k:])
+        if not len(i):
+            break
+        j = i + k
+        n_a, n_b = rows["n_grams"][i], rows["n_grams"][j]
+        least = ((n_a + n_b) * like.share + like.share + like.share_of - 1) // (like.share + like.share_of)
+        rest = np.minimum(n_a - rows["place"][i], n_b - rows["place"][j])
+        a, b = rows["key"][i], rows["key"][j]
+        ok = (like.share_of * np.minimum(n_a, n_b) >= like.share * np.maximum(n_a, n_b)) & (rest >= least) & (a != b)
+        firsts.append(np.minimum(a, b)[ok])
+        seconds.append(np.maximum(a, b)[ok])
+    nothing = np.zeros(0, np.int64)
+    return np.concatenate([nothing, *firsts]), np.concatenate([nothing, *seconds])
+
+
+def grouped(heads: DataFrame, like: Likeness) -> DataFrame:
+    """Prefix rows by n-gram: (a, b) for pairs of small groups, (gram, key, n_grams, place) for rows of large ones.
+
+    Rows come sorted by n-gram; a task holds one batch and the group that is open at its
+    end, of which it keeps no more than ``FEW`` rows: a larger group is passed on as it is read.
+    """
+    names = ["a", "b", *HEAD]
+
+    def out(pairs: tuple[np.ndarray, np.ndarray], large: dict[str, np.ndarray]) -> pa.RecordBatch:
+        m, n = len(pairs[0]), len(large["gram"])
+        left = [pa.concat_arrays([pa.array(p), pa.nulls(n, pa.int64())]) for p in pairs]
+        right = [pa.concat_arrays([pa.nulls(m, pa.int64()), pa.array(large[c])]) for c in HEAD]
+        return pa.RecordBatch.from_arrays([*left, *right], names=names)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = {c: np.zeros(0, np.int64) for c in HEAD}
+        large_gram = None
+        for batch in batches:
+            rows = {c: np.concatenate([held[c], batch.column(i).to_numpy()]) for i, c in enumerate(HEAD)}
+            if not len(rows["gram"]):
+                continue
+            # Equal sets may have been read by several tasks: one row of each class for an n-gram.
+            again = np.zeros(len(rows["gram"]), bool)
+            again[1:] = (rows["gram"][1:] == rows["gram"][:-1]) & (rows["key"][1:] == rows["key"][:-1])
+            rows = {c: v[~again] for c, v in rows.items()}
+            starts = np.flatnonzero(np.concatenate([[True], rows["gram"][1:] != rows["gram"][:-1]]))
+            sizes = np.diff(np.append(starts, len(rows["gram"])))
+            is_large = sizes > FEW
+            if large_gram is not None and rows["gram"][0] == large_gram:
+                is_large[0] = True
+            last_open = not is_large[-1]
+            large_gram = None if last_open else rows["gram"][-1]
+            cut = int(starts[-1]) if last_open else len(rows["gram"])
+            mask = np.repeat(is_large, sizes)
+            held = {c: v[cut:] for c, v in rows.items()}
+            done = {c: v[:cut] for c, v in rows.items()}
+            mask = mask[:cut]
+            yield out(paired({c: v[~mask] for c, v in done.items()}, like), {c: v[mask] for c, v in done.items()})
+        yield out(paired(held, like), {c: np.zeros(0, np.int64) for c in HEAD})
+
+    sorted_rows = heads.repartition("gram").sortWithinPartitions("gram", "key").select(*HEAD)
+    return sorted_rows.mapInArrow(work, ", ".join(f"{c} bigint" for c in names))
+
+
+def odd_parts(like: Likeness) -> Column:
+    """The suffix filter on the signatures of both sides, see ``may_link``."""
     differ = F.expr(" + ".join(f"bit_count({s}_a ^ {s}_b)" for s in SIGNATURES))
-    least = needed(like, "n_a", "n_b")
-    return length & (rest >= least) & (F.expr("n_a + n_b") - differ >= 2 * least)
+    return F.expr("n_a + n_b") - differ >= 2 * needed(like, "n_a", "n_b")
+
+
+def suffix_filtered(pairs: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
+    """The pairs (a, b) whose signatures let them link."""
+
+    def of(name: str) -> DataFrame:
+        return classes.select(F.col("key").alias(name), F.col("n_grams").alias(f"n_{name}"), *[F.col(s).alias(f"{s}_{name}") for s in SIGNATURES])
+
+    return pairs.join(of("a"), "a").join(of("b"), "b").where(odd_parts(like)).select("a", "b")
 
 
 def side(rows: DataFrame, name: str) -> DataFrame:
@@ -210,43 +294,65 @@ def crossings(parted: DataFrame, like: Likeness) -> DataFrame:
     return side(still, "a").join(side(still, "b"), "gram").where("a < b AND part_a <> part_b").where(may_link(like)).select("a", "b").distinct()
 
 
-class Sets:
-    """Whole sets of the classes that were compared so far, each made from one text of its class."""
+class Texts:
+    """Compressed texts, one for each class that was compared so far."""
 
     def __init__(self, docs: DataFrame, classes: DataFrame, like: Likeness):
         self.docs, self.classes, self.like = docs, classes, like
-        self.made: DataFrame | None = None
+        self.held: DataFrame | None = None
 
-    def add(self, pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "key")
-        if self.made is not None:
-            wanted = wanted.join(self.made.select("key"), "key", "left_anti")
+    def add(self, keys: DataFrame) -> DataFrame:
+        """All texts held, those of ``keys`` (distinct) among them."""
+        wanted = keys if self.held is None else keys.join(self.held.select("key"), "key", "left_anti")
         ids = cut_lineage(wanted.join(self.classes.select("key", "label"), "key").select(F.col("label").alias("id")))
         n = self.like.n
 
-        def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             powers = Powers()
             for batch in batches:
-                found = list(ngram_sets(batch.column(0).to_pylist(), n, powers))
-                if not found:
-                    continue
-                bounds = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
-                grams = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(found).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array([class_key(f) for f in found], pa.int64()), grams], names=["key", "grams"])
+                texts = batch.column(0).to_pylist()
+                keys = [class_key(grams) for grams in ngram_sets(texts, n, powers)]
+                bodies = [zlib.compress((t or "").encode("utf-8", "surrogatepass")) for t in texts]
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(bodies, pa.binary())], names=["key", "body"])
 
-        new = cut_lineage(self.docs.join(ids, "id", "left_semi").select("text").mapInArrow(sets, "key bigint, grams array<bigint>"))
-        self.made = new if self.made is None else self.made.union(new)
-        return self.made
+        new = cut_lineage(self.docs.join(ids, "id", "left_semi").select("text").mapInArrow(packed, "key bigint, body binary"))
+        self.held = new if self.held is None else self.held.union(new)
+        return self.held
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that link, by their whole sets."""
-        made = self.add(pairs)
-        met = pairs.join(made.select(F.col("key").alias("a"), F.col("grams").alias("of_a")), "a").join(
-            made.select(F.col("key").alias("b"), F.col("grams").alias("of_b")), "b"
+        keys = cut_lineage(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "key"))
+        held = self.add(keys).join(keys, "key", "left_semi")
+        met = pairs.join(held.select(F.col("key").alias("a"), F.col("body").alias("of_a")), "a").join(
+            held.select(F.col("key").alias("b"), F.col("body").alias("of_b")), "b"
         )
-        sized = met.select("a", "b", F.size("of_a").alias("n_a"), F.size("of_b").alias("n_b"), F.size(F.array_intersect("of_a", "of_b")).alias("common"))
+        like = self.like
+
+        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            powers = Powers()
+            # Pairs with the same text often follow one another.
+            made: dict[int, np.ndarray] = {}
+
+            def grams(key: int, body: pa.BinaryScalar) -> np.ndarray:
+                if key not in made:
+                    if len(made) >= 64:
+                        made.clear()
+                    text = zlib.decompress(body.as_py()).decode("utf-8", "surrogatepass")
+                    made[key] = next(ngram_sets([text], like.n, powers))
+                return made[key]
+
+            for batch in batches:
+                a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+                linked = []
+                for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+                    one, other = grams(x, batch.column(2)[i]), grams(y, batch.column(3)[i])
+                    common = len(np.intersect1d(one, other, assume_unique=True))
+                    linked.append(like.share_of * common >= like.share * (len(one) + len(other) - common))
+                mask = np.array(linked, bool)
+                yield pa.RecordBatch.from_arrays([pa.array(a[mask]), pa.array(b[mask])], names=["a", "b"])
+
         # A text with a repeated id may have been read for another one: hence distinct.
-        return cut_lineage(sized.where(F.col("common") >= needed(self.like, "n_a", "n_b")).select("a", "b").distinct())
+        return cut_lineage(met.select("a", "b", "of_a", "of_b").mapInArrow(compare, "a bigint, b bigint").distinct())
 
 
 def similar_texts(docs: DataFrame, like: Likeness = Likeness(), *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -269,21 +375,23 @@ def similar_texts(docs: DataFrame, like: Likeness = Likeness(), *, doc_id: str =
         .agg(F.min("id").alias("label"), F.first("n_grams").alias("n_grams"), *[F.first(s).alias(s) for s in SIGNATURES])
         .where("label IS NOT NULL")
     )
-    heads = cut_lineage(prefixes(rows, like, counts))
-    met = heads.groupBy("gram").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high").select("gram")
-    described_classes = classes.select("key", *SIGNATURES)
-    shared = cut_lineage(heads.join(met, "gram").distinct().join(described_classes, "key"))
-    labels, sets = classes.select("key", "label"), Sets(rows, classes, like)
+    met = cut_lineage(grouped(prefixes(rows, like, counts), like))
+    near = met.where("a IS NOT NULL").select("a", "b").distinct()
+    shared = cut_lineage(met.where("gram IS NOT NULL").select(*HEAD).distinct().join(classes.select("key", *SIGNATURES), "key"))
+    labels, texts_held = classes.select("key", "label"), Texts(rows, classes, like)
     links, parted, found = None, shared.withColumn("part", F.col("key")), None
     for number in range(STAR_ROUNDS + 1):
         # The last time around, everything that is still apart is compared.
         last = number == STAR_ROUNDS
-        pairs = cut_lineage(crossings(parted, like) if last else stars(parted, like, number))
+        pairs = crossings(parted, like) if last else stars(parted, like, number)
+        if number == 0:
+            pairs = pairs.union(suffix_filtered(near, classes, like)).distinct()
+        pairs = cut_lineage(pairs)
         if not pairs.limit(1).count():
             if last:
                 break
             continue
-        new = sets.verified(pairs)
+        new = texts_held.verified(pairs)
         links = new if links is None else links.union(new)
         found = components(labels, links)
         first = found.join(labels.select("label", F.col("key").alias("part")), "label").select("key", "part")
