@@ -187,10 +187,12 @@ def until(t: Tables, end: str) -> DataFrame:
     SELECT 'repositories', run_id, 'org/' || lower(r_name), CAST(TIMESTAMP '{AS_OF}' AS DATE), 1, NULL
     FROM region, (VALUES ('run-1'), ('run-2')) runs(run_id)
     UNION ALL
-    SELECT 'ledger ' || status, run_id, repository, load_date, issues, comments
-    FROM (SELECT 'completed' AS status, run_id, repository, CAST(date_trunc('month', created_at) + INTERVAL 1 MONTH AS DATE) AS load_date,
-                 count(DISTINCT issue_id) AS issues, count(l_orderkey) AS comments
-          FROM loaded LEFT JOIN lineitem ON l_orderkey = issue_id GROUP BY ALL)
+    SELECT 'ledger completed', CASE WHEN start < TIMESTAMP '{MIDDLE}' THEN 'run-1' ELSE 'run-2' END, 'org/' || lower(r_name),
+           CAST(start + INTERVAL 1 MONTH AS DATE), count(DISTINCT issue_id), count(l_orderkey)
+    FROM region CROSS JOIN (SELECT unnest(generate_series(TIMESTAMP '{START}', TIMESTAMP '{END}' - INTERVAL 1 MONTH, INTERVAL 1 MONTH)) AS start) months
+    LEFT JOIN loaded ON repository = 'org/' || lower(r_name) AND date_trunc('month', created_at) = start
+    LEFT JOIN lineitem ON l_orderkey = issue_id
+    GROUP BY start, r_name
     """,
 )
 def backfill_load(t: Tables):
