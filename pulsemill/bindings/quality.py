@@ -188,10 +188,26 @@ ALL_SQL = f"""
 
 @bind("dq_summary", ALL_SQL)
 def dq_summary(t: Tables):
-    checks = [
-        dq_unique, dq_not_null, dq_accepted_values, dq_relationships, dq_recency, dq_freshness, dq_null_percentage
-    ]
-    return quality.summary(quality.combine([check(t) for check in checks]))
+    """All checks; every table is scanned once for its own ones."""
+    return quality.summary(all_checks(t))
+
+
+def all_checks(t: Tables):
+    authors = [f"author-{i}" for i in range(1, 6)]
+    accepted = {"state": quality.ISSUE_STATES, "author_username": authors}
+    events = [quality.Load(column, now) for table, column, now in LOADS if table == "events"]
+    issues = quality.table_checks(
+        roles.issues(t), "issues", None, ["issue_id", "closed_at", "milestone_title"], accepted, required=REQUIRED
+    )
+    return quality.combine(
+        [
+            quality.table_checks(t.orders, "orders", "o_orderkey", loads=[quality.Load("o_orderdate", AS_OF)]),
+            quality.table_checks(t.lineitem, "lineitem", "l_orderkey"),
+            issues,
+            quality.table_checks(t.events, "events", loads=events),
+            dq_relationships(t),
+        ]
+    )
 
 
 @bind(
@@ -226,9 +242,8 @@ def dq_mart_checks(t: Tables):
     fact = lifecycle(t)
     return quality.combine(
         [
-            quality.unique(fact, "fct_issue_lifecycle", "issue_id"),
-            quality.column_checks(
-                fact, "fct_issue_lifecycle", ["repository_id"], {"state": quality.ISSUE_STATES}
+            quality.table_checks(
+                fact, "fct_issue_lifecycle", "issue_id", ["repository_id"], {"state": quality.ISSUE_STATES}
             ),
             quality.relationships(t.lineitem, "lineitem", "l_orderkey", accepted_lifecycle(t), "issue_id"),
         ]

@@ -108,11 +108,7 @@ def build_all(
 
     staged = cut_lineage(quality.staging_checks(issue_rows, repo_rows, comments))
     quality.require_passed(staged)
-    loads = [
-        check(df, f"raw_{name}", "loaded_at", as_of)
-        for name, df in raw.items()
-        for check in (quality.recency, quality.freshness)
-    ]
+    loads = [quality.table_checks(df, f"raw_{name}", loads=[quality.Load("loaded_at", as_of)]) for name, df in raw.items()]
 
     marts_root = f"{root}/marts"
     dates = publish_table(marts.dim_date(marts.calendar_bounds(spark, as_of), as_of), f"{marts_root}/dim_date")

@@ -6,6 +6,7 @@ figure compared with a limit), ``status`` (pass, warn or error).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -85,18 +86,35 @@ def relationships(
     )
 
 
+def hours_since(newest: Column, as_of: AsOf) -> Column:
+    micros = F.unix_micros(as_of_timestamp(as_of).cast("timestamp")) - F.unix_micros(newest.cast("timestamp"))
+    return micros / F.lit(3_600_000_000)
+
+
 def age_in_hours(df: DataFrame, column: str, as_of: AsOf) -> DataFrame:
     """Hours since the newest value; NULL for an empty table."""
-    micros = F.unix_micros(as_of_timestamp(as_of).cast("timestamp")) - F.unix_micros(
-        F.max(column).cast("timestamp")
+    return df.agg(hours_since(F.max(column), as_of).alias("_age"))
+
+
+def recency_result(model: str, column: str, age: Column, hours: int = FRESH_ERROR_HOURS) -> list[Column]:
+    return result("recency", model, column, F.coalesce(age > hours, F.lit(True)).cast("int"), age)
+
+
+def freshness_result(
+    model: str, column: str, age: Column, warn_hours: int = FRESH_WARN_HOURS, error_hours: int = FRESH_ERROR_HOURS
+) -> list[Column]:
+    status = (
+        F.when(age.isNull() | (age > error_hours), "error").when(age > warn_hours, "warn").otherwise("pass")
     )
-    return df.agg((micros / F.lit(3_600_000_000)).alias("_age"))
+    return result("freshness", model, column, (status != "pass").cast("int"), age, status)
+
+
+AGE_RESULTS = {"recency": recency_result, "freshness": freshness_result}
 
 
 def recency(df: DataFrame, model: str, column: str, as_of: AsOf, hours: int = FRESH_ERROR_HOURS) -> DataFrame:
     """Fails if nothing was loaded in the last ``hours``, or ever."""
-    stale = F.coalesce(F.col("_age") > hours, F.lit(True)).cast("int")
-    return age_in_hours(df, column, as_of).select(*result("recency", model, column, stale, F.col("_age")))
+    return age_in_hours(df, column, as_of).select(*recency_result(model, column, F.col("_age"), hours))
 
 
 def freshness(
@@ -108,15 +126,19 @@ def freshness(
     error_hours: int = FRESH_ERROR_HOURS,
 ) -> DataFrame:
     """Two-level age check: warn, then error."""
-    age = F.col("_age")
-    status = (
-        F.when(age.isNull() | (age > error_hours), "error").when(age > warn_hours, "warn").otherwise("pass")
-    )
     return age_in_hours(df, column, as_of).select(
-        *result("freshness", model, column, (status != "pass").cast("int"), age, status)
+        *freshness_result(model, column, F.col("_age"), warn_hours, error_hours)
     )
 
 
+def missing_result(
+    model: str, required: list[str], missing: Column, values: Column, limit: float = MAX_NULL_PERCENTAGE, strict: bool = False
+) -> list[Column]:
+    share = F.when(values > 0, missing * 100.0 / values).otherwise(0.0)
+    status = F.when(share > limit, "error" if strict else "warn").otherwise("pass")
+    return result("null_percentage", model, ",".join(required), missing, share, status)
+
+
 def null_percentage(
     df: DataFrame,
     model: str,
@@ -130,11 +152,7 @@ def null_percentage(
         F.coalesce(F.sum(missing), F.lit(0)).cast("bigint").alias("_missing"),
         (F.count(F.lit(1)) * len(required)).alias("_values"),
     )
-    share = F.when(F.col("_values") > 0, F.col("_missing") * 100.0 / F.col("_values")).otherwise(0.0)
-    status = F.when(share > limit, "error" if strict else "warn").otherwise("pass")
-    return totals.select(
-        *result("null_percentage", model, ",".join(required), F.col("_missing"), share, status)
-    )
+    return totals.select(*missing_result(model, required, F.col("_missing"), F.col("_values"), limit, strict))
 
 
 def required_of_documents(raw: DataFrame, required: list[str]) -> DataFrame:
@@ -175,6 +193,69 @@ def thin_months(
     )
 
 
+@dataclass(frozen=True)
+class Load:
+    """When the newest row of a table was loaded, judged at ``as_of``."""
+
+    column: str
+    as_of: AsOf
+    checks: tuple[str, ...] = ("recency", "freshness")
+
+
+def table_checks(
+    df: DataFrame,
+    model: str,
+    key: str | None = None,
+    not_null: list[str] | None = None,
+    accepted: dict[str, list] | None = None,
+    loads: list[Load] | None = None,
+    required: list[str] | None = None,
+) -> DataFrame:
+    """Uniqueness of ``key``, not-null, accepted values, age of the newest load and share of
+    missing ``required`` values, all from one scan of the table.
+
+    Rows are summed by key, combined before the exchange, and the sums once more: a key that comes
+    twice is a group of two rows, and the other figures are sums over the groups. Without a key there is no
+    exchange of rows at all. The rows are those of the single checks.
+    """
+    counts: dict[str, Column] = {}
+    rows: list[Column] = []
+
+    def counted(name: str, condition: Column) -> Column:
+        counts[name] = F.count_if(condition)
+        return F.coalesce(F.col(name), F.lit(0))
+
+    if key is not None:
+        rows.append(F.struct(*result("unique", model, key, F.col("_repeated"))))
+    for column in not_null or []:
+        rows.append(F.struct(*result("not_null", model, column, counted(f"_null_{column}", F.col(column).isNull()))))
+    for column, values in (accepted or {}).items():
+        rows.append(F.struct(*result("accepted_values", model, column, counted(f"_other_{column}", ~F.col(column).isin(values)))))
+    if required:
+        missing = reduce(lambda a, b: a + b, [counted(f"_null_{c}", F.col(c).isNull()) for c in required])
+        rows.append(F.struct(*missing_result(model, required, missing, F.col("_rows") * len(required))))
+    newest = {f"_newest_{load.column}": F.max(load.column) for load in loads or []}
+    for load in loads or []:
+        age = hours_since(F.col(f"_newest_{load.column}"), load.as_of)
+        for check in load.checks:
+            rows.append(F.struct(*AGE_RESULTS[check](model, load.column, age)))
+
+    sums = [value.alias(name) for name, value in counts.items()] + [value.alias(name) for name, value in newest.items()]
+    size = F.count(F.lit(1))
+    if key is None:
+        totals = df.agg(size.alias("_rows"), *sums)
+    else:
+        by_key = df.groupBy(F.col(key).alias("_key")).agg(size.alias("_rows"), *sums)
+        repeated = F.count_if(F.col("_key").isNotNull() & (F.col("_rows") > 1))
+        totals = by_key.agg(
+            repeated.alias("_repeated"),
+            F.coalesce(F.sum("_rows"), F.lit(0)).alias("_rows"),
+            *[F.sum(name).alias(name) for name in counts],
+            *[F.max(name).alias(name) for name in newest],
+        )
+    return totals.select(F.inline(F.array(*rows)))
+
+
 def combine(results: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, results)
 
@@ -194,15 +275,12 @@ def require_passed(results: DataFrame) -> None:
 
 
 def staging_checks(issues: DataFrame, repositories: DataFrame, comments: DataFrame) -> DataFrame:
-    """The checks declared for the staging models."""
+    """The checks declared for the staging models; each is scanned once."""
     return combine(
         [
-            unique(issues, "stg_issues", "issue_id"),
-            column_checks(issues, "stg_issues", ["issue_id", "created_at"], {"state": ISSUE_STATES}),
-            unique(repositories, "stg_repositories", "repository_id"),
-            column_checks(repositories, "stg_repositories", ["repository_id", "repository_name"]),
-            unique(comments, "stg_comments", "comment_id"),
-            column_checks(comments, "stg_comments", ["comment_id"]),
+            table_checks(issues, "stg_issues", "issue_id", ["issue_id", "created_at"], {"state": ISSUE_STATES}),
+            table_checks(repositories, "stg_repositories", "repository_id", ["repository_id", "repository_name"]),
+            table_checks(comments, "stg_comments", "comment_id", ["comment_id"]),
         ]
     )
 
@@ -210,24 +288,24 @@ def staging_checks(issues: DataFrame, repositories: DataFrame, comments: DataFra
 def mart_checks(
     repositories: DataFrame, lifecycle: DataFrame, comments: DataFrame, dates: DataFrame
 ) -> DataFrame:
-    """The checks declared for the marts."""
+    """The checks declared for the marts; each is scanned once, and two of them for the reference between them."""
     return combine(
         [
-            unique(repositories, "dim_repository", "repository_id"),
-            column_checks(repositories, "dim_repository", ["repository_id"]),
-            unique(lifecycle, "fct_issue_lifecycle", "issue_key"),
-            column_checks(
+            table_checks(repositories, "dim_repository", "repository_id", ["repository_id"]),
+            table_checks(
                 lifecycle,
                 "fct_issue_lifecycle",
+                "issue_key",
                 ["issue_key", "issue_id", "created_date", "duration_days"],
                 {"status_label": STATUS_LABELS},
             ),
-            unique(comments, "fct_issue_comments", "comment_key"),
-            column_checks(
-                comments, "fct_issue_comments", ["comment_key", "comment_id", "issue_id", "comment_date_key"]
+            table_checks(
+                comments,
+                "fct_issue_comments",
+                "comment_key",
+                ["comment_key", "comment_id", "issue_id", "comment_date_key"],
             ),
             relationships(comments, "fct_issue_comments", "issue_id", lifecycle, "issue_id"),
-            unique(dates, "dim_date", "date_key"),
-            column_checks(dates, "dim_date", ["date_key"]),
+            table_checks(dates, "dim_date", "date_key", ["date_key"]),
         ]
     )

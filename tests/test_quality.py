@@ -117,3 +117,37 @@ def test_audit_counts_days(spark):
     df = spark.sql("select explode(array(timestamp'2024-01-01 01:00:00', timestamp'2024-01-01 02:00:00', null)) as loaded_at")
     row = first(audit.load_audit({"A": df}))
     assert (row["total_records"], row["distinct_days"]) == (3, 1)
+
+
+def test_one_scan_gives_what_the_single_checks_give(spark, tmp_path):
+    rows = [(1, "open", "2024-01-02"), (1, "odd", None), (2, None, "2024-01-01"), (None, "closed", None), (None, "x", "2024-01-03")]
+    path = str(tmp_path / "t")
+    spark.createDataFrame(rows, "k long, s string, at string").withColumn("at", F.col("at").cast("timestamp_ntz")).write.parquet(path)
+    for df in (spark.read.parquet(path), spark.read.parquet(path).where("k > 99")):
+        single = quality.combine(
+            [
+                quality.unique(df, "m", "k"),
+                quality.column_checks(df, "m", ["k", "s"], {"s": quality.ISSUE_STATES}),
+                quality.recency(df, "m", "at", "2024-01-04 06:00:00"),
+                quality.freshness(df, "m", "at", "2024-01-04 06:00:00"),
+                quality.null_percentage(df, "m", ["k", "at"]),
+            ]
+        )
+        loads = [quality.Load("at", "2024-01-04 06:00:00")]
+        for key in ("k", None):
+            at_once = quality.table_checks(df, "m", key, ["k", "s"], {"s": quality.ISSUE_STATES}, loads, ["k", "at"])
+            wanted = single if key else single.where("check_name <> 'unique'")
+            assert sorted(map(str, at_once.collect())) == sorted(map(str, wanted.collect()))
+            plan = at_once._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.count("Relation [") == 1
+
+
+def test_all_checks_scan_each_table_once(spark):
+    from pulsemill.bindings import quality as bound
+    from pulsemill.bindings.roles import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    plan = bound.all_checks(t)._jdf.queryExecution().optimizedPlan().toString()
+    # Orders and line items: their own checks, once as issues, and in the two references.
+    assert plan.count("Relation [event_id") == 1
+    assert plan.count("Relation [l_orderkey") + plan.count("Relation [o_orderkey") <= 9
