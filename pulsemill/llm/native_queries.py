@@ -84,19 +84,19 @@ FROM judged CROSS JOIN weight LEFT JOIN hosts USING (host)"""
 
 
 def op4_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Preference rows of the pairs of its SQL: conversations that share their first turn, and
-    those with two replies or more against themselves with a stale last reply."""
+    """Preference rows of conversations that share their first turn, and of every conversation
+    with a reply against itself with another last reply: the one before it, or, where there
+    is one only, that of another conversation."""
     turns = read(spark, sf_dir, "conversations")
     met = preferences.turns_of_pairs(turns, preferences.pairs_by_opening(turns))
-    stale = preferences.stale_replies(turns)
-    return preferences.preference_turns(met[0].unionByName(stale[0]), met[1].unionByName(stale[1]))
+    stale, borrowed = preferences.stale_replies(turns), preferences.borrowed_replies(turns)
+    chosen, rejected = (met[i].unionByName(stale[i]).unionByName(borrowed[i]) for i in (0, 1))
+    return preferences.preference_turns(chosen, rejected)
 
 
 def op4_preferences_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of ``op4_preferences`` and those of conversations with one reply, which are
-    paired with themselves with another one's reply."""
-    borrowed = preferences.borrowed_replies(read(spark, sf_dir, "conversations"))
-    return op4_preferences(spark, sf_dir).unionByName(preferences.preference_turns(*borrowed))
+    """The rows of ``op4_preferences``, which used to leave out conversations with one reply."""
+    return op4_preferences(spark, sf_dir)
 
 
 OP4_SQL = """
@@ -110,7 +110,15 @@ pairs AS (SELECT chosen, rejected FROM led WHERE chosen <> rejected),
 replies AS (
   SELECT *, lead(turn) OVER w AS later, lag(text) OVER w AS stale
   FROM (SELECT conv_id, turn, max(text) AS text FROM clean WHERE role = 'assistant' GROUP BY ALL) WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
-ending AS (SELECT conv_id, turn AS last_turn, text, stale FROM replies WHERE later IS NULL AND stale IS NOT NULL),
+lasts AS (SELECT conv_id, turn AS last_turn, text, stale FROM replies WHERE later IS NULL),
+hashed AS (SELECT DISTINCT text, md5(text) AS h FROM lasts),
+digits AS (SELECT CAST(floor(log2(greatest(count(*) // 256, 1)) / 4) AS INT) AS d FROM hashed),
+nearest AS (
+  SELECT text, coalesce(lead(text) OVER w, first_value(text) OVER w) AS other
+  FROM (SELECT text, h, substr(h, 1, d) AS bucket FROM hashed, digits) WINDOW w AS (PARTITION BY bucket ORDER BY h, text)),
+ending AS (
+  SELECT conv_id, last_turn, l.text, coalesce(stale, other) AS stale FROM lasts l JOIN nearest n ON n.text = l.text
+  WHERE stale IS NOT NULL OR other <> l.text),
 history AS (SELECT c.conv_id AS chosen, c.conv_id AS rejected, c.turn, c.role, c.text FROM clean c JOIN ending USING (conv_id) WHERE c.turn < last_turn),
 left_turns AS (
   SELECT p.*, c.turn, c.role, c.text FROM pairs p JOIN clean c ON c.conv_id = p.chosen
@@ -140,7 +148,10 @@ def op6_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP6_SQL = r"""
 WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}\p{M}]+'), lambda x: x <> '') AS w FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
 b AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}\p{M}]+'), lambda x: x <> '') AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
-ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:least(i + 4, len(w))], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(1, len(w))) + 1)) AS i FROM d)),
+whole AS (SELECT doc_id, array_to_string(w[i:least(i + 4, len(w))], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(1, len(w))) + 1)) AS i FROM d)),
+sizes_below AS (SELECT DISTINCT len(w) AS k FROM b WHERE len(w) BETWEEN 1 AND 4),
+short AS (SELECT doc_id, array_to_string(w[i:i + k - 1], ' ') AS s FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, sizes_below WHERE len(w) >= k)),
+ds AS (SELECT doc_id, s FROM whole UNION SELECT doc_id, s FROM short),
 bs AS (SELECT DISTINCT item_id, array_to_string(w[i:least(i + 4, len(w))], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 4, least(1, len(w))) + 1)) AS i FROM b)),
 sizes AS (SELECT item_id, count(*) AS n FROM bs GROUP BY item_id)
 SELECT doc_id, item_id, n::INTEGER AS n_item, count(*)::INTEGER AS n_shared
@@ -174,4 +185,4 @@ QUERIES = {
     "op10_sharding": op10_sharding,
     "op4_preferences_whole": op4_preferences_whole,
 }
-SQL = {"op1_url_filter": op1_sql(), "op4_preferences": OP4_SQL, "op6_contamination": OP6_SQL}
+SQL = {"op1_url_filter": op1_sql(), "op4_preferences": OP4_SQL, "op4_preferences_whole": OP4_SQL, "op6_contamination": OP6_SQL}

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 TRAINED_ROLE = "assistant"
-#: Texts of replies that are put in order together, on average.
+#: Texts of replies that are put in order together: so many on average, or up to 16 times as many.
 NEIGHBOURS = 256
 
 
@@ -93,9 +93,12 @@ def borrowed_replies(turns: DataFrame, trained_role: str = TRAINED_ROLE) -> tupl
     clean = clean_turns(turns)
     replies = clean.where(F.col("role") == trained_role).groupBy("conv_id", "turn").agg(F.max("text").alias("text"))
     last = replies.groupBy("conv_id").agg(F.max(F.struct("turn", "text")).alias("last"), F.count("*").alias("replies"))
-    texts = last.select(F.col("last.text").alias("text")).distinct().withColumn("h", F.xxhash64("text"))
-    buckets = max(texts.count() // NEIGHBOURS, 1)
-    bucket = Window.partitionBy(F.pmod("h", F.lit(buckets)))
+    texts = last.select(F.col("last.text").alias("text")).distinct().withColumn("h", F.md5(F.col("text").cast("binary")))
+    # A bucket has the texts whose hashes begin alike.
+    digits, filled = 0, texts.count() // NEIGHBOURS
+    while 16 ** (digits + 1) <= filled:
+        digits += 1
+    bucket = Window.partitionBy(F.substring("h", 1, digits))
     after = F.lead("text").over(bucket.orderBy("h", "text"))
     nearest = texts.select("text", F.coalesce(after, F.min_by("text", F.struct("h", "text")).over(bucket)).alias("other")).where("other <> text")
     single = last.where("replies = 1").select("conv_id", F.col("last.turn").alias("at"), F.col("last.text").alias("text")).join(nearest, "text")

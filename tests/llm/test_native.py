@@ -184,13 +184,23 @@ def test_contained_items(spark):
     )
     items = frame(spark, [(10, item, 1), (11, "short  ITEM", 1), (12, None, 1), (13, "", 1), (None, item, 1), (10, item, 1)], "item_id long, text string, doc_id int")
     got = decontaminate.contained_items(docs, items)
-    assert sorted(map(tuple, got.collect())) == [(1, 10, 26, 26), (2, 10, 26, 22), (6, 11, 1, 1)]
+    assert sorted(map(tuple, got.collect())) == [(1, 10, 26, 26), (2, 10, 26, 22), (6, 11, 1, 1), (7, 11, 1, 1)]
     left = decontaminate.drop_contaminated(docs, items)
-    assert sorted((r.doc_id or 0) for r in left.collect()) == [0, 3, 4, 5, 7] and left.columns == docs.columns
+    assert sorted((r.doc_id or 0) for r in left.collect()) == [0, 3, 4, 5] and left.columns == docs.columns
     assert decontaminate.contained_items(docs.limit(0), items).count() == 0
     assert decontaminate.drop_contaminated(docs, items.limit(0)).count() == 9
 
 
+def test_items_of_few_words_and_very_long_documents(spark):
+    long = "filler words " * 60_000
+    texts = {1: "one", 2: "one two", 3: "x one two y", 4: "one x two", 5: "a b c one two three four d e", 6: long + "One, two! three" + " tail" * 50_000, 7: "onetwo three", 8: "two three"}
+    docs = frame(spark, [(i, t, "s") for i, t in texts.items()], "doc_id long, text string, source string")
+    phrases = {1: "one", 2: "One two", 3: "two three four", 4: "one two three four", 5: "b c one two three"}
+    items = frame(spark, list(phrases.items()), "item_id long, text string")
+    want = {(d, i) for d, t in texts.items() for i, p in phrases.items() if f" {p.lower()} " in " " + " ".join(t.lower().replace(",", " ").replace("!", " ").split()) + " "}
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contained_items(docs, items).collect()} == want and len(want) >= 12
+
+
 def check_shards(rows, shards, half_record):
     total = sum(r.size for r in rows)
     by = {}
