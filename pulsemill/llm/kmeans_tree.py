@@ -181,8 +181,8 @@ def search(
     Rows with ``is_query`` are searched for among all others. Vectors that are null,
     empty, zero or hold null or non-finite components take no part, nor do rows without
     an id. Rows with a query's own id are not its neighbours. Of ties the smaller ids
-    win. If there are at most ``k`` others, all are returned. All usable vectors must
-    have one length. Extra columns are ignored.
+    win. If there are at most ``k`` others, all are returned. Vectors of another length
+    than most usable ones have (ties: the shorter) take no part. Extra columns are ignored.
 
     Every vector is filed; the tree is grown on ``sample_rows`` of them at most and the
     number of leaves to visit, until ``recall`` of the true neighbours is met, on
@@ -193,6 +193,9 @@ def search(
     rows = vectors.where(F.col(vec_id).isNotNull() & usable(F.col(vector))).select(
         F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"), is_query.alias("asks"), F.rand(seed).alias("u")
     )
+    lengths = rows.groupBy(F.size("v").alias("length")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "length").first()
+    if lengths is not None:
+        rows = rows.where(F.size("v") == lengths.length)
     sample = rows.select("vec_id", "v", F.xxhash64("vec_id").alias("h")).orderBy("h", "vec_id").limit(sample_rows).collect()
     if not sample:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")

@@ -362,5 +362,10 @@ def test_few_or_no_vectors(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<float>")
     got = kmeans_tree.search(df, F.col("vec_id") % 50 == 0, 5).collect()
     assert [(r.query_id, r["rank"], r.vec_id) for r in sorted(got, key=lambda r: r["rank"])] == [(0, 1, 2), (0, 2, 1)]
+    mixed = df.unionByName(spark.createDataFrame([(50, [1.0]), (100, [1.0, 2.0, 3.0])], df.schema))
+    got = kmeans_tree.search(mixed, F.col("vec_id") % 50 == 0, 5).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in got) == [(0, 1, 2), (0, 2, 1)]
+    twice = df.unionByName(df)
+    assert [(r.query_id, r.vec_id) for r in sorted(kmeans_tree.search(twice, F.col("vec_id") == 0, 1).collect(), key=lambda r: r["rank"])][:1] == [(0, 2)]
     assert kmeans_tree.search(df.limit(0), F.col("vec_id") % 50 == 0, 5).count() == 0
     assert kmeans_tree.search(df.limit(1), F.col("vec_id") % 50 == 0, 5).count() == 0
