@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 MIX_1, MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 BASE = 0x9E3779B97F4A7C15 | 1
 BYTE_VALUES = np.random.default_rng(20_240_601).integers(1, 1 << 63, 256, dtype=np.uint64)
