@@ -10,6 +10,7 @@ read it before goes on reading the same files. Old versions stay; give the folde
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -40,6 +41,7 @@ class Snapshot:
     schema: StructType
     held: dict[str, int]
     since: int
+    origin: str | None = None
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:
@@ -63,28 +65,26 @@ def log_of(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def snapshot(spark: SparkSession, path: str) -> Snapshot | None:
-    """The newest committed version, None if there is none."""
+    """The newest committed version, None if there is none.
+
+    Versions are read off the names of the log's files, so only the newest entry is opened.
+    """
     log = log_of(spark, path)
-    newest = log.agg(F.max(VERSION)).first()[0] if log is not None else None
-    if newest is None:
+    versions = [int(m[1]) for f in log.inputFiles() if (m := re.search(rf"/{VERSION}=(\d+)/", f))] if log is not None else []
+    if not versions:
         return None
-    rows = log.where(F.col(VERSION) == newest).collect()
+    rows = log.where(F.col(VERSION) == max(versions)).collect()
     return Snapshot(
-        version=newest,
+        version=max(versions),
         partition=rows[0].partition,
         schema=StructType.fromJson(json.loads(rows[0].schema)),
         # An emptied table has one entry without a part, for its schema.
         held={r.part: r.held for r in rows if r.part is not None},
         since=rows[0].since,
+        origin=rows[0].origin,
     )
 
 
-def is_committed(spark: SparkSession, path: str, origin: str) -> bool:
-    """Whether a write with this ``origin`` is in the log."""
-    log = log_of(spark, path)
-    return log is not None and not log.where(F.col("origin") == origin).isEmpty()
-
-
 def grown(old: StructType, new: StructType) -> StructType:
     """The old columns, then those that only the new schema has; a column keeps its type."""
     known = {f.name: f for f in old}

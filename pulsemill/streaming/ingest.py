@@ -10,11 +10,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pulsemill.operators.dedup import latest_by_key
 from pulsemill.sources.raw import array_rejects, documents_from_text, with_file_lineage
-from pulsemill.sources.tables import existing, is_committed, replace_partitions, stored
+from pulsemill.sources.tables import existing, read_snapshot, replace_partitions, snapshot
 
 # Partition of a state table: a hash of the key.
 BUCKET = "bucket"
-BUCKETS = 64
+BUCKETS = 16
 
 DOCUMENTS, REJECTS, COMMITS = "documents", "rejects", "commits"
 
@@ -96,23 +96,24 @@ def latest_state(
 
     The table is cut into hash buckets of the key. A batch reads and rewrites the buckets
     that its keys fall into and commits them as one version, so its cost follows what it
-    brings; give so many buckets that one is a few files. A batch whose version was
-    committed before a failure is not applied again, and a snapshot that arrives late does not replace
+    brings; give a large table so many buckets that one is a few files. A batch whose version was
+    committed before a failure is not applied again (nothing else writes to the table), and a snapshot that arrives late does not replace
     a newer one. The number of buckets of a table must not change.
     """
 
     def apply_batch(files: DataFrame, batch_id: int) -> None:
         origin = f"{checkpoint}#{batch_id}"
-        if is_committed(files.sparkSession, table, origin):
+        before = snapshot(files.sparkSession, table)
+        if before is not None and before.origin == origin:
             return
         bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
         rows = stage(documents_from_text(files)).withColumn(BUCKET, bucket)
         fresh = latest_by_key(rows, keys, newest_first()).persist()
         try:
             touched = [r[0] for r in fresh.select(BUCKET).distinct().collect()]
-            before = stored(files.sparkSession, table)
             if before is not None:
-                fresh_and_old = before.where(F.col(BUCKET).isin(touched)).unionByName(fresh, allowMissingColumns=True)
+                old = read_snapshot(files.sparkSession, table, before).where(F.col(BUCKET).isin(touched))
+                fresh_and_old = old.unionByName(fresh, allowMissingColumns=True)
                 merged = latest_by_key(fresh_and_old, keys, newest_first())
             else:
                 merged = fresh
