@@ -10,7 +10,8 @@ differs by one is the shift. Grams elsewhere cannot take part and are not sent.
 One half alone would be shared by very many words (thousands of short words begin with the
 same two letters). The half that holds the edit is therefore cut by the same rule once
 more, and the join key is the kept half together with the kept part of the other one: about
-three quarters of a word. Candidates are verified once each by edit distance.
+three quarters of a word. Candidates are verified by edit distance; a pair that several
+keys found counts once.
 """
 
 from __future__ import annotations
