@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pulsemill.functions.text import capture
 from pulsemill.functions.variants import (
     array_length,
+    field,
     is_present,
     member,
     subdocument,
@@ -193,17 +194,23 @@ def type_comments(raw: DataFrame, keep_document: bool = False) -> DataFrame:
     )
 
 
-def latest_load(typed: DataFrame, key: str) -> DataFrame:
-    return latest_by_key(typed, [key], newest_load_first()).drop("tie_breaker")
+def latest_load(raw: DataFrame, id_path: str) -> DataFrame:
+    """The latest load of every document, chosen before the documents are typed.
+
+    Of a document only its id is read here: the other fields are then taken from one load each,
+    not from all that are thrown away. Documents without an id count as one.
+    """
+    of_document = raw.withColumn("_id", field(F.col("raw_data"), f"$.{id_path}", "bigint"))
+    return latest_by_key(of_document, ["_id"], newest_load_first()).drop("_id")
 
 
 def stage_issues(raw: DataFrame, keep_document: bool = False) -> DataFrame:
-    return latest_load(type_issues(raw, keep_document), "issue_id")
+    return type_issues(latest_load(raw, "id"), keep_document).drop("tie_breaker")
 
 
 def stage_repositories(raw: DataFrame, keep_document: bool = False) -> DataFrame:
-    return latest_load(type_repositories(raw, keep_document), "repository_id")
+    return type_repositories(latest_load(raw, "id"), keep_document).drop("tie_breaker")
 
 
 def stage_comments(raw: DataFrame, keep_document: bool = False) -> DataFrame:
-    return latest_load(type_comments(raw, keep_document), "comment_id")
+    return type_comments(latest_load(raw, "id"), keep_document).drop("tie_breaker")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from pulsemill.bindings import models, roles
-from pulsemill.bindings.documents import raw_issues
+from pulsemill.bindings.documents import raw_comments, raw_issues
 from pulsemill.operators import latest_by_key
 from pulsemill.plans import incremental, marts, staging
 from pulsemill.session import cut_lineage
@@ -74,6 +74,12 @@ def test_documents_are_parsed_and_walked_once(tables):
     assert optimized.count("parseJson") == 1
 
 
+def test_only_the_latest_load_is_typed(tables):
+    for staged in (staging.stage_issues(raw_issues(tables)), staging.stage_comments(raw_comments(tables))):
+        above_window = staged._jdf.queryExecution().optimizedPlan().toString().split("Window [", 1)[0]
+        assert "variant_get(raw_data" in above_window
+
+
 def test_comments_move_once(tables):
     comments = tables.lineitem.select(
         F.col("l_partkey").alias("comment_id"),
