@@ -30,7 +30,7 @@ from pulsemill.sources import (
 from pulsemill.sources.landing import EXTRACT
 from pulsemill.sources.tables import write_rows
 from pulsemill.streaming import append_raw, latest_state, read_raw, read_rejects
-from pulsemill.streaming.ingest import BUCKET
+from pulsemill.streaming.ingest import BUCKET, files_per_batch
 
 BOUND: dict = {}
 bind = binder(BOUND)
@@ -51,9 +51,19 @@ def event_documents(events: DataFrame) -> DataFrame:
     return events.withColumn("document", F.to_json(document))
 
 
+def block_of(file_size: int) -> Column:
+    return F.floor(F.col("event_id") / file_size).cast("bigint")
+
+
+def files_of_batch(t: Tables, file_size: int) -> int:
+    """Files for a micro-batch: some for every core, and a bounded number of batches."""
+    files = t.events.select(block_of(file_size)).distinct().count()
+    return files_per_batch(files, 4 * t.spark.sparkContext.defaultParallelism)
+
+
 def array_files(t: Tables, root: str) -> str:
     """Events as files that hold one JSON array of at most ``FILE_SIZE`` documents each."""
-    block = F.floor(F.col("event_id") / FILE_SIZE).cast("bigint")
+    block = block_of(FILE_SIZE)
     (
         event_documents(t.events)
         .groupBy(block.alias("block"))
@@ -89,11 +99,12 @@ def raw_array_scan(t: Tables):
 # What becomes of a block of events by its number, and the reason of its reject.
 SPOILS = {1: "truncated", 2: "trailing", 3: "trailing", 4: "not_an_array", 5: "unparsable", 6: "unparsable", 7: None}
 SPOIL_EVERY = 9
+SPOILED_FILE_SIZE = 100
 
 
 def spoiled_files(t: Tables, root: str) -> str:
     """Array files as above with fewer documents each, most of them damaged in some way."""
-    block = F.floor(F.col("event_id") / 100).cast("bigint")
+    block = block_of(SPOILED_FILE_SIZE)
     whole = F.concat(F.lit("[\n"), F.array_join(F.array_sort(F.collect_list("document")), ",\n"), F.lit("\n]"))
     kind, text = F.pmod("block", F.lit(SPOIL_EVERY)), F.col("value")
     damaged = (
@@ -106,19 +117,20 @@ def spoiled_files(t: Tables, root: str) -> str:
         .when(kind == 7, F.lit(" \n"))
         .otherwise(text)
     )
+    # One file for each row, all in one folder: a folder for each would have to be listed on its own.
     (
         event_documents(t.events)
         .groupBy(block.alias("block"))
         .agg(whole.alias("value"))
-        .select("block", damaged.alias("value"))
-        .write.partitionBy("block")
+        .select(damaged.alias("value"))
+        .write.option("maxRecordsPerFile", 1)
         .text(root)
     )
     return root
 
 
-def block_of_file() -> Column:
-    return capture(F.col("source_file"), "block=([0-9]+)").cast("bigint")
+def block_of_event(event_id: Column) -> Column:
+    return F.floor(event_id / SPOILED_FILE_SIZE).cast("bigint")
 
 
 @bind(
@@ -135,12 +147,13 @@ def block_of_file() -> Column:
 def raw_rejects(t: Tables):
     """What is read from damaged files and why the others are not, at once and in micro-batches."""
     files, table = spoiled_files(t, scratch_folder(t.spark, "arrays")), scratch_folder(t.spark, "raw")
-    batch_size = 4 * t.spark.sparkContext.defaultParallelism
+    batch_size = files_of_batch(t, SPOILED_FILE_SIZE)
     append_raw(t.spark, files, table, scratch_folder(t.spark, "progress"), files_per_batch=batch_size).awaitTermination()
 
     def accounted(documents: DataFrame, rejects: DataFrame, how: str) -> DataFrame:
-        read = documents.select(block_of_file().alias("block"), F.lit(1).alias("n"), F.lit(None).cast("string").alias("reason"))
-        lost = rejects.select(block_of_file().alias("block"), F.lit(0).alias("n"), "reason")
+        event, first_event = field(F.col("raw_data"), "$.id", "bigint"), capture(F.col("excerpt"), '"id":([0-9]+)').cast("bigint")
+        read = documents.select(block_of_event(event).alias("block"), F.lit(1).alias("n"), F.lit(None).cast("string").alias("reason"))
+        lost = rejects.select(block_of_event(first_event).alias("block"), F.lit(0).alias("n"), "reason")
         return read.unionByName(lost).groupBy("block").agg(F.sum("n").alias(f"{how}_documents"), F.max("reason").alias(f"{how}_reason"))
 
     at_once = accounted(read_raw_arrays(t.spark, files), rejected_files(t.spark, files), "batch")
@@ -295,7 +308,7 @@ def stream_raw_ingest(t: Tables):
         typed_events,
         ["user_id"],
         lambda: [F.col("ts").desc_nulls_last(), F.col("event_id").desc_nulls_last()],
-        files_per_batch=4 * t.spark.sparkContext.defaultParallelism,
+        files_per_batch=files_of_batch(t, FILE_SIZE),
     )
     query.awaitTermination()
     return read_table(t.spark, table).drop("source_file", BUCKET)

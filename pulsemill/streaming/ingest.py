@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,20 @@ BUCKETS = 16
 DOCUMENTS, REJECTS, COMMITS = "documents", "rejects", "commits"
 
 
+# A backlog is taken in at most so many batches.
+MOST_BATCHES = 16
+
+
+def files_per_batch(files: int, at_least: int) -> int:
+    """How many of ``files`` waiting files a batch takes: ``at_least``, more where that would be over
+    ``MOST_BATCHES`` batches.
+
+    A batch has costs of its own (commits, listings of what was committed, rewritten state), so
+    their number must not grow with the backlog.
+    """
+    return max(at_least, math.ceil(files / MOST_BATCHES))
+
+
 def stream_files(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """New files below ``path`` as whole texts with their lineage."""
     reader = (
