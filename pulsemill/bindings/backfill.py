@@ -9,7 +9,7 @@ from pulsemill.bindings import roles
 from pulsemill.bindings.roles import AS_OF, ISSUES_SQL, REPOSITORIES_SQL, Tables, binder
 from pulsemill.functions import field
 from pulsemill.plans import backfill
-from pulsemill.session import scratch_folder
+from pulsemill.session import cut_lineage, scratch_folder
 from pulsemill.sources import raw_documents, write_landing
 
 BOUND: dict = {}
@@ -200,6 +200,8 @@ def backfill_load(t: Tables):
     landing and ledger, and is started again."""
     root = scratch_folder(t.spark, "backfill")
     issues, comments, repositories = regional_history(t)
+    # Staged tables, written out once: three loads read them.
+    issues, comments = cut_lineage(issues), cut_lineage(comments)
     ends_that_day = raw_documents(issues.limit(1000), "issues", F.col("repository"), F.lit("1996-02-01").cast("date"), AS_OF)
     write_landing(ends_that_day, f"{root}/landing", "issues")
     backfill.run_backfill(issues, comments, repositories, until(t, MIDDLE), root, "run-1", AS_OF)
