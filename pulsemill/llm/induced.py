@@ -140,7 +140,7 @@ def by_doubling(ranks: np.ndarray) -> np.ndarray:
         second = np.zeros(m, np.int64)
         second[: max(0, m - reach)] = ranks[reach:] + 1
         key = ranks * (m + 2) + second
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         key = key[order]
         new = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
         ranks = np.empty(m, np.int64)

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsemill.llm.bytewords import Powers, mixed
+from pulsemill.llm.bytewords import BASE, Powers, mixed
 from pulsemill.llm.induced import common_prefixes, suffix_array, words_at
 from pulsemill.session import cut_lineage
 
@@ -35,6 +35,8 @@ GRAM = 16
 RUN = 64
 BUNDLE_BYTES = 2 << 20
 SHARD_BYTES = 2 << 20
+#: Bytes of segments that are looked through at once for equal ones and for such as cannot meet any other.
+LOOK_BYTES = 16 << 20
 #: Shards for each shuffle partition, so that one is a small part of a task's memory.
 SHARDS_PER_PARTITION = 2
 #: Bytes of segments that a shard is meant to get.
@@ -43,6 +45,9 @@ SENT_BYTES = 128 << 20
 #: segments than this are split; of what is not split none has twice as many.
 CELL_BITS = 20
 HOT_BYTES = 4 << 20
+#: Places of a bundle that are worked on at once, so that their hashes stay in a core's cache.
+CHUNK = 1 << 15
+MULTIPLIER = np.uint64(BASE)
 NO_CELLS = np.empty(0, np.int64)
 NO_ID = np.iinfo(np.int64).max
 NO_HASH = np.iinfo(np.uint64).max
@@ -110,10 +115,39 @@ def cells_of(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
 
-def within(hashes: np.ndarray, cells: np.ndarray) -> np.ndarray:
+def cell_table(cells: np.ndarray) -> np.ndarray:
+    """For every cell, whether it is one of ``cells``."""
     table = np.zeros(1 << CELL_BITS, bool)
     table[cells] = True
-    return table[cells_of(hashes)]
+    return table
+
+
+def gram_hashes(text: np.ndarray) -> np.ndarray:
+    """Hash of the GRAM bytes from each place on."""
+    words = words_at(text)
+    return mixed(words[: len(text) - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15) ^ mixed(words[GRAM - 8 : len(text) - 7]))
+
+
+def sliding_least(values: np.ndarray, span: int) -> np.ndarray:
+    """The least of each ``span`` values in a row."""
+    least, reach = values, 1
+    while reach * 2 <= span:
+        least = np.minimum(least[:-reach], least[reach:])
+        reach *= 2
+    if span > reach:
+        least = np.minimum(least[: len(least) - (span - reach)], least[span - reach :])
+    return least
+
+
+def in_order(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Places by ``first``, then ``second``; few of ``first`` are equal."""
+    order = np.argsort(first)
+    value = first[order]
+    equal = value[1:] == value[:-1]
+    tied = np.flatnonzero(np.append(equal, False) | np.append(False, equal))
+    part = order[tied]
+    order[tied] = part[np.lexsort((second[part], first[part]))]
+    return order
 
 
 class Segments:
@@ -129,55 +163,54 @@ class Segments:
         self.ends = np.cumsum(sizes)
         self.begins = self.ends - sizes
         n = len(text)
+        count = n - width + 1
         self.start = np.empty(0, np.int64)
-        if n < width:
-            self.none()
-            return
-        words = words_at(text)
-        grams = mixed(words[: n - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15) ^ mixed(words[GRAM - 8 : n - 7]))
-        if len(passed):
-            grams[within(grams, passed)] = NO_HASH
-        span = width - GRAM + 1
-        least, reach = grams, 1
-        while reach * 2 <= span:
-            least = np.minimum(least[:-reach], least[reach:])
-            reach *= 2
-        if span > reach:
-            least = np.minimum(least[: len(least) - (span - reach)], least[span - reach :])
-        del words, grams
-        # Windows that lie within one text.
-        starts = np.arange(n - width + 1)
-        doc = np.repeat(np.arange(len(sizes)), sizes)
-        inside = doc[starts] == doc[starts + width - 1]
-        starts = starts[inside]
-        doc, least = doc[starts], least[starts]
-        if not len(starts):
+        if count < 1:
             self.none()
             return
+        up, down = powers(n)
         total = np.zeros(n + 1, np.uint64)
-        up = powers(n)
-        np.cumsum((text.astype(np.uint64) + np.uint64(1)) * up[0], out=total[1:])
+        for at in range(0, n, CHUNK):
+            part = total[at + 1 : at + 1 + CHUNK]
+            np.cumsum((text[at : at + CHUNK].astype(np.uint64) + np.uint64(1)) * up[at : at + CHUNK], out=part)
+            part += total[at]
+        least = np.empty(count, np.uint64)
+        table = cell_table(passed)
+        for at in range(0, count, CHUNK):
+            stop = min(at + CHUNK, count)
+            grams = gram_hashes(text[at : stop + width - 1])
+            if len(passed):
+                grams[table[cells_of(grams)]] = NO_HASH
+            least[at:stop] = sliding_least(grams, width - GRAM + 1)
         if len(passed):
-            alone = np.flatnonzero((least == NO_HASH) | within(least, whole))
-            at = starts[alone]
-            least[alone] = mixed((total[at + width] - total[at]) * up[1][at])
-        new = np.ones(len(starts), bool)
-        new[1:] = (least[1:] != least[:-1]) | (doc[1:] != doc[:-1]) | (starts[1:] != starts[:-1] + 1)
+            at = np.flatnonzero((least == NO_HASH) | cell_table(whole)[cells_of(least)])
+            least[at] = mixed((total[at + width] - total[at]) * down[at])
+        # Runs of one hash, apart where a text begins and where windows begin to leave it.
+        new = np.ones(count, bool)
+        np.not_equal(least[1:], least[:-1], out=new[1:])
+        for edge in (self.begins, np.maximum(self.begins, self.ends - width + 1)):
+            new[edge[edge < count]] = True
         first = np.flatnonzero(new)
-        length = np.diff(np.concatenate([first, [len(starts)]]))
+        length = np.diff(first, append=count)
+        doc = np.searchsorted(self.ends, first, side="right")
+        inside = first + width <= self.ends[doc]
+        first, length, doc = first[inside], length[inside], doc[inside]
+        if not len(first):
+            self.none()
+            return
+        tag = least[first]
         pieces = -(-length // RUN)  # long runs of one hash are cut
         if pieces.max() > 1:
             each = np.repeat(first, pieces) + RUN * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
             length = np.minimum(np.repeat(first + length, pieces) - each, RUN)
-            first = each
-        self.start, self.windows, self.doc = starts[first], length, doc[first]
-        tag = least[first]
-        del starts, doc, least, new, inside
+            first, doc, tag = each, np.repeat(doc, pieces), np.repeat(tag, pieces)
+        self.start, self.windows, self.doc = first, length, doc
+        del least, new, inside
         # Equal segments of the bundle, by a hash of their bytes.
         stop = self.start + self.windows + width - 1
-        content = mixed((total[stop] - total[self.start]) * up[1][self.start]) ^ mixed(self.windows.astype(np.uint64))
+        content = mixed((total[stop] - total[self.start]) * down[self.start]) ^ mixed(self.windows.astype(np.uint64))
         shard = (tag >> np.uint64(32)).astype(np.int64) % shards
-        order = np.lexsort((self.start, content, tag & np.uint64(0xFFFFFFFF), shard))
+        order = in_order((shard.astype(np.uint64) << np.uint64(32)) | (tag & np.uint64(0xFFFFFFFF)), content)
         c, t, s = content[order], tag[order], shard[order]
         fresh = np.ones(len(order), bool)
         fresh[1:] = (c[1:] != c[:-1]) | (t[1:] != t[:-1])
@@ -200,14 +233,14 @@ class Segments:
         """(shard, distinct segments of it: tags, windows, smallest ids, bytes)."""
         if self.bounds is None:
             return
+        raw = self.text.tobytes()
         for shard in np.unique(self.shard).tolist():
             a, b = self.bounds[shard], self.bounds[shard + 1]
             pick = self.sample[a:b]
-            size = self.windows[pick] + self.width - 1
-            before = np.cumsum(size) - size
-            at = np.repeat(self.start[pick] - before, size) + np.arange(size.sum())
+            stop = self.start[pick] + self.windows[pick] + self.width - 1
+            joined = b"".join([raw[i:j] for i, j in zip(self.start[pick].tolist(), stop.tolist())])
             steps = np.diff(self.tag[a:b], prepend=np.uint32(0))  # sorted, so steps are small
-            yield shard, packed(planes(steps), self.windows[pick].astype(np.uint8), planes(self.least_id[a:b]), self.text[at])
+            yield shard, packed(planes(steps), self.windows[pick].astype(np.uint8), planes(self.least_id[a:b]), np.frombuffer(joined, np.uint8))
 
 
 _POWERS: list[np.ndarray] = []
@@ -239,15 +272,7 @@ def answer(packets: list[tuple[int, bytes]], width: int) -> Iterator[tuple[int,
     again[1:] |= t[1:] == t[:-1]
     again[:-1] |= t[1:] == t[:-1]
     order = order[again]
-    replies: list[list[np.ndarray]] = []
-    at = 0
-    while at < len(order):
-        upto = np.cumsum(size[order[at:]])
-        stop = at + int(np.searchsorted(upto, SHARD_BYTES)) + 1
-        while stop < len(order) and tag[order[stop]] == tag[order[stop - 1]]:
-            stop += 1
-        replies += matched(order[at:stop], start, size, ids, text, width)
-        at = stop
+    replies = [matched(order[a:b], start, size, ids, tag, text, width) for a, b in whole_tags(tag[order], size[order], LOOK_BYTES)]
     if not replies:
         return
     segment, low, high, least = (np.concatenate(c) for c in zip(*replies))
@@ -260,36 +285,117 @@ def answer(packets: list[tuple[int, bytes]], width: int) -> Iterator[tuple[int,
             yield name, packed(number[segment[own]].astype(np.int32), low[own].astype(np.uint8), high[own].astype(np.uint8), least[own])
 
 
-def matched(picked: np.ndarray, start: np.ndarray, size: np.ndarray, ids: np.ndarray, text: np.ndarray, width: int) -> list[list[np.ndarray]]:
-    """For some segments: (segment, first window, last window, smallest id), where it is below the segment's own."""
+def whole_tags(tag: np.ndarray, size: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Bounds of about ``most`` bytes each that part no tag, for segments in order of their tags."""
+    ends = np.append(np.flatnonzero(tag[1:] != tag[:-1]) + 1, len(tag))
+    upto = np.append(0, np.cumsum(size))
+    at = 0
+    while at < len(tag):
+        reach = int(np.searchsorted(upto, upto[at] + most))
+        stop = int(ends[np.searchsorted(ends, min(reach, len(tag)))])
+        yield at, stop
+        at = stop
+
+
+def can_meet(order: np.ndarray, start: np.ndarray, size: np.ndarray, tag: np.ndarray, text: np.ndarray, width: int) -> np.ndarray:
+    """For segments in order of their tags: whether one may have a window in common with another one.
+
+    Equal windows have the hash of their tag at the same place. So if a segment has it
+    at one place only, as most do, its windows equal such of others only if half of the
+    other bytes are equal too, all before that place or all behind it. Segments of a tag
+    that some segment has elsewhere or nowhere (a hash of a window) are all kept.
+    """
+    n, half = len(order), -(-(width - GRAM) // 2)
+    size, tag = size[order], tag[order]
+    ends = np.cumsum(size)
+    once = np.empty(n, bool)
+    before, behind = np.empty(n, np.uint64), np.empty(n, np.uint64)
+    a = 0
+    while a < n:
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] + CHUNK)))
+        stop = np.cumsum(size[a:b])
+        begin = stop - size[a:b]
+        own = text[spread_runs(start[order[a:b]], size[a:b])]
+        hits = np.flatnonzero(gram_hashes(own).astype(np.uint32) == np.repeat(tag[a:b], size[a:b])[: len(own) - GRAM + 1])
+        of = np.searchsorted(stop, hits, side="right")
+        within = hits + GRAM <= stop[of]
+        hits, of = hits[within], of[within]
+        once[a:b] = np.bincount(of, minlength=b - a) == 1
+        at = begin.copy()
+        at[of] = hits
+        # Sides that are too short are equal to none.
+        for out, low in ((before, at - half), (behind, at + GRAM)):
+            whole = np.flatnonzero((low >= begin) & (low + half <= stop))
+            side = np.zeros(len(whole), np.uint64)
+            for k in range(half):
+                side = side * MULTIPLIER + own[low[whole] + k]
+            out[a:b] = mixed(np.arange(a, b, dtype=np.uint64) * MULTIPLIER)
+            out[a + whole] = mixed(side + np.uint64(1))
+        a = b
+    first = np.ones(n, bool)
+    first[1:] = tag[1:] != tag[:-1]
+    group = np.cumsum(first) - 1
+    keep = ~np.logical_and.reduceat(once, np.flatnonzero(first))[group]
+    for side in (before, behind):
+        by = in_order(group, side)
+        equal = (side[by[1:]] == side[by[:-1]]) & (group[by[1:]] == group[by[:-1]])
+        keep[by[1:][equal]] = True
+        keep[by[:-1][equal]] = True
+    return keep & (np.bincount(group)[group] > 1)
+
+
+def matched(picked: np.ndarray, start: np.ndarray, size: np.ndarray, ids: np.ndarray, tag: np.ndarray, text: np.ndarray, width: int) -> list[np.ndarray]:
+    """For some segments, all those of their tags: (segment, first window, last window,
+    smallest id), where it is below the segment's own."""
     # Equal segments once, with their smallest id; all of them get the answer.
-    of = [text[start[s] : start[s] + size[s]].tobytes() for s in picked.tolist()]
+    view = memoryview(text)
     distinct: dict[bytes, int] = {}
-    same = np.array([distinct.setdefault(b, len(distinct)) for b in of])
+    same = np.array([distinct.setdefault(view[a:b].tobytes(), len(distinct)) for a, b in zip(start[picked].tolist(), (start[picked] + size[picked]).tolist())])
     least = np.full(len(distinct), NO_ID)
     np.minimum.at(least, same, ids[picked])
     contents = list(distinct)
+    sample = picked[np.unique(same, return_index=True)[1]]
+    length = size[sample]
+    meet = can_meet(sample, start, size, tag, text, width)
+    lone, meet = np.flatnonzero(~meet), np.flatnonzero(meet)
+    # The windows of one that meets no other start in its copies alone.
+    runs = [(lone, np.zeros(len(lone), np.int64), length[lone] - width, least[lone])]
+    for a, b in whole_tags(tag[sample[meet]], length[meet], SHARD_BYTES):
+        own = meet[a:b]
+        segment, low, high, found = window_runs([contents[i] for i in own.tolist()], least[own], width)
+        runs.append((own[segment], low, high, found))
+    run_segment, low, high, run_least = (np.concatenate(c) for c in zip(*runs))
+    by = np.argsort(run_segment, kind="stable")
+    run_segment, low, high, run_least = run_segment[by], low[by], high[by], run_least[by]
+    # Back to all the segments that were sent.
+    bounds = np.searchsorted(run_segment, np.arange(len(contents) + 1))
+    many = np.diff(bounds)[same]
+    sent = np.repeat(np.arange(len(picked)), many)
+    run = spread_runs(bounds[:-1][same], many)
+    earlier = run_least[run] < ids[picked][sent]
+    return [picked[sent[earlier]], low[run[earlier]], high[run[earlier]], run_least[run[earlier]]]
+
+
+def window_runs(contents: list[bytes], least: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """(segment, first window, last window, smallest id): runs of windows with one answer, for distinct segments."""
     joined = np.frombuffer(b"".join(contents), np.uint8)
     length = np.array([len(b) for b in contents])
     begin = np.cumsum(length) - length
     segment = np.repeat(np.arange(len(contents)), length)
     place = np.arange(len(joined)) - begin[segment]
     window = place <= length[segment] - width
-    if len(contents) > 1:
-        fresh = np.zeros(len(joined), bool)
-        fresh[begin] = True
-        order = suffix_array(joined)
-        # Far enough to tell at every place of a segment, windows or not: those between link them.
-        common = common_prefixes(joined, order, fresh, 2 * width + RUN)
-        linked = common[order] >= width
-        linked[0] = False
-        runs = np.flatnonzero(~linked)
-        value = np.where(window[order], least[segment[order]], NO_ID)
-        smallest = np.repeat(np.minimum.reduceat(value, runs), np.diff(np.concatenate([runs, [len(order)]])))
-        at = np.empty(len(joined), np.int64)
-        at[order] = smallest
-    else:
-        at = np.repeat(least, length)
+    fresh = np.zeros(len(joined), bool)
+    fresh[begin] = True
+    order = suffix_array(joined)
+    # Far enough to tell at every place of a segment, windows or not: those between link them.
+    common = common_prefixes(joined, order, fresh, 2 * width + RUN)
+    linked = common[order] >= width
+    linked[0] = False
+    runs = np.flatnonzero(~linked)
+    value = np.where(window[order], least[segment[order]], NO_ID)
+    smallest = np.repeat(np.minimum.reduceat(value, runs), np.diff(np.concatenate([runs, [len(order)]])))
+    at = np.empty(len(joined), np.int64)
+    at[order] = smallest
     # Runs of windows of a segment with one answer.
     places = np.flatnonzero(window)
     answer, segment, place = at[places], segment[places], place[places]
@@ -297,14 +403,7 @@ def matched(picked: np.ndarray, start: np.ndarray, size: np.ndarray, ids: np.nda
     new[1:] = (segment[1:] != segment[:-1]) | (answer[1:] != answer[:-1])
     first = np.flatnonzero(new)
     last = np.concatenate([first[1:], [len(places)]]) - 1
-    run_segment, low, high, run_least = segment[first], place[first], place[last], answer[first]
-    # Back to all the segments that were sent.
-    bounds = np.searchsorted(run_segment, np.arange(len(contents) + 1))
-    many = np.diff(bounds)[same]
-    sent = np.repeat(np.arange(len(picked)), many)
-    run = np.repeat(bounds[:-1][same] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-    earlier = run_least[run] < ids[picked][sent]
-    return [[picked[sent[earlier]], low[run[earlier]], high[run[earlier]], run_least[run[earlier]]]]
+    return segment[first], place[first], place[last], answer[first]
 
 
 def spread_runs(first: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -348,11 +447,15 @@ def removed_bytes(segments: Segments, replies: list[tuple[int, bytes]]) -> np.nd
     """True for each byte of the bundle that an earlier document's window covers."""
     n, width = len(segments.text), segments.width
     gone = np.zeros(n + 1, np.int32)
+
+    def mark(first: np.ndarray, windows: np.ndarray) -> None:
+        np.add.at(gone, first, 1)
+        np.subtract.at(gone, first + windows - 1 + width, 1)
+
     if len(segments.start):
-        least = np.full(n, NO_ID)
-        windows = segments.windows
-        every = spread_runs(segments.start, windows)
-        least[every] = np.repeat(segments.least_id[segments.group], windows)
+        own_id = np.where(segments.known, segments.ids, -NO_ID - 1)[segments.doc]  # the least: nothing is earlier
+        earlier = segments.least_id[segments.group] < own_id
+        mark(segments.start[earlier], segments.windows[earlier])
         by_group = np.argsort(segments.group, kind="stable")
         bounds = np.searchsorted(segments.group[by_group], np.arange(len(segments.sample) + 1))
         for shard, data in replies:
@@ -360,13 +463,10 @@ def removed_bytes(segments: Segments, replies: list[tuple[int, bytes]]) -> np.nd
             group = segments.bounds[shard] + number
             many = bounds[group + 1] - bounds[group]
             own = by_group[spread_runs(bounds[group], many)]
-            length = np.repeat(high.astype(np.int64) - low + 1, many)
-            at = spread_runs(segments.start[own] + np.repeat(low.astype(np.int64), many), length)
-            np.minimum.at(least, at, np.repeat(np.repeat(found, many), length))
-        doc = np.repeat(np.arange(len(segments.sizes)), segments.sizes)
-        hit = every[(least[every] < segments.ids[doc[every]]) & segments.known[doc[every]]]
-        gone[hit] += 1
-        np.subtract.at(gone, hit + width, 1)
+            run = np.repeat(np.arange(len(number)), many)
+            earlier = found[run] < own_id[own]
+            own, run = own[earlier], run[earlier]
+            mark(segments.start[own] + low[run], high[run].astype(np.int64) - low[run] + 1)
     return np.cumsum(gone[:-1]) > 0
 
 

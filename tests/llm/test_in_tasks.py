@@ -95,6 +95,63 @@ def test_common_line_is_split(spark, monkeypatch):
     assert {r.doc_id: tuple(r)[1:5] for r in got} == without_repeats(texts, 50)
 
 
+def found_in_shards(texts, per_bundle, shards=3, passed=suffix_dedup.NO_CELLS, whole=suffix_dedup.NO_CELLS):
+    """What ``dedup_spans`` finds, without Spark: {id: (n_bytes, n_removed)}."""
+    raw = [(i, t.encode()) for i, t in texts.items()]
+    made = []
+    for at in range(0, len(raw), per_bundle):
+        ids, own = zip(*raw[at : at + per_bundle])
+        data = suffix_dedup.packed(np.array(ids, np.int64), np.ones(len(ids), bool), np.array([len(t) for t in own], np.int64), np.frombuffer(b"".join(own), np.uint8))
+        made.append(suffix_dedup.Segments(data, 50, shards, passed, whole))
+    sent = [dict(s.packets()) for s in made]
+    replies = [[] for _ in made]
+    for shard in range(shards):
+        for bundle, reply in suffix_dedup.answer([(b, p[shard]) for b, p in enumerate(sent) if shard in p], 50):
+            replies[bundle].append((shard, reply))
+    out = {}
+    for segments, own in zip(made, replies):
+        gone = suffix_dedup.removed_bytes(segments, own)
+        out |= {i: (b - a, int(gone[a:b].sum())) for i, a, b in zip(segments.ids.tolist(), segments.begins.tolist(), segments.ends.tolist())}
+    return out
+
+
+def test_suffix_arrays_are_made_of_what_can_meet(monkeypatch):
+    """Phrases between differing neighbours and whole copies are told apart before a suffix array is built."""
+    rnd = random.Random(12)
+
+    def noise(n):
+        return "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+
+    phrases = [noise(30) for _ in range(12)]
+    copied = [noise(500) for _ in range(20)]
+    texts = {i: "".join(part for p in phrases for part in (noise(60), p)) for i in range(150)}
+    texts |= {1000 + i: copied[i % 20] for i in range(200)}
+    texts |= {2000: noise(70) + phrases[0] + copied[0][100:200] + noise(80)}
+    lengths = []
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda text: lengths.append(len(text)) or suffix_array(text))
+    got = found_in_shards(texts, 10)
+    assert got == {i: r[:2] for i, r in without_repeats(texts, 50).items()}
+    assert 0 < sum(lengths) < 10_000
+
+
+@pytest.mark.parametrize("letters", ["a", "ab", "abcdefgh"])
+def test_segments_that_can_meet_are_kept(letters, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 300)
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 2000)
+    monkeypatch.setattr(suffix_dedup, "LOOK_BYTES", 9000)
+    rnd = random.Random(len(letters))
+    for trial in range(12):
+        base = ["".join(rnd.choices(letters, k=rnd.randrange(1, 200))) for _ in range(6)] + ["ab" * 30, "x" * 60]
+        texts = {}
+        for i in rnd.sample(range(500), 60):
+            some = "".join(b[rnd.randrange(len(b)) :][: rnd.randrange(120)] for b in rnd.choices(base, k=rnd.randrange(6)))
+            texts[i] = some[: rnd.randrange(400)]
+        want = {i: r[:2] for i, r in without_repeats(texts, 50).items()}
+        assert found_in_shards(texts, 7) == want
+        every = np.arange(0, 1 << suffix_dedup.CELL_BITS, trial + 1)
+        assert found_in_shards(texts, 7, 3, every, every[::2]) == want
+
+
 def test_repeats_with_repeated_and_missing_ids(spark):
     long = "abcdefghij" * 9
     docs = spark.createDataFrame([(None, long), (5, long), (5, long), (7, long), (None, None)], "doc_id long, text string")
