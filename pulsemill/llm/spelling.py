@@ -127,6 +127,15 @@ def kept_parts(word: Column, length: Column, of: Column) -> Column:
     )
 
 
+def dealt(words: DataFrame) -> DataFrame:
+    """For a join in which no side is broadcast.
+
+    Spark takes a written table for as large as its files, where words and counts are packed
+    twenty times smaller than in memory, and does not count the rows that an explode adds.
+    """
+    return words.hint("merge")
+
+
 def near_pairs(words: DataFrame) -> DataFrame:
     """(word, near): pairs one edit apart, each in both directions, once for each key that found it.
 
@@ -139,7 +148,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     grams = of.where("of >= 4").select(
         F.col("word").alias("near"), F.explode(kept_parts(F.col("word"), F.col("length"), F.col("of"))).alias("key")
     )
-    met = chunks.join(grams, "key").where("word <> near")
+    met = chunks.join(dealt(grams), "key").where("word <> near")
     return met.where(F.levenshtein("word", "near", 1) == 1).select("word", "near")
 
 
@@ -152,7 +161,7 @@ def follow(forms: DataFrame) -> DataFrame:
     state = cut_lineage(forms.select("word", F.col("form").alias("root")))
     while True:
         ahead = state.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        jumped = cut_lineage(state.join(ahead, "root", "left").select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")))
+        jumped = cut_lineage(state.join(dealt(ahead), "root", "left").select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")))
         if jumped.where("moved").isEmpty():
             return jumped.select("word", "root")
         state = jumped.select("word", "root")
@@ -172,12 +181,12 @@ def group_variants(counted: DataFrame, *, lead: int = LEAD) -> DataFrame:
     counted = cut_lineage(counted.select("word", F.col("n").cast("long").alias("n")))
     pairs = near_pairs(counted.select("word"))
     # Counts are joined to the verified pairs only.
-    weighed = pairs.join(counted.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
+    weighed = pairs.join(dealt(counted.select(F.col("word").alias("near"), F.col("n").alias("near_n"))), "near")
     best = F.min(F.struct((-F.col("near_n")).alias("minus_n"), F.col("near").alias("word")))
     around = weighed.groupBy("word").agg(F.count_distinct("near").alias("n_near"), best.alias("best"))
     leads = -F.col("best.minus_n") >= lead * F.col("n")
     judged = cut_lineage(
-        counted.join(around, "word", "left").select(
+        counted.join(dealt(around), "word", "left").select(
             "word",
             "n",
             F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
@@ -186,4 +195,4 @@ def group_variants(counted: DataFrame, *, lead: int = LEAD) -> DataFrame:
         )
     )
     roots = follow(judged.where("form IS NOT NULL").select("word", "form"))
-    return judged.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return judged.join(dealt(roots), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

@@ -105,3 +105,18 @@ def test_no_words(spark):
     assert as_map(spelling.group_variants(lone)) == {"words": (None, "words", 9, 0, None)}
     with pytest.raises(ValueError):
         spelling.group_variants(lone, lead=1)
+
+
+def test_words_are_never_broadcast(spark, monkeypatch):
+    """However small the files of the words are: the driver would hold them all."""
+    made, cut = [], spelling.cut_lineage
+
+    def kept(df):
+        made.append(df)
+        return cut(df)
+
+    monkeypatch.setattr(spelling, "cut_lineage", kept)
+    words = spark.createDataFrame([("colour", 40), ("color", 20), ("colors", 8), ("words", 5)], "word string, n long")
+    made.append(spelling.group_variants(words))
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in made]
+    assert sum("SortMergeJoin" in p for p in plans) >= 3 and not any("Broadcast" in p for p in plans)
